@@ -66,7 +66,7 @@ def bin_right_closed(c, edges, labels) -> Column:
 def parse_date(c, fmt: str = DATE_FORMAT, strict: bool = False) -> Column:
     """String -> date. Coercing mode yields NULL for bad text."""
     c = _c(c)
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
 
 
 def date_ordinal(c) -> Column:

@@ -76,11 +76,11 @@ def clean_panel(spark, sf):
 
 
 @register("clean_iqr_outliers", f"""WITH {PANEL_CLEAN_SQL},
-q AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM pc)
+q AS (SELECT quantile_cont(n_orders, 0.25) AS q1, quantile_cont(n_orders, 0.75) AS q3 FROM pc)
 SELECT n_name, d, n_orders, {r('price')} AS price FROM pc, q
-WHERE price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)""")
+WHERE n_orders < q1 - 1.5 * (q3 - q1) OR n_orders > q3 + 1.5 * (q3 - q1)""")
 def clean_iqr_outliers(spark, sf):
-    return rounded(clean.iqr_outliers(clean_panel(spark, sf), "price"))
+    return rounded(clean.iqr_outliers(clean_panel(spark, sf), "n_orders"))
 
 
 @register("clean_recipe_a", f"""WITH {S.DIRTY_LINEITEM}

@@ -38,7 +38,7 @@ def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType | str |
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
     if date_col is not None and isinstance(df.schema[date_col].dataType, T.StringType):
-        df = df.withColumn(date_col, F.try_to_date(F.col(date_col), F.lit(date_format)))
+        df = df.withColumn(date_col, F.try_to_date(F.col(date_col), date_format))
     return normalise_missing(df)
 
 
