@@ -27,16 +27,31 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+SIG_DIGITS = 11
+BIG = 1e6
+
+
+def round_col(c, digits: int = ROUND_DIGITS):
+    """``digits`` decimals below 1e6 in magnitude, ``SIG_DIGITS`` significant
+    digits above (large sums differ between engines in the last bits)."""
+    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    big = F.round(c / e, SIG_DIGITS - 1) * e
+    return F.when(F.abs(c) >= F.lit(BIG), big).otherwise(F.round(c, digits))
+
+
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Round every double column (report-level presentation)."""
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        round_col(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
 
 def r(expr: str, digits: int = ROUND_DIGITS) -> str:
-    return f"round({expr}, {digits})"
+    x = f"({expr})"
+    e = f"pow(10.0, floor(log10(abs({x}))))"
+    return (f"(CASE WHEN abs({x}) >= {BIG} THEN round({x} / {e}, {SIG_DIGITS - 1}) * {e} "
+            f"ELSE round({x}, {digits}) END)")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
