@@ -1 +1,130 @@
-"""Registered queries."""
+"""Model queries: linear (M6-M11, X6), k-means (M12-M19), trees.
+
+Linear oracles use the two-feature closed form in SQL; k-means is checked in
+SQL with centres that SQL can compute too (class means of the embeddings);
+spark.ml fits are rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepanel.operators import split
+from tidepanel.operators.models import linear
+from tidepanel.plans.catalog import r, register, rounded
+from tidepanel.plans.q_impute import _LI_KEY_SQL, _LI_SPLIT_KEYS
+from tidepanel.plans.q_profile import CLEAN_LI_SQL, clean_lineitem
+
+X = ["l_quantity", "l_discount"]
+Y = "l_extendedprice"
+LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+
+
+def _fold_sql(mod=5):
+    return (f"CAST(CAST('0x' || substr(md5({_LI_KEY_SQL} || ':fold'), 1, 8) AS BIGINT) % {mod} AS INTEGER)")
+
+
+def _test_sql():
+    return f"CAST('0x' || substr(md5({_LI_KEY_SQL} || ':split'), 1, 8) AS BIGINT) % 10000 < 2000"
+
+
+LIN_DATA_SQL = CLEAN_LI_SQL + f""",
+ld AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+              l_quantity AS x1, l_discount AS x2, l_extendedprice AS y,
+              {_fold_sql()} AS fold, {_test_sql()} AS is_test
+       FROM cl WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_extendedprice IS NOT NULL)"""
+
+
+def lin_data(spark, sf):
+    d = clean_lineitem(spark, sf).select(*LI_KEYS, *X, Y)
+    d = d.where(F.col(X[0]).isNotNull() & F.col(X[1]).isNotNull() & F.col(Y).isNotNull())
+    d = split.kfold(d, _LI_SPLIT_KEYS, 5)
+    return split.split_random(d, _LI_SPLIT_KEYS, 0.2)
+
+
+def _coef_sql(src, alpha=0.0, group=None):
+    g = f"{group}, " if group else ""
+    gb = f" GROUP BY {group}" if group else ""
+    return f"""SELECT {g}count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my,
+      var_pop(x1) * count(*) + {alpha} AS a11, covar_pop(x1, x2) * count(*) AS a12,
+      var_pop(x2) * count(*) + {alpha} AS a22,
+      covar_pop(x1, y) * count(*) AS s1, covar_pop(x2, y) * count(*) AS s2 FROM {src}{gb}"""
+
+
+def _solve_sql(stats):
+    return f"""SELECT *, (a22 * s1 - a12 * s2) / (a11 * a22 - a12 * a12) AS b1,
+      (a11 * s2 - a12 * s1) / (a11 * a22 - a12 * a12) AS b2 FROM {stats}"""
+
+
+def _coef_table_sql(alpha):
+    return f"""WITH {LIN_DATA_SQL},
+st AS ({_coef_sql('ld', alpha)}),
+so AS ({_solve_sql('st')})
+SELECT 'l_quantity' AS feature, {r('b1')} AS coefficient, {r('abs(b1)')} AS abs_coefficient FROM so
+UNION ALL SELECT 'l_discount', {r('b2')}, {r('abs(b2)')} FROM so
+UNION ALL SELECT '(intercept)', {r('my - b1 * m1 - b2 * m2')}, {r('abs(my - b1 * m1 - b2 * m2)')} FROM so"""
+
+
+def _coef_table(spark, model):
+    c = model.coefficients(spark)
+    b0 = model.intercept_in_raw_units()
+    icpt = spark.createDataFrame([("(intercept)", b0, abs(b0))],
+                                 "feature string, coefficient double, abs_coefficient double")
+    return rounded(c.unionByName(icpt))
+
+
+@register("linear_gram_stats", f"""WITH {LIN_DATA_SQL},
+z AS (SELECT fold, 1.0 AS z0, x1 AS z1, x2 AS z2, y AS z3 FROM ld)
+""" + "\nUNION ALL\n".join(
+    f"SELECT fold AS \"group\", {i} AS i, {j} AS j, {r(f'sum(CAST(z{i} AS DOUBLE) * z{j})')} AS value FROM z GROUP BY fold"
+    for i in range(4) for j in range(i, 4)))
+def linear_gram_stats(spark, sf):
+    st = linear.gram_stats(lin_data(spark, sf), X, Y, by="fold")
+    return rounded(st)
+
+
+@register("linear_ols_coefficients", _coef_table_sql(0.0))
+def linear_ols_coefficients(spark, sf):
+    m = linear.fit_linear(lin_data(spark, sf), X, Y)
+    return _coef_table(spark, m)
+
+
+@register("linear_ridge_coefficients", _coef_table_sql(3.0))
+def linear_ridge_coefficients(spark, sf):
+    m = linear.fit_linear(lin_data(spark, sf), X, Y, alpha=3.0)
+    return _coef_table(spark, m)
+
+
+@register("linear_predictions", f"""WITH {LIN_DATA_SQL},
+st AS ({_coef_sql('(SELECT * FROM ld WHERE NOT is_test)')}),
+so AS ({_solve_sql('st')})
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, {r('y')} AS actual,
+  {r('so.my + b1 * (x1 - so.m1) + b2 * (x2 - so.m2)')} AS predicted,
+  {r('y - (so.my + b1 * (x1 - so.m1) + b2 * (x2 - so.m2))')} AS residual
+FROM ld, so WHERE is_test""")
+def linear_predictions(spark, sf):
+    d = lin_data(spark, sf)
+    m = linear.fit_linear(d.where(~F.col("is_test")), X, Y)
+    return rounded(linear.predictions_table(m, d.where(F.col("is_test")), Y, LI_KEYS))
+
+
+@register("linear_cv_ols", f"""WITH {LIN_DATA_SQL},
+fo AS (SELECT CAST(range AS INTEGER) AS f FROM range(5)),
+tr AS (SELECT fo.f, ld.* FROM ld JOIN fo ON ld.fold <> fo.f),
+st AS ({_coef_sql('tr', 0.0, 'f')}),
+so AS ({_solve_sql('st')}),
+pr AS (SELECT ld.fold, ld.y, so.my + b1 * (x1 - so.m1) + b2 * (x2 - so.m2) AS p FROM ld JOIN so ON ld.fold = so.f)
+SELECT fold, count(*) AS n, {r('avg((y - p) ^ 2)')} AS mse, {r('sqrt(avg((y - p) ^ 2))')} AS rmse,
+  {r('avg(abs(y - p))')} AS mae, {r('1 - sum((y - p) ^ 2) / (var_pop(y) * count(*))')} AS r2
+FROM pr GROUP BY fold""")
+def linear_cv_ols(spark, sf):
+    return rounded(linear.cross_validate(lin_data(spark, sf), X, Y, "fold", 5))
+
+
+@register("linear_poly2_coefficients")
+def linear_poly2_coefficients(spark, sf):
+    from tidepanel.operators import encode
+    d = encode.polynomial(lin_data(spark, sf), X, 2)
+    names = [n for n, _ in encode.polynomial_terms(X, 2)]
+    m = linear.fit_linear(d, names, Y)
+    return _coef_table(spark, m)
