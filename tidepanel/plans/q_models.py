@@ -128,3 +128,73 @@ def linear_poly2_coefficients(spark, sf):
     names = [n for n, _ in encode.polynomial_terms(X, 2)]
     m = linear.fit_linear(d, names, Y)
     return _coef_table(spark, m)
+
+
+# ---- k-means / PCA on the embeddings -------------------------------------------
+
+from tidepanel.operators.models import cluster  # noqa: E402
+from tidepanel.sources.tables import driver_table  # noqa: E402
+
+EMB_LONG_SQL = """el AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS v
+        FROM (SELECT vec_id, label, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings)),
+lab AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT label FROM embeddings)),
+ce AS (SELECT lab.cluster, i, avg(v) AS m FROM el JOIN lab ON el.label = lab.label GROUP BY 1, 2),
+dist AS (SELECT el.vec_id, ce.cluster, sum((el.v - ce.m) * (el.v - ce.m)) AS d FROM el JOIN ce ON el.i = ce.i GROUP BY 1, 2),
+best AS (SELECT vec_id, cluster, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS rk FROM dist) WHERE rk = 1)"""
+
+
+def embeddings(spark, sf):
+    return driver_table(spark, sf, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+
+
+def assigned_by_class_means(spark, sf):
+    e = embeddings(spark, sf)
+    centres = cluster.class_means(e, "x", "label")
+    return cluster.assign(e, "x", centres)
+
+
+@register("kmeans_assign_class_means", f"""WITH {EMB_LONG_SQL}
+SELECT vec_id, cluster, {r('d')} AS sq_dist FROM best""")
+def kmeans_assign_class_means(spark, sf):
+    return rounded(assigned_by_class_means(spark, sf).select("vec_id", "cluster", "sq_dist"))
+
+
+@register("kmeans_inertia_class_means", f"""WITH {EMB_LONG_SQL}
+SELECT {r('sum(d)')} AS inertia, count(*) AS n FROM best""")
+def kmeans_inertia_class_means(spark, sf):
+    a = assigned_by_class_means(spark, sf)
+    return rounded(a.agg(F.sum("sq_dist").alias("inertia"), F.count(F.lit(1)).alias("n")))
+
+
+@register("kmeans_attach_cluster", f"""WITH {EMB_LONG_SQL}
+SELECT b.vec_id, e.label, b.cluster FROM best b JOIN embeddings e ON b.vec_id = e.vec_id""")
+def kmeans_attach_cluster(spark, sf):
+    return assigned_by_class_means(spark, sf).select("vec_id", "label", "cluster")
+
+
+@register("kmeans_cluster_profile", f"""WITH {EMB_LONG_SQL}
+SELECT b.cluster, count(*) AS n, {', '.join(r(f'avg(CAST(e.embedding[{i + 1}] AS DOUBLE))') + f' AS mean_x{i}' for i in range(4))}
+FROM best b JOIN embeddings e ON b.vec_id = e.vec_id GROUP BY 1""")
+def kmeans_cluster_profile(spark, sf):
+    a = assigned_by_class_means(spark, sf).withColumns({f"x{i}": F.col("x")[i] for i in range(4)})
+    return rounded(cluster.cluster_profile(a, "cluster", [f"x{i}" for i in range(4)]))
+
+
+@register("kmeans_fit_centres")
+def kmeans_fit_centres(spark, sf):
+    e = embeddings(spark, sf)
+    res = cluster.kmeans(e, "x", 10, restarts=10, seed=42)
+    return rounded(cluster.centres_table(spark, res.centres, [f"x{i}" for i in range(len(res.centres[0]))]))
+
+
+@register("kmeans_sweep")
+def kmeans_sweep(spark, sf):
+    table, _ = cluster.kmeans_sweep(embeddings(spark, sf), "x", range(2, 13), restarts=10, seed=42)
+    return rounded(table)
+
+
+@register("pca_2d")
+def pca_2d(spark, sf):
+    rows, _, _ = cluster.pca_2d(embeddings(spark, sf), "x", keep=["vec_id", "label"])
+    return rounded(rows)
