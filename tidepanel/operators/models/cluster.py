@@ -1,8 +1,8 @@
 """K-means, assignment, sweeps and PCA.
 
 Fits use ``spark.ml`` (distributed Lloyd iterations; only the k centres move
-between driver and executors). Restarts and the k sweep are independent jobs
-submitted from a small thread pool over one cached, lineage-cut input.
+between driver and executors). Restarts are independent jobs
+submitted from a small thread pool; a sweep reuses one cached vector frame.
 """
 
 from __future__ import annotations
@@ -72,12 +72,14 @@ def _canonical(centres) -> list[list[float]]:
 
 
 def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
-           max_iter: int = 300, tol: float = 1e-4, parallel: int = 4) -> KMeansResult:
+           max_iter: int = 300, tol: float = 1e-4, parallel: int = 4,
+           vec: DataFrame | None = None) -> KMeansResult:
     """Best of ``restarts`` spark.ml k-means fits (k-means|| init) by
     training cost; centres in canonical order."""
     from pyspark.ml.clustering import KMeans
 
-    vec = to_vector(df.select(array_col), array_col)
+    if vec is None:
+        vec = to_vector(df.select(array_col), array_col)
 
     def one(r):
         km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features")
@@ -97,13 +99,17 @@ def kmeans_sweep(df: DataFrame, array_col: str, ks=range(2, 13), *, restarts: in
     fitted results by k."""
     fits = {}
     rows = []
-    for k in ks:
-        res = kmeans(df, array_col, k, restarts=restarts, seed=seed, parallel=parallel)
-        fits[k] = res
-        labelled = assign(df.select(array_col), array_col, res.centres, dist_col="sq_dist")
-        agg = labelled.agg(F.sum("sq_dist").alias("inertia")).first()
-        sil = silhouette_sq_euclidean(labelled, array_col, "cluster").first()[0]
-        rows.append((int(k), float(agg["inertia"]), float(sil) if sil is not None else None))
+    vec = to_vector(df.select(array_col), array_col).persist()
+    try:
+        for k in ks:
+            res = kmeans(df, array_col, k, restarts=restarts, seed=seed, parallel=parallel, vec=vec)
+            fits[k] = res
+            labelled = assign(vec, array_col, res.centres, dist_col="sq_dist")
+            agg = labelled.agg(F.sum("sq_dist").alias("inertia")).first()
+            sil = silhouette_sq_euclidean(labelled, array_col, "cluster").first()[0]
+            rows.append((int(k), float(agg["inertia"]), float(sil) if sil is not None else None))
+    finally:
+        vec.unpersist()
     table = df.sparkSession.createDataFrame(rows, "n_clusters int, inertia double, silhouette_score double")
     return table, fits
 

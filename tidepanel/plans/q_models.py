@@ -198,3 +198,81 @@ def kmeans_sweep(spark, sf):
 def pca_2d(spark, sf):
     rows, _, _ = cluster.pca_2d(embeddings(spark, sf), "x", keep=["vec_id", "label"])
     return rounded(rows)
+
+
+# ---- decision trees on the rise-level panel ---------------------------------------
+
+from tidepanel.operators import derive, encode  # noqa: E402
+from tidepanel.operators.models import tree  # noqa: E402
+from tidepanel.plans.q_derive import LABEL_SQL, NEXT_SQL, next_panel  # noqa: E402
+
+RISE = list(derive.RISE_LABELS)
+TREE_NUM = ["price", "n_orders", "d_ordinal"]
+
+
+def rise_panel(spark, sf):
+    """Labelled panel with the train/test split (stratified) and folds."""
+    p = derive.bin_labels(next_panel(spark, sf), "price_change_pct", "rise_level")
+    p = derive.add_date_ordinal(p, "d", "d_ordinal").where(F.col("rise_level").isNotNull())
+    p = split.split_stratified(p, ["n_name", "d"], "rise_level", 0.2)
+    return split.stratified_kfold(p, ["n_name", "d"], "rise_level", 5)
+
+
+def tree_frame(spark, sf):
+    p = rise_panel(spark, sf)
+    train = p.where(~F.col("is_test"))
+    plan = encode.FeaturePlan(numeric=TREE_NUM, categorical=["n_name"], imputer="median", scaler=None,
+                              keep=["n_name_raw", "d", "rise_level", "is_test", "fold"])
+    p2 = p.withColumn("n_name_raw", F.col("n_name"))
+    fitted = plan.fit(train)
+    feats = fitted.transform(p2)
+    frame = tree.prepare(feats, fitted.feature_names, "rise_level", RISE,
+                         keep=["n_name_raw", "d", "is_test", "fold"])
+    return frame, fitted.feature_names
+
+
+_SPLIT_KEY = "rise_level || ':' || n_name || ':' || CAST(d AS VARCHAR) || ':split'"
+
+
+@register("tree_class_weights", f"""WITH {NEXT_SQL},
+lb AS (SELECT n_name, d, {LABEL_SQL} AS rise_level FROM ch),
+tr AS (SELECT * FROM lb WHERE rise_level IS NOT NULL
+       AND CAST('0x' || substr(md5({_SPLIT_KEY}), 1, 8) AS BIGINT) % 10000 >= 2000),
+c AS (SELECT rise_level, count(*) AS n FROM tr GROUP BY 1)
+SELECT rise_level, {r('(SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n)')} AS weight FROM c""")
+def tree_class_weights(spark, sf):
+    train = rise_panel(spark, sf).where(~F.col("is_test"))
+    w = tree.class_weights(train, "rise_level")
+    return rounded(spark.createDataFrame(sorted(w.items()), "rise_level string, weight double"))
+
+
+def _fixed_fit(spark, sf):
+    frame, names = tree_frame(spark, sf)
+    train = frame.where(~F.col("is_test"))
+    model = tree.fit(train, impurity="gini", max_depth=5, min_leaf=5)
+    return model, names, frame
+
+
+@register("tree_feature_importance")
+def tree_feature_importance(spark, sf):
+    model, names, _ = _fixed_fit(spark, sf)
+    return rounded(tree.importances(model, names, spark, top=10))
+
+
+@register("tree_nodes")
+def tree_nodes(spark, sf):
+    model, names, _ = _fixed_fit(spark, sf)
+    return rounded(tree.node_frame(tree.node_table(model, spark), names, RISE, spark, max_depth=4))
+
+
+@register("tree_thresholds")
+def tree_thresholds(spark, sf):
+    model, names, _ = _fixed_fit(spark, sf)
+    return tree.thresholds(tree.node_frame(tree.node_table(model, spark), names, RISE, spark))
+
+
+@register("tree_grid_search")
+def tree_grid_search(spark, sf):
+    frame, _ = tree_frame(spark, sf)
+    res = tree.grid_search(frame.where(~F.col("is_test")), "fold", RISE)
+    return rounded(res.table)
