@@ -1,8 +1,9 @@
 """K-means, assignment, sweeps and PCA.
 
-Fits use ``spark.ml`` (distributed Lloyd iterations; only the k centres move
-between driver and executors). Restarts are independent jobs
-submitted from a small thread pool; a sweep reuses one cached vector frame.
+Fits run Lloyd iterations where one pass over the cached data advances every
+(k, restart) model at once (numpy inside ``mapInPandas`` tasks, partial sums
+reduced by a group-by); only centres move between driver and executors.
+``spark.ml`` KMeans is available as ``kmeans_spark_ml``.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.operators.metrics import silhouette_sq_euclidean
+from tidepanel.session import right_sized
 
 
 def to_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -71,49 +73,175 @@ def _canonical(centres) -> list[list[float]]:
     return [list(map(float, c)) for c in sorted((list(c) for c in centres))]
 
 
-def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
-           max_iter: int = 300, tol: float = 1e-4, parallel: int = 4,
-           vec: DataFrame | None = None) -> KMeansResult:
-    """Best of ``restarts`` spark.ml k-means fits (k-means|| init) by
-    training cost; centres in canonical order."""
-    from pyspark.ml.clustering import KMeans
-
-    if vec is None:
-        vec = to_vector(df.select(array_col), array_col)
+SAMPLE_ROWS = 20_000  # rows used for k-means++ seeding (bounded collect)
+
+
+def _seed_sample(vec: DataFrame, array_col: str, n: int, seed: int) -> np.ndarray:
+    frac = min(1.0, SAMPLE_ROWS / max(n, 1))
+    rows = (vec if frac >= 1.0 else vec.sample(fraction=frac, seed=seed)).select(array_col) \
+        .limit(2 * SAMPLE_ROWS).collect()
+    return np.array([r[0] for r in rows], dtype="float64")
+
+
+def _kmeanspp(X: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
+    """Greedy k-means++ seeding (2 + log k candidates per step)."""
+    n = X.shape[0]
+    trials = 2 + int(np.log(k))
+    centres = [X[rng.randint(n)]]
+    d2 = ((X - centres[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        tot = d2.sum()
+        if tot <= 0:
+            centres.append(X[rng.randint(n)])
+            continue
+        cand = rng.choice(n, size=trials, p=d2 / tot)
+        best, best_pot, best_d2 = None, None, None
+        for c in cand:
+            nd2 = np.minimum(d2, ((X - X[c]) ** 2).sum(1))
+            pot = nd2.sum()
+            if best_pot is None or pot < best_pot:
+                best, best_pot, best_d2 = c, pot, nd2
+        centres.append(X[best])
+        d2 = best_d2
+    return np.array(centres)
+
+
+def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_iter: int = 300,
+                  tol: float = 1e-4, seed: int = 42) -> list[KMeansResult]:
+    """Lloyd iterations for many (k, seed) models at once.
+
+    Each iteration is ONE pass over the (cached) data: every partition
+    assigns its rows to the nearest centre of every active model with numpy
+    and emits per-(model, cluster) partial sums, which a group-by reduces;
+    only the new centres (sum of k over models, times d) reach the driver.
+    Convergence per model: squared centre shift <= tol x mean feature
+    variance; empty clusters keep their centre.
+    """
+    from pyspark.sql import types as T
+
+    sample = _seed_sample(vec, array_col, n_rows, seed)
+    if len(sample) == 0:
+        return []
+    thr = tol * float(np.mean(np.var(sample, axis=0)))
+    centres = {}
+    for mi, (k, s) in enumerate(configs):
+        centres[mi] = _kmeanspp(sample, min(k, len(sample)), np.random.RandomState(s))
+    active = set(centres)
+    cost = {mi: float("nan") for mi in centres}
+    schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                           T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType()),
+                           T.StructField("s", T.ArrayType(T.DoubleType()))])
+    for _ in range(max_iter):
+        if not active:
+            break
+        cur = {mi: centres[mi] for mi in active}
+
+        def partial(batches, cur=cur):
+            import pandas as pd
+            acc = {}
+            for pdf in batches:
+                if len(pdf) == 0:
+                    continue
+                X = np.stack(pdf[array_col].to_numpy()).astype("float64")
+                for mi, C in cur.items():
+                    d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2)
+                    lab = d2.argmin(1)
+                    best = d2[np.arange(len(X)), lab]
+                    k = C.shape[0]
+                    cnt = np.bincount(lab, minlength=k)
+                    sums = np.zeros_like(C)
+                    np.add.at(sums, lab, X)
+                    cst = np.bincount(lab, weights=best, minlength=k)
+                    a = acc.get(mi)
+                    acc[mi] = (cnt, sums, cst) if a is None else (a[0] + cnt, a[1] + sums, a[2] + cst)
+            rows = []
+            for mi, (cnt, sums, cst) in acc.items():
+                for c in range(len(cnt)):
+                    rows.append((mi, c, int(cnt[c]), float(cst[c]), sums[c].tolist()))
+            yield pd.DataFrame(rows, columns=["m", "c", "n", "cost", "s"])
+
+        red = vec.select(array_col).mapInPandas(partial, schema).groupBy("m", "c").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), F.size(F.first("s"))),
+                        lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("s")).collect()
+        # collect_list holds one partial per input partition for a (model, cluster)
+        by_model = {}
+        for r in red:
+            by_model.setdefault(r["m"], []).append(r)
+        for mi, rs in by_model.items():
+            C = centres[mi].copy()
+            tot = 0.0
+            for r in rs:
+                tot += r["cost"]
+                if r["n"] > 0:
+                    C[r["c"]] = np.array(r["s"]) / r["n"]
+            cost[mi] = tot
+            shift = float(((C - centres[mi]) ** 2).sum())
+            centres[mi] = C
+            if shift <= thr:
+                active.discard(mi)
+    return [KMeansResult(k, _canonical(centres[mi]), cost[mi], s) for mi, (k, s) in enumerate(configs)]
 
-    def one(r):
-        km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features")
-        m = km.fit(vec)
-        return KMeansResult(k, _canonical(m.clusterCenters()), float(m.summary.trainingCost), seed + r)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        results = list(ex.map(one, range(restarts)))
-    return min(results, key=lambda res: (res.cost, res.seed))
+def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
+           max_iter: int = 300, tol: float = 1e-4) -> KMeansResult:
+    """Best of ``restarts`` k-means fits (k-means++ seeding, Lloyd), all
+    restarts advanced together in one data pass per iteration; centres in
+    canonical order."""
+    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)))
+    try:
+        res = batched_lloyd(vec, array_col, [(k, seed + r) for r in range(restarts)], n_rows=n,
+                            max_iter=max_iter, tol=tol, seed=seed)
+    finally:
+        vec.unpersist()
+    return min(res, key=lambda x: (x.cost, x.seed))
 
 
 def kmeans_sweep(df: DataFrame, array_col: str, ks=range(2, 13), *, restarts: int = 10,
-                 seed: int = 42, parallel: int = 4) -> tuple[DataFrame, dict]:
+                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> tuple[DataFrame, dict]:
     """Inertia and (squared-Euclidean, linear-time) silhouette per k.
 
+    All k x restarts models advance together (one pass per iteration).
     Returns the table ``(n_clusters, inertia, silhouette_score)`` and the
-    fitted results by k."""
-    fits = {}
-    rows = []
-    vec = to_vector(df.select(array_col), array_col).persist()
+    best fit per k."""
+    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)))
+    ks = list(ks)
     try:
+        res = batched_lloyd(vec, array_col, [(k, seed + r) for k in ks for r in range(restarts)],
+                            n_rows=n, max_iter=max_iter, tol=tol, seed=seed)
+        fits = {}
+        for x in res:
+            cur = fits.get(x.k)
+            if cur is None or (x.cost, x.seed) < (cur.cost, cur.seed):
+                fits[x.k] = x
+        rows = []
         for k in ks:
-            res = kmeans(df, array_col, k, restarts=restarts, seed=seed, parallel=parallel, vec=vec)
-            fits[k] = res
-            labelled = assign(vec, array_col, res.centres, dist_col="sq_dist")
-            agg = labelled.agg(F.sum("sq_dist").alias("inertia")).first()
+            labelled = assign(vec, array_col, fits[k].centres, dist_col="sq_dist")
+            inertia_ = labelled.agg(F.sum("sq_dist").alias("inertia")).first()["inertia"]
             sil = silhouette_sq_euclidean(labelled, array_col, "cluster").first()[0]
-            rows.append((int(k), float(agg["inertia"]), float(sil) if sil is not None else None))
+            rows.append((int(k), float(inertia_), float(sil) if sil is not None else None))
     finally:
         vec.unpersist()
     table = df.sparkSession.createDataFrame(rows, "n_clusters int, inertia double, silhouette_score double")
     return table, fits
 
 
+def kmeans_spark_ml(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
+                    max_iter: int = 300, tol: float = 1e-4, parallel: int = 8) -> KMeansResult:
+    """M12 with ``spark.ml`` KMeans (k-means|| seeding), one fit per restart."""
+    from pyspark.ml.clustering import KMeans
+
+    vec = to_vector(df.select(array_col), array_col)
+
+    def one(r):
+        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
+        return KMeansResult(k, _canonical(m.clusterCenters()), float(m.summary.trainingCost), seed + r)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
+        results = list(ex.map(one, range(restarts)))
+    return min(results, key=lambda res: (res.cost, res.seed))
+
+
 def select_k(sweep: DataFrame) -> DataFrame:
     """The k with the best silhouette; ties -> smallest k."""
     return sweep.orderBy(F.desc_nulls_last("silhouette_score"), "n_clusters").limit(1)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.session import bounded_broadcast, ensure_checkpoint_dir
+from tidepanel.session import bounded_broadcast, ensure_checkpoint_dir, right_sized
 
 SPARK_MAX_DEPTH = 30  # deepest tree spark.ml grows ("no limit")
 
@@ -158,7 +158,7 @@ def grid_search(frame: DataFrame, fold_col: str, labels, *, criteria=("gini", "e
     depth_vals = [SPARK_MAX_DEPTH if d is None else int(d) for d in depths]
     cuts = [(d, s) for d in depth_vals for s in min_splits]
     fit_keys = [(c, ml, cw) for c in criteria for ml in min_leaves for cw in class_weights_]
-    frame = frame.persist()
+    frame, _ = right_sized(frame)
     try:
         jobs = [(fk, f) for fk in fit_keys for f in range(k)]
 

@@ -93,3 +93,32 @@ def dirty_orders_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = hash_bucket(F.concat(F.col("o_orderkey").cast("string"), F.lit(":prio")), 100)
     return o.withColumn("o_orderpriority",
                         F.when(b >= NULL_BUCKETS, F.col("o_orderpriority")))
+
+
+MARKET_MEASURES = ("avg_line_price", "n_lines", "avg_discount", "avg_tax", "avg_quantity", "revenue")
+
+
+def market_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six measures per nation and order date from lineitem x orders x customer.
+
+    lineitem is first reduced to one row per order (partial sums, combined
+    map-side); that aggregate is hash-partitioned by the order key, which is
+    also the join key with orders, so the join adds no exchange on that side.
+    """
+    li = driver_table(spark, sf_dir, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("l_extendedprice").alias("s_price"),
+        F.sum("l_discount").alias("s_disc"), F.sum("l_tax").alias("s_tax"),
+        F.sum("l_quantity").alias("s_qty"),
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("s_rev"))
+    orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+    cn = customer_nation(spark, sf_dir)
+    j = j.join(cn, j.o_custkey == cn.c_custkey)
+    g = j.groupBy("n_name", F.col("o_orderdate").cast("date").alias("d")).agg(
+        F.sum("k").alias("n_lines"), F.sum("s_price").alias("s_price"), F.sum("s_disc").alias("s_disc"),
+        F.sum("s_tax").alias("s_tax"), F.sum("s_qty").alias("s_qty"), F.sum("s_rev").alias("revenue"))
+    n = F.col("n_lines").cast("double")
+    return g.select("n_name", "d", (F.col("s_price") / n).alias("avg_line_price"), "n_lines",
+                    (F.col("s_disc") / n).alias("avg_discount"), (F.col("s_tax") / n).alias("avg_tax"),
+                    (F.col("s_qty") / n).alias("avg_quantity"), "revenue")

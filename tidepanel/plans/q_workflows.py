@@ -1 +1,125 @@
-"""Registered queries."""
+"""Workflow queries (Q1-Q5, Q7) and the market panel binding."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepanel.operators import derive
+from tidepanel.plans import bindings as B
+from tidepanel.plans import sqlparts as S
+from tidepanel.plans import workflows as W
+from tidepanel.plans.catalog import r, register, rounded
+from tidepanel.plans.q_clean import PANEL_CLEAN_SQL, clean_panel
+from tidepanel.plans.q_derive import next_panel
+from tidepanel.plans.q_models import rise_panel
+
+MARKET_SQL = """po AS (SELECT l_orderkey, count(*) AS k, sum(l_extendedprice) AS s_price, sum(l_discount) AS s_disc,
+         sum(l_tax) AS s_tax, sum(l_quantity) AS s_qty, sum(l_extendedprice * (1 - l_discount)) AS s_rev
+       FROM lineitem GROUP BY 1),
+mk AS (SELECT n.n_name, CAST(o.o_orderdate AS DATE) AS d, sum(k) AS n_lines, sum(s_price) AS s_price,
+         sum(s_disc) AS s_disc, sum(s_tax) AS s_tax, sum(s_qty) AS s_qty, sum(s_rev) AS revenue
+       FROM po JOIN orders o ON po.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2)"""
+
+
+@register("workflow_market_panel", f"""WITH {MARKET_SQL}
+SELECT n_name, d, {r('s_price / n_lines')} AS avg_line_price, CAST(n_lines AS BIGINT) AS n_lines,
+  {r('s_disc / n_lines')} AS avg_discount, {r('s_tax / n_lines')} AS avg_tax,
+  {r('s_qty / n_lines')} AS avg_quantity, {r('revenue')} AS revenue FROM mk""")
+def workflow_market_panel(spark, sf):
+    return rounded(B.market_panel(spark, sf))
+
+
+@register("workflow_profile_missing", f"""WITH {PANEL_CLEAN_SQL}
+SELECT * FROM (VALUES ('n_name'), ('d'), ('price'), ('n_orders')) v("column") JOIN (
+  SELECT 'n_name' AS c, count(*) - count(n_name) AS missing_raw, count(*) - count(n_name) AS missing_cleaned FROM pc
+  UNION ALL SELECT 'd', count(*) - count(d), count(*) - count(d) FROM pc
+  UNION ALL SELECT 'price', (SELECT count(*) - count(price) FROM panel), count(*) - count(price) FROM pc
+  UNION ALL SELECT 'n_orders', count(*) - count(n_orders), count(*) - count(n_orders) FROM pc) m ON v."column" = m.c""".replace(
+    'SELECT * FROM (VALUES', 'SELECT v."column", missing_raw, missing_cleaned FROM (VALUES'))
+def workflow_profile_missing(spark, sf):
+    raw = B.dirty_nation_day_panel(spark, sf)
+    cleaned = clean_panel(spark, sf)
+    res = W.profile_panel(raw, derive.bin_labels(
+        derive.next_step_change(cleaned, B.PANEL_SPEC, "price", pct_col="pct", drop_last=False),
+        "pct", "rise_level"), entity="n_name", measure="price", label_col="rise_level",
+        labels=derive.RISE_LABELS)
+    return res["missing"].where(F.col("column").isin("n_name", "d", "price", "n_orders"))
+
+
+@register("workflow_classify_report")
+def workflow_classify_report(spark, sf):
+    p = rise_panel(spark, sf).drop("is_test", "fold")
+    res = W.classify(p, numeric=["price", "n_orders", "d_ordinal"], categorical=["n_name"],
+                     label="rise_level", labels=list(derive.RISE_LABELS), key_cols=["n_name", "d"])
+    return rounded(res["report"])
+
+
+@register("workflow_regress_metrics")
+def workflow_regress_metrics(spark, sf):
+    p = derive.add_date_ordinal(next_panel(spark, sf), "d", "d_ordinal")
+    res = W.regress(p, numeric=["price", "n_orders", "d_ordinal"], categorical=["n_name"],
+                    target="price_change_pct", key_cols=["n_name", "d"], alpha=3.0)
+    return rounded(res["metrics"].crossJoin(res["variance"]))
+
+
+def next_step_base(spark, sf):
+    return W.next_step_data(B.dirty_nation_day_panel(spark, sf), B.PANEL_SPEC, value="price",
+                            measures=["price", "n_orders"], sentinel=B.SENTINEL)
+
+
+@register("workflow_next_step_data", f"""WITH {S.PANEL},
+c AS (SELECT n_name, d, n_orders, nullif(price, CAST(999.0 AS DOUBLE)) AS price FROM panel),
+{S.interp_ctes('c', 'price', 'n_name', 'd', 'ip1')},
+{S.interp_ctes('ip1', 'n_orders', 'n_name', 'd', 'ip2')},
+m AS (SELECT quantile_cont(price_i, 0.5) AS mp, quantile_cont(n_orders_i, 0.5) AS mn FROM ip2),
+f AS (SELECT n_name, d, coalesce(price_i, mp) AS price, coalesce(n_orders_i, mn) AS n_orders FROM ip2, m),
+nx AS (SELECT *, lead(price) OVER (PARTITION BY n_name ORDER BY d) AS next_price FROM f)
+SELECT n_name, d, {r('price')} AS price, {r('n_orders')} AS n_orders, {r('next_price')} AS next_price,
+  {r('next_price - price')} AS next_price_change FROM nx WHERE next_price - price IS NOT NULL""")
+def workflow_next_step_data(spark, sf):
+    return rounded(next_step_base(spark, sf))
+
+
+FEATURE_SETS = {
+    "all": ["price", "n_orders", "d_ordinal", "n_name"],
+    "without_n_orders": ["price", "d_ordinal", "n_name"],
+    "without_date": ["price", "n_orders", "n_name"],
+    "without_nation": ["price", "n_orders", "d_ordinal"],
+}
+
+
+@register("workflow_next_step_sweep")
+def workflow_next_step_sweep(spark, sf):
+    d = derive.add_date_ordinal(next_step_base(spark, sf), "d", "d_ordinal")
+    res = W.next_step_regression(d, feature_sets=FEATURE_SETS, target="next_price_change",
+                                 categorical=["n_name"], key_cols=["n_name", "d"])
+    return rounded(res["sweep"])
+
+
+@register("workflow_cluster_sweep")
+def workflow_cluster_sweep(spark, sf):
+    res = W.cluster_state(B.market_panel(spark, sf), measures=list(B.MARKET_MEASURES), keep=["n_name", "d"])
+    out = rounded(res["sweep"]).withColumn("chosen", F.col("n_clusters") == F.lit(int(res["k"])))
+    return out
+
+
+def _q7_sql():
+    cols = ["price", "n_orders"]
+    tr = f"""WITH {PANEL_CLEAN_SQL},
+cut AS (SELECT quantile_cont(CAST(date_diff('day', DATE '1970-01-01', d) AS DOUBLE), 0.8) AS c FROM pc),
+sp AS (SELECT pc.*, CAST(date_diff('day', DATE '1970-01-01', d) AS DOUBLE) > c AS is_test FROM pc, cut),
+st AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in cols)}
+       FROM sp WHERE NOT is_test),
+sc AS (SELECT {', '.join(f"(CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)} FROM sp, st)
+"""
+    parts = [f"""SELECT '{c}' AS "column", count({c}) AS count, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std,
+  {r(f'min({c})')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS p25, {r(f'quantile_cont({c}, 0.5)')} AS p50,
+  {r(f'quantile_cont({c}, 0.75)')} AS p75, {r(f'max({c})')} AS max FROM sc""" for c in cols]
+    return tr + S.union_all(parts)
+
+
+@register("workflow_scaled_describe", _q7_sql())
+def workflow_scaled_describe(spark, sf):
+    res = W.scale_with_ordered_split(clean_panel(spark, sf), time_col="d", measures=["price", "n_orders"])
+    return rounded(res["describe_after"])

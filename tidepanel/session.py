@@ -83,3 +83,21 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:  # pragma: no cover - connect sessions
         return int(os.environ.get("BENCH_CPUS", "8"))
+
+
+def right_sized(df: DataFrame, rows_per_partition: int = 200_000) -> tuple[DataFrame, int]:
+    """Persist ``df`` with about ``rows_per_partition`` rows per partition.
+
+    For iterative fits (many small jobs over the same data) the task count per
+    job should follow the data size: thousands of near-empty tasks per
+    iteration cost more than the work. Only ever reduces the partition count
+    (``coalesce``: no shuffle). Returns the persisted frame and its row count.
+    """
+    import math
+    n = df.count()
+    target = max(1, math.ceil(n / rows_per_partition))
+    current = df.rdd.getNumPartitions()
+    out = df.coalesce(target) if target < current else df
+    out = out.persist()
+    out.count()
+    return out, n
