@@ -74,6 +74,17 @@ def _canonical(centres) -> list[list[float]]:
 
 
 SAMPLE_ROWS = 20_000  # rows used for k-means++ seeding (bounded collect)
+DIRECT_REDUCE_PARTITIONS = 64  # up to this many partitions, partial sums are reduced on the driver
+
+
+def _reduce_local(rows):
+    acc = {}
+    for r in rows:
+        key = (r["m"], r["c"])
+        a = acc.get(key)
+        s = np.array(r["s"])
+        acc[key] = (r["n"], r["cost"], s) if a is None else (a[0] + r["n"], a[1] + r["cost"], a[2] + s)
+    return [{"m": m, "c": c, "n": n, "cost": cost, "s": s} for (m, c), (n, cost, s) in acc.items()]
 
 
 def _seed_sample(vec: DataFrame, array_col: str, n: int, seed: int) -> np.ndarray:
@@ -128,6 +139,7 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_i
         centres[mi] = _kmeanspp(sample, min(k, len(sample)), np.random.RandomState(s))
     active = set(centres)
     cost = {mi: float("nan") for mi in centres}
+    n_parts = vec.rdd.getNumPartitions()
     schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
                            T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType()),
                            T.StructField("s", T.ArrayType(T.DoubleType()))])
@@ -160,11 +172,16 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_i
                     rows.append((mi, c, int(cnt[c]), float(cst[c]), sums[c].tolist()))
             yield pd.DataFrame(rows, columns=["m", "c", "n", "cost", "s"])
 
-        red = vec.select(array_col).mapInPandas(partial, schema).groupBy("m", "c").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-            F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), F.size(F.first("s"))),
-                        lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("s")).collect()
-        # collect_list holds one partial per input partition for a (model, cluster)
+        parts = vec.select(array_col).mapInPandas(partial, schema)
+        if n_parts <= DIRECT_REDUCE_PARTITIONS:
+            # at most n_parts x sum(k) partial rows: reduced on the driver
+            red = _reduce_local(parts.collect())
+        else:
+            # collect_list holds one partial per input partition for a (model, cluster)
+            red = parts.groupBy("m", "c").agg(
+                F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), F.size(F.first("s"))),
+                            lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("s")).collect()
         by_model = {}
         for r in red:
             by_model.setdefault(r["m"], []).append(r)
@@ -183,6 +200,89 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_i
     return [KMeansResult(k, _canonical(centres[mi]), cost[mi], s) for mi, (k, s) in enumerate(configs)]
 
 
+def _partials(vec: DataFrame, array_col: str, fn, schema):
+    """Run ``fn(X) -> list of rows`` per partition and sum the rows by their
+    leading integer keys (driver-side for few partitions, else a group-by)."""
+    def part(batches):
+        import pandas as pd
+        acc = {}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.stack(pdf[array_col].to_numpy()).astype("float64")
+            for key, vals in fn(X):
+                a = acc.get(key)
+                acc[key] = vals if a is None else [x + y for x, y in zip(a, vals)]
+        yield pd.DataFrame([(*k, *[v.tolist() if hasattr(v, "tolist") else v for v in vals])
+                            for k, vals in acc.items()], columns=schema.fieldNames())
+    return vec.select(array_col).mapInPandas(part, schema)
+
+
+def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tuple]:
+    """Inertia and squared-Euclidean silhouette for several clusterings in two
+    passes over the data (same definition as
+    :func:`tidepanel.operators.metrics.silhouette_sq_euclidean`)."""
+    from pyspark.sql import types as T
+    cents = {k: np.array(c) for k, c in centres_by_k.items()}
+
+    def stats(X):
+        sq = (X * X).sum(1)
+        for k, C in cents.items():
+            d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2)
+            lab = d2.argmin(1)
+            kk = C.shape[0]
+            sums = np.zeros_like(C)
+            np.add.at(sums, lab, X)
+            yield (k, -1), [0.0, float(d2[np.arange(len(X)), lab].sum()), np.zeros(X.shape[1])]
+            cnt = np.bincount(lab, minlength=kk)
+            q = np.bincount(lab, weights=sq, minlength=kk)
+            for c in range(kk):
+                yield (k, c), [float(cnt[c]), float(q[c]), sums[c]]
+
+    sch = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                        T.StructField("n", T.DoubleType()), T.StructField("q", T.DoubleType()),
+                        T.StructField("y", T.ArrayType(T.DoubleType()))])
+    acc = {}
+    for r in _partials(vec, array_col, stats, sch).collect():
+        key = (r["k"], r["c"])
+        a = acc.get(key)
+        v = [r["n"], r["q"], np.array(r["y"])]
+        acc[key] = v if a is None else [x + y for x, y in zip(a, v)]
+    inertia_by_k = {k: acc[(k, -1)][1] for k in cents}
+    cl = {k: (np.array([acc.get((k, c), [0, 0, 0])[0] for c in range(len(C))]),
+              np.array([acc.get((k, c), [0, 0, 0])[1] for c in range(len(C))]),
+              np.array([acc.get((k, c), [0, 0, np.zeros(C.shape[1])])[2] for c in range(len(C))]))
+          for k, C in cents.items()}
+
+    def sil(X):
+        sq = (X * X).sum(1)
+        for k, C in cents.items():
+            N, Q, Y = cl[k]
+            lab = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2).argmin(1)
+            tot = N[None, :] * sq[:, None] - 2 * X @ Y.T + Q[None, :]
+            own_n = N[lab]
+            a = np.where(own_n > 1, tot[np.arange(len(X)), lab] / np.maximum(own_n - 1, 1), 0.0)
+            other = np.where(N[None, :] > 0, tot / np.maximum(N[None, :], 1), np.inf)
+            other[np.arange(len(X)), lab] = np.inf
+            b = other.min(1)
+            den = np.maximum(a, b)
+            s = np.where((own_n > 1) & (den > 0), (b - a) / np.where(den > 0, den, 1), 0.0)
+            yield (k, 0), [float(s.sum()), float(len(X))]
+
+    sch2 = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                         T.StructField("s", T.DoubleType()), T.StructField("n", T.DoubleType())])
+    tot_s = {}
+    for r in _partials(vec, array_col, sil, sch2).collect():
+        a = tot_s.get(r["k"], (0.0, 0.0))
+        tot_s[r["k"]] = (a[0] + r["s"], a[1] + r["n"])
+    out = []
+    for k in centres_by_k:
+        s_, n_ = tot_s.get(k, (0.0, 0.0))
+        nonempty = int((cl[k][0] > 0).sum())
+        out.append((int(k), float(inertia_by_k[k]), float(s_ / n_) if n_ and nonempty > 1 else None))
+    return out
+
+
 def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
            max_iter: int = 300, tol: float = 1e-4) -> KMeansResult:
     """Best of ``restarts`` k-means fits (k-means++ seeding, Lloyd), all
@@ -214,12 +314,7 @@ def kmeans_sweep(df: DataFrame, array_col: str, ks=range(2, 13), *, restarts: in
             cur = fits.get(x.k)
             if cur is None or (x.cost, x.seed) < (cur.cost, cur.seed):
                 fits[x.k] = x
-        rows = []
-        for k in ks:
-            labelled = assign(vec, array_col, fits[k].centres, dist_col="sq_dist")
-            inertia_ = labelled.agg(F.sum("sq_dist").alias("inertia")).first()["inertia"]
-            sil = silhouette_sq_euclidean(labelled, array_col, "cluster").first()[0]
-            rows.append((int(k), float(inertia_), float(sil) if sil is not None else None))
+        rows = sweep_scores(vec, array_col, {k: fits[k].centres for k in ks})
     finally:
         vec.unpersist()
     table = df.sparkSession.createDataFrame(rows, "n_clusters int, inertia double, silhouette_score double")
