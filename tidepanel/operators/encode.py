@@ -142,27 +142,47 @@ class FeaturePlan:
     keep: list[str] = field(default_factory=list)
 
     def fit(self, train: DataFrame) -> "FittedFeaturePlan":
-        if self.imputer == "median":
-            fills = impute.fit_median(train, self.numeric)
-        elif self.imputer == "mean":
-            fills = impute.fit_mean(train, self.numeric)
-        else:
-            raise ValueError("imputer must be 'median' or 'mean'")
-        filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c)
-                                for c in self.numeric])
-        if self.scaler == "standard":
-            scale = fit_standard(filled, self.numeric)
-        elif self.scaler == "robust":
-            scale = fit_robust(filled, self.numeric)
-        elif self.scaler is None:
-            scale = {c: (0.0, 1.0) for c in self.numeric}
-        else:
-            raise ValueError("scaler must be 'standard', 'robust' or None")
-        modes = impute.fit_most_frequent(train, self.categorical) if self.categorical else {}
-        levels = {c: sorted_levels(train, c) for c in self.categorical}
+        """All statistics from one materialisation of the training columns."""
+        from tidepanel.session import right_sized
+        base, _ = right_sized(train.select(*self.numeric, *self.categorical))
+        try:
+            if self.imputer == "median":
+                fills = impute.fit_median(base, self.numeric)
+            elif self.imputer == "mean":
+                fills = impute.fit_mean(base, self.numeric)
+            else:
+                raise ValueError("imputer must be 'median' or 'mean'")
+            filled = base.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c)
+                                   for c in self.numeric])
+            if self.scaler == "standard":
+                scale = fit_standard(filled, self.numeric)
+            elif self.scaler == "robust":
+                scale = fit_robust(filled, self.numeric)
+            elif self.scaler is None:
+                scale = {c: (0.0, 1.0) for c in self.numeric}
+            else:
+                raise ValueError("scaler must be 'standard', 'robust' or None")
+            modes, levels = {}, {}
+            for c in self.categorical:
+                levels[c], modes[c] = level_counts(base, c)
+        finally:
+            base.unpersist()
         return FittedFeaturePlan(self, fills, scale, modes, levels)
 
 
+def level_counts(df: DataFrame, col: str, max_levels: int = 100_000):
+    """Sorted levels and the most frequent one (ties -> smallest) from one
+    group-by; the level list is bounded."""
+    rows = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")) \
+        .limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels")
+    if not rows:
+        return [], None
+    top = max(r["n"] for r in rows)
+    return sorted(r[0] for r in rows), min(r[0] for r in rows if r["n"] == top)
+
+
 @dataclass
 class FittedFeaturePlan:
     plan: FeaturePlan

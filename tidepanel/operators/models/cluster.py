@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.operators.metrics import silhouette_sq_euclidean
-from tidepanel.session import right_sized
+from tidepanel.session import default_parallelism, right_sized
 
 
 def to_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -155,8 +155,9 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_i
                 if len(pdf) == 0:
                     continue
                 X = np.stack(pdf[array_col].to_numpy()).astype("float64")
+                xsq = (X * X).sum(1)
                 for mi, C in cur.items():
-                    d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2)
+                    d2 = np.maximum(xsq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :], 0.0)
                     lab = d2.argmin(1)
                     best = d2[np.arange(len(X)), lab]
                     k = C.shape[0]
@@ -228,7 +229,7 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
     def stats(X):
         sq = (X * X).sum(1)
         for k, C in cents.items():
-            d2 = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2)
+            d2 = np.maximum(sq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :], 0.0)
             lab = d2.argmin(1)
             kk = C.shape[0]
             sums = np.zeros_like(C)
@@ -258,7 +259,7 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
         sq = (X * X).sum(1)
         for k, C in cents.items():
             N, Q, Y = cl[k]
-            lab = ((X[:, None, :] - C[None, :, :]) ** 2).sum(2).argmin(1)
+            lab = (sq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :]).argmin(1)
             tot = N[None, :] * sq[:, None] - 2 * X @ Y.T + Q[None, :]
             own_n = N[lab]
             a = np.where(own_n > 1, tot[np.arange(len(X)), lab] / np.maximum(own_n - 1, 1), 0.0)
@@ -288,7 +289,8 @@ def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: i
     """Best of ``restarts`` k-means fits (k-means++ seeding, Lloyd), all
     restarts advanced together in one data pass per iteration; centres in
     canonical order."""
-    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)))
+    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
+                         50_000, default_parallelism(df.sparkSession))
     try:
         res = batched_lloyd(vec, array_col, [(k, seed + r) for r in range(restarts)], n_rows=n,
                             max_iter=max_iter, tol=tol, seed=seed)
@@ -304,7 +306,8 @@ def kmeans_sweep(df: DataFrame, array_col: str, ks=range(2, 13), *, restarts: in
     All k x restarts models advance together (one pass per iteration).
     Returns the table ``(n_clusters, inertia, silhouette_score)`` and the
     best fit per k."""
-    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)))
+    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
+                         50_000, default_parallelism(df.sparkSession))
     ks = list(ks)
     try:
         res = batched_lloyd(vec, array_col, [(k, seed + r) for k in ks for r in range(restarts)],

@@ -1,12 +1,13 @@
 """Linear models from sufficient statistics.
 
-One aggregation gives, per group (fold), the Gram matrix of
-``z = [1, x_1 .. x_d, y]`` over complete rows. Everything else -- OLS
-(minimum-norm on the centred system, like a least-squares solver on
-rank-deficient designs), ridge with an unpenalised intercept, k-fold
-cross-validation (train statistics = total - held-out fold), SSE of a held-out
-fold -- is solved on the driver from (d+2)^2 numbers per fold. Predictions are
-literal linear expressions, evaluated JVM-side.
+One aggregation gives, per group (fold), the count, means and co-moments of
+``[x_1 .. x_d, y]`` over complete rows (``gram_stats`` gives the raw Gram
+matrix of ``[1, x, y]``, M9). Everything else -- OLS (minimum-norm on the
+centred system, like a least-squares solver on rank-deficient designs), ridge
+with an unpenalised intercept, k-fold cross-validation (train = total -
+held-out fold), SSE of a held-out fold -- is solved on the driver from
+(d+1)^2 numbers per fold. Predictions are literal linear expressions,
+evaluated JVM-side.
 """
 
 from __future__ import annotations
@@ -103,6 +104,74 @@ def sse_from_gram(G: np.ndarray, intercept: float, beta: np.ndarray) -> float:
     return float(w @ G @ w)
 
 
+@dataclass
+class Moments:
+    """Count, means and co-moments (sum of centred products) of z = [x, y]."""
+    n: float
+    mu: np.ndarray
+    C: np.ndarray
+
+    def minus(self, part: "Moments") -> "Moments":
+        """Statistics of the rows not in ``part`` (parallel-merge formula, inverted)."""
+        n_r = self.n - part.n
+        if n_r <= 0:
+            return Moments(0.0, np.zeros_like(self.mu), np.zeros_like(self.C))
+        mu_r = (self.n * self.mu - part.n * part.mu) / n_r
+        dlt = part.mu - mu_r
+        C_r = self.C - part.C - (part.n * n_r / self.n) * np.outer(dlt, dlt)
+        return Moments(n_r, mu_r, C_r)
+
+
+def merge(a: Moments, b: Moments) -> Moments:
+    n = a.n + b.n
+    if n == 0:
+        return a
+    dlt = b.mu - a.mu
+    return Moments(n, a.mu + dlt * (b.n / n), a.C + b.C + np.outer(dlt, dlt) * (a.n * b.n / n))
+
+
+def moment_stats(df: DataFrame, features, y: str, by: str | None = None) -> dict:
+    """One aggregation: per group count, means and co-moments of [x, y]
+    (``covar_pop`` x n -- Spark merges these partial moments stably, so no
+    centring pass is needed). Bounded collect: groups x (d+1)^2 numbers."""
+    cols = list(features) + [y]
+    data = _complete(df, cols)
+    m = len(cols)
+    grp = F.col(by).cast("int") if by else F.lit(0)
+    x = [F.col(c).cast("double") for c in cols]
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(x[i]).alias(f"mu{i}") for i in range(m)]
+    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(m) for j in range(i, m)]
+    out = {}
+    for r in data.groupBy(grp.alias("g")).agg(*aggs).collect():
+        n = float(r["n"])
+        C = np.zeros((m, m))
+        for i in range(m):
+            for j in range(i, m):
+                C[i, j] = C[j, i] = (r[f"c{i}_{j}"] or 0.0) * n
+        out[r["g"]] = Moments(n, np.array([r[f"mu{i}"] for i in range(m)], dtype=float), C)
+    return out
+
+
+def solve_moments(M: Moments, alpha: float = 0.0) -> tuple[float, np.ndarray]:
+    """(intercept, beta); alpha = 0 -> minimum-norm least squares."""
+    d = len(M.mu) - 1
+    if M.n <= 0:
+        return float("nan"), np.full(d, np.nan)
+    sxx, sxy = M.C[:d, :d], M.C[:d, d]
+    if alpha:
+        beta = np.linalg.solve(sxx + alpha * np.eye(d), sxy)
+    else:
+        beta = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True) @ sxy
+    return float(M.mu[d] - M.mu[:d] @ beta), beta
+
+
+def sse_moments(M: Moments, intercept: float, beta: np.ndarray) -> float:
+    """Sum of squared residuals of a fixed model over the rows summarised by M."""
+    w = np.concatenate([-beta, [1.0]])
+    rbar = float(M.mu @ w) - intercept
+    return float(w @ M.C @ w) + M.n * rbar * rbar
+
+
 @dataclass
 class LinearModel:
     features: list[str]
@@ -130,26 +199,14 @@ class LinearModel:
         return float(self.intercept - sum(b * self.shift.get(c, 0.0) for c, b in zip(self.features, self.coef)))
 
 
-def column_means(df: DataFrame, cols) -> dict:
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    return {c: (row[c] or 0.0) for c in cols}
-
-
-def fit_linear(df: DataFrame, features, y: str, *, alpha: float = 0.0, center: bool = True) -> LinearModel:
-    """M7 (alpha = 0) / M6 (ridge, intercept not penalised).
-
-    ``center`` shifts by the column means first (one small aggregation) so the
-    sums do not cancel badly."""
+def fit_linear(df: DataFrame, features, y: str, *, alpha: float = 0.0) -> LinearModel:
+    """M7 (alpha = 0) / M6 (ridge, intercept not penalised): one aggregation."""
     features = list(features)
-    cols = features + [y]
-    data = _complete(df, cols)
-    shift = column_means(data, cols) if center else {}
-    G = collect_gram(gram_stats(data, features, y, shift=shift), len(cols) + 1).get(0)
-    if G is None:
+    M = moment_stats(df, features, y).get(0)
+    if M is None:
         raise ValueError("no complete rows to fit")
-    b0, beta = solve(G, alpha)
-    # the model works on shifted x; the shifted y offset is added back
-    return LinearModel(features, b0 + shift.get(y, 0.0), beta, {c: shift[c] for c in features} if shift else {})
+    b0, beta = solve_moments(M, alpha)
+    return LinearModel(features, b0, beta, {})
 
 
 def predictions_table(model: LinearModel, df: DataFrame, y: str, keys=()) -> DataFrame:
@@ -161,43 +218,45 @@ def predictions_table(model: LinearModel, df: DataFrame, y: str, keys=()) -> Dat
 
 def cross_validate(df: DataFrame, features, y: str, fold: str, k: int, *, alpha: float = 0.0,
                    with_mae: bool = True) -> DataFrame:
-    """X6 for linear models: one Gram pass by fold, k solves on the driver,
-    held-out SSE from the fold's own Gram; MAE (not a Gram quantity) in one
+    """X6 for linear models: one moment pass by fold; each training set is
+    total - fold (inverted parallel merge), solved on the driver; held-out
+    SSE from the fold's own moments; MAE (not a moment quantity) in one
     scoring pass with per-fold literal coefficients.
 
     ``(fold, n, mse, rmse, mae, r2)``.
     """
+    from tidepanel.session import right_sized
     features = list(features)
-    cols = features + [y]
-    data = _complete(df, cols)
-    shift = column_means(data, cols)
-    m = len(cols) + 1
-    grams = collect_gram(gram_stats(data, features, y, by=fold, shift=shift), m)
-    total = sum(grams.values())
-    models = {}
-    rows = []
-    for f in range(k):
-        Gf = grams.get(f)
-        if Gf is None:
-            continue
-        b0, beta = solve(total - Gf, alpha)
-        models[f] = (b0, beta)
-        n = Gf[0, 0]
-        sse = sse_from_gram(Gf, b0, beta)
-        sst = Gf[m - 1, m - 1] - Gf[0, m - 1] ** 2 / n
-        rows.append((int(f), int(round(n)), float(sse / n), float(np.sqrt(max(sse, 0.0) / n)),
-                     float(1.0 - sse / sst) if sst > 0 else None))
-    spark = df.sparkSession
-    res = spark.createDataFrame(rows, "fold int, n bigint, mse double, rmse double, r2 double")
-    if not with_mae:
-        return res
-    pred = None
-    for f, (b0, beta) in models.items():
-        e = F.lit(float(b0))
-        for c, b in zip(features, beta):
-            e = e + F.lit(float(b)) * (F.col(c).cast("double") - F.lit(float(shift[c])))
-        pred = F.when(F.col(fold) == F.lit(f), e) if pred is None else pred.when(F.col(fold) == F.lit(f), e)
-    err = F.abs(F.col(y).cast("double") - F.lit(float(shift[y])) - pred)
-    mae = data.groupBy(F.col(fold).cast("int").alias("fold")).agg(F.avg(err).alias("mae"))
-    # both sides have k rows
-    return res.join(F.broadcast(mae), "fold", "left").select("fold", "n", "mse", "rmse", "mae", "r2")
+    data, _ = right_sized(_complete(df, features + [y]).select(*features, y, fold))
+    try:
+        parts = moment_stats(data, features, y, by=fold)
+        total = None
+        for M in parts.values():
+            total = M if total is None else merge(total, M)
+        models, rows = {}, []
+        d = len(features)
+        for f in range(k):
+            Mf = parts.get(f)
+            if Mf is None:
+                continue
+            b0, beta = solve_moments(total.minus(Mf), alpha)
+            models[f] = (b0, beta)
+            sse = sse_moments(Mf, b0, beta)
+            sst = Mf.C[d, d]
+            rows.append([int(f), int(round(Mf.n)), float(sse / Mf.n), float(np.sqrt(max(sse, 0.0) / Mf.n)),
+                         float(1.0 - sse / sst) if sst > 0 else None])
+        mae = {}
+        if with_mae and models:
+            pred = None
+            for f, (b0, beta) in models.items():
+                e = F.lit(float(b0))
+                for c, b in zip(features, beta):
+                    e = e + F.lit(float(b)) * F.col(c).cast("double")
+                pred = F.when(F.col(fold) == F.lit(f), e) if pred is None else pred.when(F.col(fold) == F.lit(f), e)
+            err = F.abs(F.col(y).cast("double") - pred)
+            mae = {r["fold"]: r["mae"] for r in data.groupBy(F.col(fold).cast("int").alias("fold"))
+                   .agg(F.avg(err).alias("mae")).collect()}  # k rows
+    finally:
+        data.unpersist()
+    out = [(f, n, mse, rmse, mae.get(f), r2) for f, n, mse, rmse, r2 in rows]
+    return df.sparkSession.createDataFrame(out, "fold int, n bigint, mse double, rmse double, mae double, r2 double")

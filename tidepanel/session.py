@@ -85,19 +85,30 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(os.environ.get("BENCH_CPUS", "8"))
 
 
-def right_sized(df: DataFrame, rows_per_partition: int = 200_000) -> tuple[DataFrame, int]:
+def right_sized(df: DataFrame, rows_per_partition: int = 200_000,
+                min_partitions: int = 1) -> tuple[DataFrame, int]:
     """Persist ``df`` with about ``rows_per_partition`` rows per partition.
 
     For iterative fits (many small jobs over the same data) the task count per
     job should follow the data size: thousands of near-empty tasks per
-    iteration cost more than the work. Only ever reduces the partition count
-    (``coalesce``: no shuffle). Returns the persisted frame and its row count.
+    iteration cost more than the work. The input is computed once at its own
+    parallelism and cached; the cached rows are then coalesced (no shuffle,
+    and the upstream plan is not narrowed) or, when ``min_partitions`` asks
+    for more parallelism for CPU-heavy per-row work, round-robin
+    repartitioned. Returns the persisted frame and its row count.
     """
     import math
-    n = df.count()
-    target = max(1, math.ceil(n / rows_per_partition))
-    current = df.rdd.getNumPartitions()
-    out = df.coalesce(target) if target < current else df
+    full = df.persist()
+    n = full.count()  # computed once, at the input's own parallelism
+    target = max(int(min_partitions), math.ceil(n / rows_per_partition), 1)
+    current = full.rdd.getNumPartitions()
+    if target < current:
+        out = full.coalesce(target)  # reads the cache: the upstream plan keeps its parallelism
+    elif target > current and min_partitions > 1:
+        out = full.repartition(target)
+    else:
+        return full, n
     out = out.persist()
     out.count()
+    full.unpersist()
     return out, n

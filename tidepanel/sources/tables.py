@@ -42,5 +42,17 @@ def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType | str |
     return normalise_missing(df)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least ``defaultParallelism`` partitions.
+
+    A file stored as one row group is read by one task, whatever the split
+    size; the projections above the scan would then use one core. Inputs that
+    already have enough partitions (any large table) are left untouched, so
+    this adds no exchange at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
