@@ -115,3 +115,20 @@ def test_macro_f1_equals_report(spark):
     fr = flag_rule(spark, SF)
     rep = {r["label"]: r for r in metrics.classification_report(fr, "actual", "predicted", ["A", "N", "R"]).collect()}
     assert metrics.macro_f1(fr, "actual", "predicted", ["A", "N", "R"]).first()[0] == pytest.approx(rep["macro avg"]["f1"])
+
+
+def test_one_pass_sweep_equals_refits(spark):
+    from tidepanel.operators import derive
+    from tidepanel.operators.models import search
+    from tidepanel.plans.q_workflows import next_step_base
+    d = derive.add_date_ordinal(next_step_base(spark, SF), "d", "d_ordinal")
+    d = split.kfold(split.split_random(d, ["n_name", "d"], 0.2), ["n_name", "d"], 5)
+    sets = {"all": ["price", "n_orders", "d_ordinal", "n_name"], "numeric": ["price", "d_ordinal"]}
+    fast, _ = search.model_sweep(d, sets, "next_price_change", categorical=["n_name"], scalers=("standard", "robust"))
+    slow, _ = search.model_sweep(d, sets, "next_price_change", categorical=["n_name"], refit=True)
+    a = {tuple(r[:4]): r for r in fast.collect()}
+    b = {tuple(r[:4]): r for r in slow.collect()}
+    assert a.keys() == b.keys() and len(a) == 8
+    for key in a:
+        for c in ["CV_MAE", "CV_RMSE", "CV_R2", "Test_MAE", "Test_MSE", "Test_RMSE", "Test_R2"]:
+            assert a[key][c] == pytest.approx(b[key][c], rel=1e-6, abs=1e-9), (key, c)
