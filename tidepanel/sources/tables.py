@@ -54,5 +54,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+# Schema of each driver table path, read once per process: later reads pass
+# it to the reader, which then skips the footer-reading job (the driver tables
+# are read-only).
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if known is None:
+        _SCHEMAS[path] = df.schema
+    return spread(df)
