@@ -146,3 +146,22 @@ def test_empty_table_keeps_schema(spark):
     assert profile.missing_counts(df).count() == 3
     assert profile.table_shape(df).first()["n_rows"] == 0
     assert clean.outlier_report(df, ["x"]).first()["n_outliers"] == 0
+
+
+def test_kde_exact_matches_numpy_and_binned_is_close(spark):
+    import numpy as np
+    rng = np.random.RandomState(3)
+    vals = np.concatenate([rng.normal(0, 1, 300), rng.normal(6, 0.5, 100)])
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "x double")
+    exact = {r["point"]: r for r in profile.kde_grid(df, ["x"], points=50).collect()}
+    n, sd = len(vals), vals.std(ddof=1)
+    bw = sd * n ** (-0.2)
+    grid = np.linspace(vals.min() - 3 * bw, vals.max() + 3 * bw, 50)
+    want = np.exp(-0.5 * ((grid[:, None] - vals[None, :]) / bw) ** 2).sum(1) / (n * bw * math.sqrt(2 * math.pi))
+    assert sorted(exact) == list(range(50))
+    for i in range(50):
+        assert exact[i]["x"] == pytest.approx(grid[i], rel=1e-12, abs=1e-12)
+        assert exact[i]["density"] == pytest.approx(want[i], rel=1e-9, abs=1e-15)
+    binned = {r["point"]: r["density"] for r in
+              profile.kde_grid(df, ["x"], points=50, method="binned").collect()}
+    assert max(abs(binned[i] - want[i]) for i in range(50)) < 1e-3 * want.max()

@@ -213,6 +213,33 @@ def profile_distinct_nations(spark, sf):
     return profile.distinct_sorted(B.nation_day_panel(spark, sf), "n_name")
 
 
-@register("profile_kde_grid")
+KDE_COLS = ["l_extendedprice", "l_discount"]
+KDE_POINTS, KDE_CUT = 200, 3.0
+
+
+def _kde_sql(cols, points=KDE_POINTS, cut=KDE_CUT):
+    """Exact Gaussian KDE in SQL: Scott bandwidth, ``points`` grid points over
+    [min - cut*bw, max + cut*bw], kernel summed over every non-missing row."""
+    st = S.union_all([f"""SELECT '{c}' AS "column", count(x) AS n, stddev_samp(x) AS sd, min(x) AS lo,
+        max(x) AS hi FROM (SELECT CAST({c} AS DOUBLE) AS x FROM cl)""" for c in cols])
+    vals = S.union_all([f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS v FROM cl WHERE {c} IS NOT NULL"""
+                        for c in cols])
+    return f"""WITH {CLEAN_LI_SQL},
+st AS ({st}),
+sp AS (SELECT "column", CAST(n AS DOUBLE) AS n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, lo, hi
+       FROM st WHERE n > 0 AND sd IS NOT NULL AND sd <> 0),
+grid AS (SELECT "column", CAST(g.i AS INTEGER) AS point, n, bw,
+                (lo - {cut} * bw) + ((hi + {cut} * bw) - (lo - {cut} * bw)) * g.i / {points - 1} AS x
+         FROM sp, range({points}) g(i)),
+vals AS ({vals}),
+dens AS (SELECT grid."column", grid.point, grid.x,
+                sum(exp(-0.5 * ((grid.x - vals.v) / grid.bw) * ((grid.x - vals.v) / grid.bw)))
+                / (any_value(grid.n) * any_value(grid.bw) * sqrt(2 * pi())) AS density
+         FROM grid JOIN vals ON grid."column" = vals."column" GROUP BY 1, 2, 3)
+SELECT "column", point, {r('x')} AS x, {r('density')} AS density FROM dens"""
+
+
+@register("profile_kde_grid", _kde_sql(KDE_COLS))
 def profile_kde_grid(spark, sf):
-    return rounded(profile.kde_grid(clean_lineitem(spark, sf), ["l_extendedprice", "l_discount"]))
+    return rounded(profile.kde_grid(clean_lineitem(spark, sf), KDE_COLS, points=KDE_POINTS,
+                                    cut=KDE_CUT, method="exact"))
