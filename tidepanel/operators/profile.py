@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepanel.operators.quantiles import DEFAULT_ACCURACY, quantiles_wide
-from tidepanel.session import bounded_broadcast
+from tidepanel.session import bounded_broadcast, cut_lineage
 from tidepanel.spec import NUMERIC_TYPES
 
 
@@ -151,7 +151,10 @@ def five_number(df: DataFrame, col: str, by=(), *, whis: float = 1.5, where: Col
     q = q.withColumns({"lo_fence": F.col("q1") - F.lit(whis) * iqr,
                        "hi_fence": F.col("q3") + F.lit(whis) * iqr})
     if by:
-        joined = data.join(bounded_broadcast(q), by, "inner")
+        # one row per group, written once to the checkpoint folder: the size
+        # proof of the broadcast and the join both read the stored rows
+        # instead of re-running the quantile passes
+        joined = data.join(bounded_broadcast(cut_lineage(q)), by, "inner")
     else:  # one fitted row -> literals
         r = q.first()
         if r is None:
