@@ -83,18 +83,16 @@ def fit_mean(fit_df: DataFrame, cols) -> dict:
 def fit_most_frequent(fit_df: DataFrame, cols) -> dict:
     """Most frequent non-missing value per column; ties -> smallest value.
 
-    Per column: distinct-value counts (partial aggregation), then the maximum
-    count and the smallest value with that count -- all combinable
-    aggregations, so no column's values meet in one task.
+    Per column one job: distinct-value counts (partial aggregation), then the
+    smallest ``(-count, value)`` pair -- both combinable aggregations, so no
+    column's values meet in one task.
     """
     out = {}
     for c in cols:
         counts = fit_df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        top = counts.agg(F.max("n").alias("m")).first()["m"]
-        if top is None:
-            out[c] = None
-            continue
-        out[c] = counts.where(F.col("n") == F.lit(top)).agg(F.min(c).alias("v")).first()["v"]
+        row = counts.agg(F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(c).alias("v")))
+                         .alias("best")).first()
+        out[c] = None if row is None or row["best"] is None else row["best"]["v"]
     return out
 
 
