@@ -150,20 +150,28 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_i
 
         def partial(batches, cur=cur):
             import pandas as pd
+            mids = list(cur)
+            # centres of all active models stacked: one matrix product per batch
+            c_all = np.concatenate([cur[mi] for mi in mids])
+            bounds = np.cumsum([0] + [cur[mi].shape[0] for mi in mids])
+            csq = (c_all * c_all).sum(1)
             acc = {}
             for pdf in batches:
                 if len(pdf) == 0:
                     continue
                 X = np.stack(pdf[array_col].to_numpy()).astype("float64")
+                rows_ix = np.arange(len(X))
                 xsq = (X * X).sum(1)
-                for mi, C in cur.items():
-                    d2 = np.maximum(xsq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :], 0.0)
+                d_all = np.maximum(xsq[:, None] - 2.0 * (X @ c_all.T) + csq[None, :], 0.0)
+                for t, mi in enumerate(mids):
+                    d2 = d_all[:, bounds[t]:bounds[t + 1]]
+                    k = d2.shape[1]
                     lab = d2.argmin(1)
-                    best = d2[np.arange(len(X)), lab]
-                    k = C.shape[0]
+                    best = d2[rows_ix, lab]
                     cnt = np.bincount(lab, minlength=k)
-                    sums = np.zeros_like(C)
-                    np.add.at(sums, lab, X)
+                    onehot = np.zeros((len(X), k))
+                    onehot[rows_ix, lab] = 1.0
+                    sums = onehot.T @ X
                     cst = np.bincount(lab, weights=best, minlength=k)
                     a = acc.get(mi)
                     acc[mi] = (cnt, sums, cst) if a is None else (a[0] + cnt, a[1] + sums, a[2] + cst)
@@ -232,8 +240,9 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
             d2 = np.maximum(sq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :], 0.0)
             lab = d2.argmin(1)
             kk = C.shape[0]
-            sums = np.zeros_like(C)
-            np.add.at(sums, lab, X)
+            onehot = np.zeros((len(X), kk))
+            onehot[np.arange(len(X)), lab] = 1.0
+            sums = onehot.T @ X
             yield (k, -1), [0.0, float(d2[np.arange(len(X)), lab].sum()), np.zeros(X.shape[1])]
             cnt = np.bincount(lab, minlength=kk)
             q = np.bincount(lab, weights=sq, minlength=kk)
