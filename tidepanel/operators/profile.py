@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepanel.operators.quantiles import DEFAULT_ACCURACY, quantiles_wide
+from tidepanel.operators.quantiles import DEFAULT_ACCURACY, pivot_quantiles, quantiles_and_stats, quantiles_wide
 from tidepanel.session import bounded_broadcast, cut_lineage
 from tidepanel.spec import NUMERIC_TYPES
 
@@ -43,20 +43,22 @@ def column_types(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols=None, *, exact: bool = True,
                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (interpolated), max."""
+    """Count, mean, sample std, min, 25/50/75 % (interpolated), max.
+
+    Two scans: the moments ride along in the quantiles' first pass."""
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    base = _stack(df.agg(*aggs), cols, {"count": 0, "mean": 0, "std": 0, "min": 0, "max": 0})
-    q = quantiles_wide(df, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"],
-                       exact=exact, accuracy=accuracy)
-    # both sides have one row per column: a bounded broadcast by construction
-    out = base.join(F.broadcast(q), "column", "left")
-    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    qs, names = [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
+    long, stats = quantiles_and_stats(
+        df, cols, qs, exact=exact, accuracy=accuracy,
+        extra={"count": F.count("v"), "mean": F.avg("v"), "std": F.stddev_samp("v"),
+               "min": F.min("v"), "max": F.max("v")})
+    q = pivot_quantiles(long, ["column"], qs, names)
+    # both sides have one row per column: a bounded broadcast by construction;
+    # columns without any value have no stats row and are added with count 0
+    known = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = F.broadcast(known).join(stats, "column", "left").join(F.broadcast(q), "column", "left")
+    return out.select("column", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+                      "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_categorical(df: DataFrame, cols) -> DataFrame:

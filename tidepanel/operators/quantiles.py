@@ -36,23 +36,34 @@ def _long(df: DataFrame, cols, by) -> DataFrame:
 def quantiles(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
               accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Long table ``(*by, column, q, value)``; NULL/NaN ignored."""
+    return quantiles_and_stats(df, cols, qs, by, exact=exact, accuracy=accuracy)[0]
+
+
+def quantiles_and_stats(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
+                        accuracy: int = DEFAULT_ACCURACY, extra: dict | None = None):
+    """:func:`quantiles` plus ``(*by, column, <extra>)``: further aggregates of
+    the value ``v`` (e.g. ``{"mean": F.avg("v")}``) computed in the quantiles'
+    first pass, so they cost no scan of their own."""
     by = list(by)
     qs = [float(q) for q in qs]
     long = _long(df, cols, by)
     keys = [*by, "column"]
+    extra_aggs = [e.alias(name) for name, e in (extra or {}).items()]
     if not exact:
         approx = long.groupBy(*keys).agg(
-            F.percentile_approx("v", F.array(*[F.lit(q) for q in qs]), accuracy).alias("a"))
-        return approx.select(*keys, F.posexplode("a").alias("qi", "value")).select(
+            F.percentile_approx("v", F.array(*[F.lit(q) for q in qs]), accuracy).alias("a"),
+            *extra_aggs)
+        out = approx.select(*keys, F.posexplode("a").alias("qi", "value")).select(
             *keys, F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("qi") + 1).alias("q"),
             "value")
+        return out, approx.select(*keys, *(extra or {}))
 
     eps = 1.0 / accuracy
     lo_q = [max(0.0, q - 3 * eps) for q in qs]
     hi_q = [min(1.0, q + 3 * eps) for q in qs]
     grid = F.array(*[F.lit(x) for x in lo_q + hi_q])
     stats = long.groupBy(*keys).agg(
-        F.count("v").alias("n"), F.percentile_approx("v", grid, accuracy).alias("a"))
+        F.count("v").alias("n"), F.percentile_approx("v", grid, accuracy).alias("a"), *extra_aggs)
     nq = len(qs)
     small = F.col("n") <= F.lit(accuracy)
     targets = stats.select(
@@ -87,7 +98,7 @@ def quantiles(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
         *keys, "q",
         F.when(F.col("frac") > 0, F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0")))
         .otherwise(F.col("v0")).alias("value"))
-    return out
+    return out, stats.select(*keys, *(extra or {}))
 
 
 def quantile_values(df: DataFrame, cols, qs, *, exact: bool = True,
@@ -105,7 +116,10 @@ def quantiles_wide(df: DataFrame, cols, qs, by=(), *, names=None, exact=True,
     """``(*by, column, <name per q>)`` -- one row per group and column."""
     names = names or [f"q{int(round(q * 100))}" for q in qs]
     long = quantiles(df, cols, qs, by, exact=exact, accuracy=accuracy)
-    keys = [*by, "column"]
+    return pivot_quantiles(long, [*by, "column"], qs, names)
+
+
+def pivot_quantiles(long: DataFrame, keys, qs, names) -> DataFrame:
     return long.groupBy(*keys).agg(*[
         F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(nm)
         for q, nm in zip(qs, names)])
