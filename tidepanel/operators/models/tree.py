@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidepanel.session import bounded_broadcast, ensure_checkpoint_dir, right_sized
 
 SPARK_MAX_DEPTH = 30  # deepest tree spark.ml grows ("no limit")
+DEEP_TREE = 10  # above this depth node ids are cached per row
 
 
 def class_weights(df: DataFrame, label: str) -> dict:
@@ -58,6 +59,11 @@ def fit(frame: DataFrame, *, impurity: str = "gini", max_depth: int = SPARK_MAX_
     params = dict(featuresCol="_features", labelCol="_label", impurity=impurity,
                   maxDepth=int(min(max_depth, SPARK_MAX_DEPTH)), minInstancesPerNode=int(min_leaf),
                   maxBins=max_bins, seed=seed, leafCol="_leaf")
+    if max_depth > DEEP_TREE:
+        # deep fits: rows carry their node id (checkpointed every 10 levels to
+        # the session's checkpoint folder) instead of re-walking the tree
+        ensure_checkpoint_dir(frame.sparkSession)
+        params.update(cacheNodeIds=True, checkpointInterval=10)
     if balanced:
         w = class_weights(frame, "_label")
         wmap = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in w.items()))
