@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators.quantiles import DEFAULT_ACCURACY, quantile_values
 from tidepanel.operators.windows import entity_window_transform
+from tidepanel.session import cut_lineage
 from tidepanel.spec import PanelSpec
 
 
@@ -62,7 +63,9 @@ def time_series_fill(df: DataFrame, spec: PanelSpec, cols, *, exact: bool = True
     ``coalesce(interpolated, median(interpolated))``. The median is one fitted
     value per column.
     """
-    filled = interpolate_linear(df, spec, cols)
+    # the interpolated table is written once to the checkpoint folder: the two
+    # median passes and the output read it instead of re-running the windows
+    filled = cut_lineage(interpolate_linear(df, spec, cols))
     med = quantile_values(filled, cols, [0.5], exact=exact, accuracy=accuracy)
     return filled.withColumns({
         c: F.coalesce(F.col(c), F.lit(med[(c, 0.5)]).cast("double")) for c in cols})
