@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Settings every tidepanel job relies on: AQE for runtime re-planning and skew
 # splitting, UTC so that timestamp_ntz <-> date casts agree with other engines,
-# and no web UI.
+# no web UI, and cleanup of checkpoint files that are no longer referenced.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed intermediates (cut_lineage) are deleted from the shared
+    # folder once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
