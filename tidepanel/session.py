@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # no broadcast chosen from planner size estimates: a side is broadcast
+    # after a count proves its bound (bounded_broadcast), when it is bounded
+    # by construction (explicit hint), or by AQE from measured shuffle sizes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # checkpointed intermediates (cut_lineage) are deleted from the shared
     # folder once nothing refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
