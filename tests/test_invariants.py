@@ -132,3 +132,14 @@ def test_one_pass_sweep_equals_refits(spark):
     for key in a:
         for c in ["CV_MAE", "CV_RMSE", "CV_R2", "Test_MAE", "Test_MSE", "Test_RMSE", "Test_R2"]:
             assert a[key][c] == pytest.approx(b[key][c], rel=1e-6, abs=1e-9), (key, c)
+
+
+def test_fact_tables_are_not_broadcast_from_estimates(spark):
+    # the planner must not pick a broadcast for lineitem / orders from size
+    # estimates; only the proven-small nation table is broadcast statically
+    plan = B.market_panel(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    blocks = plan.split("BroadcastExchange")[1:]
+    assert blocks, plan
+    for b in blocks:
+        scan = b[b.find("FileScan"):b.find("FileScan") + 300]
+        assert "lineitem" not in scan and "orders" not in scan, scan
