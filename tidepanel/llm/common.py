@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,19 @@ from pyspark.sql import functions as F
 from tidepanel.session import ensure_checkpoint_dir
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it (a cluster has
+    it installed or sent along; this serves sessions started in another folder)."""
+    import tidepanel
+    here = os.path.dirname(os.path.dirname(os.path.abspath(tidepanel.__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, here])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,12 +44,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *cols: str, rows_per_task: int = 2000) -> DataFrame:
-    """`repartition` for CPU-heavy rows: by the session's shuffle partitions."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *cols)
-
-
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
@@ -46,8 +53,8 @@ def any_of(conditions: list[Column]) -> Column:
 
 
 def salted_join(rows: DataFrame, facts: DataFrame, key: str, rows_id: str, per_salt: int,
-                size_col: str) -> DataFrame:
-    """Inner join of `rows` with one-row-per-key `facts` when a key may hold a
+                size_col: str, how: str = "inner") -> DataFrame:
+    """Join of `rows` with one-row-per-key `facts` when a key may hold a
     large share of `rows`.
 
     `facts.size_col` is the number of rows of the key. A key of n rows is dealt
@@ -61,13 +68,13 @@ def salted_join(rows: DataFrame, facts: DataFrame, key: str, rows_id: str, per_s
     bound = 50_000
     if hot.limit(bound + 1).count() > bound:
         # too many hot keys to list; the skewed partitions are left to AQE
-        return rows.join(facts, key)
+        return rows.join(facts, key, how)
     pick = F.pmod(F.xxhash64(F.col(rows_id)), F.coalesce(F.col("_salts"), F.lit(1)).cast("long"))
     left = (rows.join(F.broadcast(hot), key, "left")
             .withColumn("_salt", pick.cast("int")).drop("_salts"))
     right = facts.withColumn("_salt", F.explode(F.sequence(
         F.lit(0), F.greatest(F.lit(1), F.ceil(F.col(size_col) / per_salt)).cast("int") - 1)))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def parts_for(total_bytes: int | None, target: int) -> int:

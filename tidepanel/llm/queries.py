@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepanel.llm import exact_dedup, sharding
+from tidepanel.llm import (exact_dedup, packing, sharding, token_counts, token_files, warc)
 from tidepanel.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +25,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op5_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
@@ -31,9 +52,26 @@ FROM d JOIN g ON d.body = g.body
 """
 
 
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (
+  SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS digest,
+         max(page_id) OVER (PARTITION BY html) AS first_id
+  FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+FROM q
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_shard_minimax, op2_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_shard_minimax, op2_exact_dedup, op5_pack_best_fit, op7_warc_round_trip,
+        op8_token_files, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op7_warc_round_trip": OP7_SQL}
