@@ -44,30 +44,25 @@ class Item:
         self.lo, self.hi, self.weight, self.n, self.largest = lo, hi, weight, n, largest
 
 
-def split_ranges(groups: DataFrame, ranges: list[tuple[int, int]], bins: int) -> list[Item]:
-    """Sums of `groups` over finer ranges: about `bins` of them over `ranges`."""
-    each = max(2, bins // len(ranges))
-    spans = [(lo, hi, max(1, -(-(hi - lo) // each))) for lo, hi in ranges]
+def split_ranges(groups: DataFrame, ranges: list[tuple[int, int]], width: int) -> list[Item]:
+    """Sums of `groups` over the parts, `width` keys wide, of each range."""
     key = F.col("key")
     # one small struct per range, picked by comparison
     which: Column = F.lit(None).cast("int")
-    for i, (lo, hi, _) in enumerate(spans):
+    for i, (lo, hi) in enumerate(ranges):
         which = F.when((key >= lo) & (key <= hi - 1), F.lit(i)).otherwise(which)
-    los = F.array(*[F.lit(s[0]).cast("long") for s in spans])
-    widths = F.array(*[F.lit(s[2]).cast("long") for s in spans])
-    rows = (groups.where(any_of([(key >= lo) & (key <= hi - 1) for lo, hi, _ in spans]))
+    los = F.array(*[F.lit(lo).cast("long") for lo, _ in ranges])
+    rows = (groups.where(any_of([(key >= lo) & (key <= hi - 1) for lo, hi in ranges]))
             .withColumn("span", which)
             .withColumn("lo", F.element_at(los, F.col("span") + 1))
-            .withColumn("bin", F.expr("(key - lo) div 1"))
-            .withColumn("width", F.element_at(widths, F.col("span") + 1))
-            .withColumn("bin", F.expr("bin div width"))
+            .withColumn("bin", F.expr(f"(key - lo) div {width}"))
             .groupBy("span", "bin")
             .agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"),
                  F.max("weight").alias("largest"))
             .collect())
     out = []
     for r in rows:
-        lo, hi, width = spans[r["span"]]
+        lo, hi = ranges[r["span"]]
         start = lo + r["bin"] * width
         out.append(Item(start, min(hi, start + width), r["weight"], r["n"], r["largest"]))
     return sorted(out, key=lambda x: x.lo)
@@ -132,7 +127,8 @@ def zones_in_question(items: list[Item], prefix: list[int], shards: int, low: in
 
 def plan(groups: DataFrame, shards: int, bins: int) -> tuple[list[int], int]:
     """(cut keys, capacity): shard = number of cut keys not above the row's key."""
-    items = split_ranges(groups, [(0, KEY_END)], bins)
+    width = -(-KEY_END // bins)
+    items = split_ranges(groups, [(0, KEY_END)], width)
     if not items:
         return [KEY_END - 1] * (shards - 1), 0
     while True:
@@ -145,7 +141,9 @@ def plan(groups: DataFrame, shards: int, bins: int) -> tuple[list[int], int]:
             break
         ranges = [(items[a].lo, items[b].hi) for a, b in zones]
         gone = {i for a, b in zones for i in range(a, b + 1)}
-        finer = split_ranges(groups, ranges, max(bins, 2 * len(gone)))
+        # about `bins` parts over the ranges, and finer than before in any case
+        width = max(1, min(-(-sum(hi - lo for lo, hi in ranges) // bins), width // 8))
+        finer = split_ranges(groups, ranges, width)
         items = sorted([x for i, x in enumerate(items) if i not in gone] + finer,
                        key=lambda x: x.lo)
     return even_cuts(items, prefix, shards, high), high
