@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepanel.llm import (exact_dedup, packing, sharding, token_counts, token_files, warc)
+from tidepanel.llm import (decontaminate, exact_dedup, html_text, near_copies, packing, quality,
+                           sharding, token_counts, token_files, warc)
 from tidepanel.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +26,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op5_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -41,6 +56,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
@@ -69,8 +88,9 @@ FROM q
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_shard_minimax, op2_exact_dedup, op5_pack_best_fit, op7_warc_round_trip,
-        op8_token_files, op9_token_counts)}
+        op1_shard_minimax, op2_exact_dedup, op3_decontaminate, op4_near_copies,
+        op5_pack_best_fit, op6_quality_trees, op7_warc_round_trip, op8_token_files,
+        op9_token_counts, op10_html_text)}
 
 
 def oracle_sql() -> dict[str, str]:
