@@ -84,9 +84,10 @@ def drop_copies(docs: DataFrame, salts: int = 32) -> DataFrame:
     kept = found.select(F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_digest"),
                         F.col("variant").alias("_variant")).distinct()
     content = normalised()
-    keyed = (docs.withColumn("_own_digest", sha256(content))
-             .withColumn("_own_variant", variant(content)))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"),
+                        sha256(content).alias("_own_digest"),
+                        variant(content).alias("_own_variant"))
     return keyed.join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_keep_id"))
+        kept, F.col("_id").eqNullSafe(F.col("_keep_id"))
         & (F.col("_own_digest") == F.col("_digest"))
-        & (F.col("_own_variant") == F.col("_variant")), "left_semi").select(*docs.columns)
+        & (F.col("_own_variant") == F.col("_variant")), "left_semi").select("row.*")

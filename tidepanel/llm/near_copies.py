@@ -75,7 +75,8 @@ def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     if same.any():
         place = np.arange(len(out))
         first = np.maximum.accumulate(np.where(np.r_[True, ~same], place, 0))
-        out[order] = mixed(ranked + (place - first).astype(np.uint64) * MIX)
+        again = place > first
+        out[order[again]] = mixed(ranked[again] + (place - first)[again].astype(np.uint64) * MIX)
     return out
 
 
@@ -328,5 +329,6 @@ def keep_one_each(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
     classes = materialize(near_classes(docs, similarity, sketches, seed), "near-classes")
     dropped = classes.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
     dropped = bounded_broadcast(dropped, MOST_BROADCAST_IDS)
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(
-        *docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"),
+                       F.col("doc_id").cast("long").alias("_id"))
+    return rows.join(dropped, F.col("_id") == F.col("_dropped"), "left_anti").select("row.*")
