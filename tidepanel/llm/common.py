@@ -48,6 +48,14 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def any_of(conditions: list[Column]) -> Column:
     return functools.reduce(lambda a, b: a | b, conditions)
 

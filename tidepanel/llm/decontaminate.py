@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import text_or_empty
+from tidepanel.llm.common import free_name, text_or_empty
 
 EDIT_RATE = 0.1
 BLOCK_BYTES = 1_000_000
@@ -194,6 +194,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edit_rate: float =
                 keep = [next(m.search(t), None) is None for t in batch.column(0).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_())).select(range(1, batch.num_columns))
 
-        # read by place: the documents may have a column of any name
-        docs = docs.select(words_of("text").alias("_words"), "*").mapInArrow(clean, docs.schema)
+        name = free_name(docs, "_words")
+        docs = docs.select(words_of("text").alias(name), "*").mapInArrow(clean, docs.schema)
     return docs

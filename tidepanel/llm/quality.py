@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import text_or_empty
+from tidepanel.llm.common import free_name, text_or_empty
 
 STATISTICS = (
     "log_chars log_words word_length word_length_spread upper digit space punctuation symbol "
@@ -208,4 +208,5 @@ def drop_rejected(docs: DataFrame, model: Trees, threshold: float = 0.7) -> Data
             keep = scores_of(batch.column(0).to_pylist(), model) >= threshold
             yield batch.filter(pa.array(keep)).select(range(1, batch.num_columns))
 
-    return docs.select(text_or_empty("text").alias("_text"), "*").mapInArrow(accepted, docs.schema)
+    name = free_name(docs, "_text")
+    return docs.select(text_or_empty("text").alias(name), "*").mapInArrow(accepted, docs.schema)
