@@ -61,10 +61,11 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
     return rows.mapInPandas(pieces, PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def best_configuration(value: np.ndarray, lengths: np.ndarray, capacity: int,
-                       most: np.ndarray) -> dict[int, int]:
-    """Knapsack pricing: the multiset of lengths within `capacity` of the highest
-    value, at most `most` copies of each."""
+def priced_configurations(value: np.ndarray, lengths: np.ndarray, capacity: int,
+                          most: np.ndarray, count: int, slack: float) -> list[dict[int, int]]:
+    """Knapsack pricing: up to `count` multisets of lengths within `capacity`, each
+    with another item first, valued within `slack` of the best; at most `most`
+    copies of a length. Items are indexes of `lengths`."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
     shortest = int(lengths[0])
@@ -72,49 +73,70 @@ def best_configuration(value: np.ndarray, lengths: np.ndarray, capacity: int,
         fit = int(np.searchsorted(lengths, room, side="right"))
         worth = best[room - lengths[:fit]] + value[:fit]
         i = int(worth.argmax())
-        if worth[i] > best[room - 1]:
+        best[room] = best[room - 1]
+        if worth[i] > best[room]:
             best[room], choice[room] = worth[i], i
-        else:
-            best[room], choice[room] = best[room - 1], -1
-    counts: dict[int, int] = defaultdict(int)
-    room = capacity
-    while room >= shortest:
-        i = int(choice[room])
-        if i < 0:
-            room -= 1
-            continue
-        counts[i] += 1
-        room -= int(lengths[i])
-    return {i: min(n, int(most[i])) for i, n in counts.items()}
+    total = value + best[capacity - lengths]
+    order = np.argsort(-total, kind="stable")[:count]
+    found = []
+    for first in order[(total[order] >= (1 - slack) * best[capacity]) & (value[order] > 0)]:
+        counts: dict[int, int] = defaultdict(int)
+        counts[int(first)] += 1
+        room = capacity - int(lengths[first])
+        while room >= shortest:
+            i = int(choice[room])
+            if i < 0:
+                room -= 1
+                continue
+            counts[i] += 1
+            room -= int(lengths[i])
+        found.append({i: min(n, int(most[i])) for i, n in counts.items()})
+    return found
 
 
 def solve_by_weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int,
-                     rate: float) -> dict[Configuration, float]:
-    """Multiplicative weights for the covering program: lengths covered little
-    so far weigh more, and each round adds the configuration they price highest.
-    The number of sequences of a round is the least total over the rounds."""
-    bound = float((lengths * demand).sum()) / capacity
-    step = bound / rounds
+                     rate: float, count: int, slack: float) -> dict[Configuration, float]:
+    """Multiplicative weights for the covering program. A length's weight falls by
+    exp(-rate) with every full cover of its demand, a covered one is worth nothing;
+    each round takes the configurations that the weights price highest, in steps
+    that sum up to the volume bound over all rounds."""
+    step = float((lengths * demand).sum()) / capacity / rounds
     covered = np.zeros(len(lengths))
     taken: dict[Configuration, float] = defaultdict(float)
     for _ in range(rounds):
         short = covered / demand
-        # the weight of a length is the value of one unit of its relative cover
-        weight = np.exp(-rate * rounds * (short - short.min()) / max(1, len(lengths)) ** 0.5)
-        found = best_configuration(weight / demand, lengths, capacity, demand)
+        value = np.where(short < 1, np.exp(-rate * (short - short.min())) / demand, 0.0)
+        # scaled by length, so that rare short pieces do not outbid all others
+        value *= lengths * demand / demand.max() + 1e-9 * (short < 1)
+        found = priced_configurations(value, lengths, capacity, demand, count, slack)
         if not found:
             break
-        amount = min([step, *(demand[i] / n for i, n in found.items())])
-        for i, n in found.items():
-            covered[i] += n * amount
-        taken[tuple(sorted(((int(lengths[i]), n) for i, n in found.items()), reverse=True))] += amount
+        for content in found:
+            amount = min([step / len(found),
+                          *((demand[i] - covered[i]) / n for i, n in content.items())])
+            if amount <= 0:
+                continue
+            for i, n in content.items():
+                covered[i] += n * amount
+            taken[tuple(sorted(((int(lengths[i]), n) for i, n in content.items()),
+                               reverse=True))] += amount
     return taken
 
 
-def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Configuration, int]]:
-    """Best-fit by decreasing length on counts: equal bins move together."""
+def best_fit(left: dict[int, int], capacity: int,
+             opened: list[tuple[Configuration, int]] = ()) -> list[tuple[Configuration, int]]:
+    """Best-fit by decreasing length, on counts: equal bins move together. `opened`:
+    bins that hold something already."""
     by_room: dict[int, list[tuple[Configuration, int]]] = defaultdict(list)
     rooms = np.zeros(capacity + 1, dtype=np.int64)  # bins by room
+
+    def put(content, bins):
+        room = capacity - sum(length * n for length, n in content)
+        by_room[room].append((content, bins))
+        rooms[room] += bins
+
+    for content, bins in opened:
+        put(content, bins)
     for length in sorted(left, reverse=True):
         n = left[length]
         while n > 0:
@@ -124,48 +146,43 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Configuration, i
                 full, rest = divmod(n, each)
                 for copies, bins in ((each, full), (rest, 1 if rest else 0)):
                     if bins:
-                        room = capacity - copies * length
-                        by_room[room].append((((length, copies),), bins))
-                        rooms[room] += bins
+                        put(((length, copies),), bins)
                 break
             room = int(open_rooms[0]) + length
             content, bins = by_room[room].pop()
+            rooms[room] -= bins
             each = min(room // length, n)
             take = min(bins, n // each)
             if take < bins:
-                by_room[room].append((content, bins - take))
-            rooms[room] -= take
-            by_room[room - each * length].append((content + ((length, each),), take))
-            rooms[room - each * length] += take
+                put(content, bins - take)
+            put(content + ((length, each),), take)
             n -= take * each
     return [x for group in by_room.values() for x in group]
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 300,
-                   rate: float = 0.5) -> list[tuple[Configuration, int]]:
-    """(configuration, number of sequences) that hold every piece once."""
-    left = dict(histogram)
+def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200, rate: float = 4.0,
+                   count: int = 16, slack: float = 0.05,
+                   keep: float = 0.7) -> list[tuple[Configuration, int]]:
+    """(configuration, number of sequences) that hold every piece once. The share
+    `keep` of the program's solution is rounded down to bins, which stay open for
+    best-fit of what is left; the rest leaves best-fit pieces of every length."""
+    left = {length: n for length, n in histogram.items() if n}
     plan: list[tuple[Configuration, int]] = []
     if left.get(capacity):
         plan.append((((capacity, 1),), left.pop(capacity)))
-    if left:
-        lengths = np.array(sorted(left), dtype=np.int64)
-        demand = np.array([left[int(x)] for x in lengths], dtype=np.float64)
-        taken = solve_by_weights(lengths, demand, capacity, rounds, rate)
-
-        def filled(c):
-            return sum(length * n for length, n in c)
-
-        for c in sorted(taken, key=lambda c: (-filled(c), -taken[c], c)):
-            if filled(c) < capacity:
-                continue  # best-fit fills the rest better than a loose configuration
-            bins = min([int(taken[c]), *(left.get(length, 0) // n for length, n in c)])
-            if bins > 0:
-                plan.append((c, bins))
-                for length, n in c:
-                    left[length] -= bins * n
-        plan += best_fit({k: v for k, v in left.items() if v}, capacity)
-    return plan
+    if not left:
+        return plan
+    lengths = np.array(sorted(left), dtype=np.int64)
+    demand = np.array([left[int(x)] for x in lengths], dtype=np.float64)
+    taken = solve_by_weights(lengths, demand, capacity, rounds, rate, count, slack)
+    opened = []
+    for content in sorted(taken, key=lambda c: (-sum(length * n for length, n in c), c)):
+        bins = min([int(keep * taken[content]), *(left[length] // n for length, n in content)])
+        if bins > 0:
+            opened.append((content, bins))
+            for length, n in content:
+                left[length] -= bins * n
+    return plan + best_fit({k: n for k, n in left.items() if n}, capacity, opened)
 
 
 def placement(plan: list[tuple[Configuration, int]]) -> np.ndarray:
