@@ -112,9 +112,14 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, sample_
     """sample_rows: records, picked by hash of their id, that the dictionary is built
     from (their first 64 KB each); it only affects size."""
     rows = archived(pages, least_bytes)
-    sample = (pages.select("page_id", "url", text_or_empty("html").alias("html"))
-              .orderBy(F.xxhash64("page_id")).limit(sample_rows)
-              .select("page_id", "url", F.substring("html", 1, 65_536).alias("html")).collect())
+    # the ids are picked first, so that no task sends its candidates' html
+    picked = (pages.select(F.xxhash64("page_id").alias("h")).distinct()
+              .orderBy("h").limit(sample_rows))
+    sample = (pages.select("page_id", "url", text_or_empty("html").alias("html"),
+                           F.xxhash64("page_id").alias("h"))
+              .join(F.broadcast(picked), "h")
+              .select("page_id", "url", F.substring("html", 1, 65_536).alias("html"))
+              .limit(sample_rows).collect())
     records = []
     for r in sample:
         payload = r["html"].encode()
