@@ -49,46 +49,80 @@ def trend_line(df: DataFrame, y: str, p: str, by=()) -> DataFrame:
 
 
 def accuracy(df: DataFrame, y: str, p: str, by=()) -> DataFrame:
-    """V5: share of rows with predicted == actual."""
-    return df.groupBy(*by).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+    """V5: share of rows with predicted == actual; a missing actual or predicted
+    value is never right."""
+    return df.groupBy(*by).agg(
+        F.avg(F.coalesce(F.col(y) == F.col(p), F.lit(False)).cast("double")).alias("accuracy"))
+
+
+MISSING = "(missing)"
+MAX_CLASSES = 1_000  # classes of a report; its size is their square
+
+
+def all_labels(df: DataFrame, y: str, p: str, labels) -> list:
+    """``labels``, then further observed values in order, then None if a value is
+    missing: every row has its place in the matrix and the report."""
+    seen = df.select(F.col(y).alias("v")).union(df.select(F.col(p).alias("v"))).distinct()
+    rows = [r["v"] for r in seen.limit(MAX_CLASSES + 1).collect()]
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} distinct labels")
+    listed = list(labels)
+    more = sorted(v for v in rows if v is not None and v not in listed)
+    return listed + more + ([None] if None in rows else [])
 
 
 def confusion_matrix(df: DataFrame, y: str, p: str, labels, by=()) -> DataFrame:
     """V6: ``(actual, predicted, count)`` for every label pair (zeros kept).
 
-    The pair grid (len(labels)^2 rows) is generated from the label list, not
-    by joining data."""
+    Observed values outside ``labels`` and missing ones (NULL) get rows and
+    columns of their own (``all_labels``), so the counts sum to all rows. The
+    pair grid (labels^2 rows) is generated from the list, not by joining data."""
+    kind = df.schema[y].dataType
+    labels = all_labels(df, y, p, labels)
     counts = df.groupBy(*by, F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count"))
-    pairs = F.array(*[F.struct(F.lit(a).alias("actual"), F.lit(b).alias("predicted"))
+    pairs = F.array(*[F.struct(F.lit(a).cast(kind).alias("actual"),
+                               F.lit(b).cast(kind).alias("predicted"))
                       for a in labels for b in labels])
     if by:
         keys = counts.select(*by).distinct()
     else:
         keys = df.sparkSession.range(1)
     grid = keys.select(*by, F.explode(pairs).alias("g")).select(*by, "g.actual", "g.predicted")
-    return grid.join(counts, [*by, "actual", "predicted"], "left").select(
-        *by, "actual", "predicted", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+    g, c = grid.alias("g"), counts.alias("c")
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*by, "actual", "predicted"]]
+    return g.join(c, same, "left").select(
+        *[F.col(f"g.{k}").alias(k) for k in [*by, "actual", "predicted"]],
+        F.coalesce("c.count", F.lit(0)).cast("bigint").alias("count"))
 
 
 def classification_report(df: DataFrame, y: str, p: str, labels, by=()) -> DataFrame:
     """V7: per class precision / recall / F1 / support (0 when undefined),
-    then ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
+    then ``accuracy``, ``macro avg`` and ``weighted avg`` rows.
+
+    Every row counts: classes outside ``labels`` are reported like listed ones,
+    and rows with a missing value as class ``(missing)``, which is never right
+    and stays out of the macro average (it is no class)."""
     cm = confusion_matrix(df, y, p, labels, by)
     tp = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0))
     per_actual = cm.groupBy(*by, F.col("actual").alias("label")).agg(
         tp.alias("tp"), F.sum("count").alias("support"))
     per_pred = cm.groupBy(*by, F.col("predicted").alias("label")).agg(F.sum("count").alias("n_pred"))
-    cls = per_actual.join(per_pred, [*by, "label"])
+    a, b = per_actual.alias("a"), per_pred.alias("b")
+    cls = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*by, "label"]]).select(
+        *[F.col(f"a.{k}").alias(k) for k in [*by, "label"]], "tp", "support", "n_pred")
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred").cast("double")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
-    cls = cls.select(*by, F.col("label").cast("string").alias("label"), prec.alias("precision"),
+    cls = cls.select(*by, F.coalesce(F.col("label").cast("string"), F.lit(MISSING)).alias("label"), prec.alias("precision"),
                      rec.alias("recall"), "support", "tp")
     cls = cls.withColumn("f1", F.coalesce(F.try_divide(
         2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+    known = F.col("label") != MISSING
     tot = cls.groupBy(*by).agg(
-        F.sum("support").alias("n"), F.sum("tp").alias("ntp"), F.avg("precision").alias("mp"),
-        F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
+        F.sum("support").alias("n"), F.sum("tp").alias("ntp"),
+        F.avg(F.when(known, F.col("precision"))).alias("mp"),
+        F.avg(F.when(known, F.col("recall"))).alias("mr"),
+        F.avg(F.when(known, F.col("f1"))).alias("mf"),
         F.sum(F.col("precision") * F.col("support")).alias("wp"),
         F.sum(F.col("recall") * F.col("support")).alias("wr"),
         F.sum(F.col("f1") * F.col("support")).alias("wf"))
@@ -110,7 +144,7 @@ def classification_report(df: DataFrame, y: str, p: str, labels, by=()) -> DataF
 def macro_f1(df: DataFrame, y: str, p: str, labels, by=()) -> DataFrame:
     """V8: unweighted mean of the per-class F1 (model selection score)."""
     rep = classification_report(df, y, p, labels, by)
-    return rep.where(~F.col("label").isin("accuracy", "macro avg", "weighted avg")).groupBy(*by).agg(
+    return rep.where(~F.col("label").isin("accuracy", "macro avg", "weighted avg", MISSING)).groupBy(*by).agg(
         F.avg("f1").alias("macro_f1"))
 
 

@@ -109,6 +109,50 @@ def metrics_classification_report(spark, sf):
     return rounded(metrics.classification_report(flag_rule(spark, sf), "actual", "predicted", FLAGS))
 
 
+# some predictions are a class outside the list, some values are missing
+ODD_SQL = FLAG_SQL.replace("fr AS (SELECT", "fr AS (SELECT * REPLACE (CASE WHEN l_linenumber = 7 THEN NULL "
+                           "WHEN l_linenumber = 6 THEN 'X' ELSE predicted END AS predicted, "
+                           "CASE WHEN l_linenumber = 5 AND l_partkey % 2 = 0 THEN NULL ELSE actual END AS actual) "
+                           "FROM (SELECT", 1) + ")"
+ODD_CM_SQL = f"""{ODD_SQL},
+lv AS (SELECT unnest(['A', 'N', 'R', 'X', NULL]) AS v),
+g AS (SELECT a.v AS actual, p.v AS predicted FROM lv a, lv p),
+c AS (SELECT actual, predicted, count(*) AS n FROM fr GROUP BY 1, 2),
+cm AS (SELECT g.actual, g.predicted, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+       FROM g LEFT JOIN c ON g.actual IS NOT DISTINCT FROM c.actual AND g.predicted IS NOT DISTINCT FROM c.predicted)"""
+
+
+def odd_flags(spark, sf):
+    line = F.col("l_linenumber")
+    return flag_rule(spark, sf).withColumns({
+        "predicted": F.when(line == 7, F.lit(None)).when(line == 6, F.lit("X")).otherwise(F.col("predicted")),
+        "actual": F.when((line == 5) & (F.col("l_partkey") % 2 == 0), F.lit(None)).otherwise(F.col("actual"))})
+
+
+@register("metrics_confusion_unlisted", f"WITH {ODD_CM_SQL}\nSELECT * FROM cm")
+def metrics_confusion_unlisted(spark, sf):
+    return metrics.confusion_matrix(odd_flags(spark, sf), "actual", "predicted", FLAGS)
+
+
+@register("metrics_report_unlisted", f"""WITH {ODD_CM_SQL},
+pa AS (SELECT actual AS label, sum(CASE WHEN actual = predicted THEN count ELSE 0 END) AS tp, sum(count) AS support FROM cm GROUP BY 1),
+pp AS (SELECT predicted AS label, sum(count) AS n_pred FROM cm GROUP BY 1),
+cls AS (SELECT coalesce(pa.label, '(missing)') AS label, coalesce(CASE WHEN n_pred > 0 THEN tp / n_pred END, 0.0) AS precision,
+               coalesce(CASE WHEN support > 0 THEN tp / support END, 0.0) AS recall, support, tp
+        FROM pa JOIN pp ON pa.label IS NOT DISTINCT FROM pp.label),
+cf AS (SELECT *, coalesce(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) END, 0.0) AS f1 FROM cls),
+rep AS (
+  SELECT label, precision, recall, f1, CAST(support AS BIGINT) AS support FROM cf
+  UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM cf
+  UNION ALL SELECT 'macro avg', avg(precision) FILTER (label <> '(missing)'), avg(recall) FILTER (label <> '(missing)'),
+                   avg(f1) FILTER (label <> '(missing)'), CAST(sum(support) AS BIGINT) FROM cf
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM cf)
+SELECT label, {r('precision')} AS precision, {r('recall')} AS recall, {r('f1')} AS f1, support FROM rep""")
+def metrics_report_unlisted(spark, sf):
+    return rounded(metrics.classification_report(odd_flags(spark, sf), "actual", "predicted", FLAGS))
+
+
 @register("metrics_macro_f1", f"""WITH {REPORT_SQL}
 SELECT {r('f1')} AS macro_f1 FROM rep WHERE label = 'macro avg'""")
 def metrics_macro_f1(spark, sf):

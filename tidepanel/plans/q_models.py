@@ -135,6 +135,7 @@ def linear_poly2_coefficients(spark, sf):
 from tidepanel.operators.models import cluster  # noqa: E402
 from tidepanel.sources.tables import driver_table  # noqa: E402
 
+EMB_DIM = 64
 EMB_LONG_SQL = """el AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS v
         FROM (SELECT vec_id, label, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings)),
 lab AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT label FROM embeddings)),
@@ -174,11 +175,12 @@ def kmeans_attach_cluster(spark, sf):
 
 
 @register("kmeans_cluster_profile", f"""WITH {EMB_LONG_SQL}
-SELECT b.cluster, count(*) AS n, {', '.join(r(f'avg(CAST(e.embedding[{i + 1}] AS DOUBLE))') + f' AS mean_x{i}' for i in range(4))}
+SELECT b.cluster, count(*) AS n, {', '.join(r(f'avg(CAST(e.embedding[{i + 1}] AS DOUBLE))') + f' AS mean_x{i}' for i in range(EMB_DIM))}
 FROM best b JOIN embeddings e ON b.vec_id = e.vec_id GROUP BY 1""")
 def kmeans_cluster_profile(spark, sf):
-    a = assigned_by_class_means(spark, sf).withColumns({f"x{i}": F.col("x")[i] for i in range(4)})
-    return rounded(cluster.cluster_profile(a, "cluster", [f"x{i}" for i in range(4)]))
+    a = assigned_by_class_means(spark, sf).withColumns(
+        {f"x{i}": F.col("x")[i] for i in range(EMB_DIM)})
+    return rounded(cluster.cluster_profile(a, "cluster", [f"x{i}" for i in range(EMB_DIM)]))
 
 
 @register("kmeans_fit_centres")

@@ -42,28 +42,19 @@ def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType | str |
     return normalise_missing(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least ``defaultParallelism`` partitions.
-
-    A file stored as one row group is read by one task, whatever the split
-    size; the projections above the scan would then use one core. Inputs that
-    already have enough partitions (any large table) are left untouched, so
-    this adds no exchange at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+TASK_BYTES = 1_000_000  # estimated bytes of a single-task scan that are worth a task of their own
 
 
-# Schema of each driver table path, read once per process: later reads pass
-# it to the reader, which then skips the footer-reading job (the driver tables
-# are read-only).
-_SCHEMAS: dict[str, T.StructType] = {}
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that Spark can only read in one task (a file of one row group),
+    by its size: small tables stay as they are, and so does any scan that already
+    has several tasks."""
+    if df.rdd.getNumPartitions() != 1:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = min(df.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES)
+    return df.repartition(target) if target > 1 else df
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if known is None:
-        _SCHEMAS[path] = df.schema
-    return spread(df)
+    return spread(read_panel_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet"))
