@@ -192,37 +192,32 @@ class FittedFeaturePlan:
     levels: dict
 
     @property
-    def numeric_names(self) -> list[str]:
-        if self.plan.degree == 1:
-            return list(self.plan.numeric)
-        return [n for n, _ in polynomial_terms(self.plan.numeric, self.plan.degree)]
+    def base_names(self) -> list[str]:
+        """Scaled numeric columns, then the dummies."""
+        return list(self.plan.numeric) + [
+            _level_name(c, lv) for c in self.plan.categorical for lv in self.levels[c]]
 
     @property
     def feature_names(self) -> list[str]:
-        """Output feature names in order."""
-        cat = [_level_name(c, lv) for c in self.plan.categorical for lv in self.levels[c]]
-        return self.numeric_names + cat
+        """Output feature names in order; products are of all base columns,
+        dummies included."""
+        if self.plan.degree == 1:
+            return self.base_names
+        return [n for n, _ in polynomial_terms(self.base_names, self.plan.degree)]
 
     def transform(self, df: DataFrame) -> DataFrame:
         p = self.plan
-        num = {}
+        base: dict[str, Column] = {}
         for c in p.numeric:
             m, s = self.scale[c]
             x = F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c]))
-            num[c] = (x - F.lit(m)) / F.lit(float(s))
-        exprs = [e.alias(c) for c, e in num.items()]
-        if p.degree > 1:
-            exprs = []
-            for name, facs in polynomial_terms(p.numeric, p.degree):
-                e = num[facs[0]]
-                for f in facs[1:]:
-                    e = e * num[f]
-                exprs.append(e.alias(name))
+            base[c] = (x - F.lit(m)) / F.lit(float(s))
         for c in p.categorical:
             v = F.coalesce(F.col(c), F.lit(self.modes.get(c)))
-            exprs += [F.when(v == F.lit(lv), F.lit(1)).otherwise(F.lit(0)).alias(_level_name(c, lv))
-                      for lv in self.levels[c]]
-        return df.select(*p.keep, *exprs)
+            for lv in self.levels[c]:
+                base[_level_name(c, lv)] = F.when(v == F.lit(lv), F.lit(1)).otherwise(F.lit(0))
+        flat = df.select(*p.keep, *[e.alias(n) for n, e in base.items()])
+        return flat if p.degree == 1 else polynomial(flat, self.base_names, p.degree)
 
     def names_table(self, spark) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.feature_names)), "position int, feature string")

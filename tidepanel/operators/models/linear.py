@@ -1,8 +1,9 @@
 """Linear models from sufficient statistics.
 
-One aggregation gives, per group (fold), the count, means and co-moments of
-``[x_1 .. x_d, y]`` over complete rows (``gram_stats`` gives the raw Gram
-matrix of ``[1, x, y]``, M9). Everything else -- OLS (minimum-norm on the
+One pass for the column means and one of Arrow batches multiplied in numpy give,
+per group (fold), the count, means and co-moments of ``[x_1 .. x_d, y]`` over
+complete rows, at any width (``gram_stats`` gives the raw Gram matrix of
+``[1, x, y]``, M9). Everything else -- OLS (minimum-norm on the
 centred system, like a least-squares solver on rank-deficient designs), ridge
 with an unpenalised intercept, k-fold cross-validation (train = total -
 held-out fold), SSE of a held-out fold -- is solved on the driver from
@@ -17,9 +18,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-GRAM_EXPR_MAX = 24  # up to this many features the Gram is built from SQL sums
 
 
 def _complete(df: DataFrame, cols) -> DataFrame:
@@ -35,73 +33,35 @@ def gram_stats(df: DataFrame, features, y: str, by: str | None = None,
     """M9: long table ``(group, i, j, value)`` (i <= j) of sum z_i z_j with
     z = [1, x - shift, y - shift_y]; rows with a missing value are skipped.
 
-    Small d: one aggregation of generated sum expressions. Large d: per-batch
-    numpy products in ``mapInPandas`` (Arrow) summed by (group, i, j).
+    Every task multiplies its Arrow batches in numpy and emits one triangle per
+    group; the triangles are summed by (group, i, j).
     """
     shift = shift or {}
     cols = list(features) + [y]
     data = _complete(df, cols)
-    z = [F.lit(1.0)] + [F.col(c).cast("double") - F.lit(float(shift.get(c, 0.0))) for c in cols]
+    m = len(cols) + 1
     grp = F.col(by).cast("int") if by else F.lit(0)
-    m = len(z)
-    if len(features) <= GRAM_EXPR_MAX:
-        aggs = [F.sum(z[i] * z[j]).alias(f"g_{i}_{j}") for i in range(m) for j in range(i, m)]
-        wide = data.groupBy(grp.alias("group")).agg(*aggs)
-        arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"g_{i}_{j}").alias("value"))
-                        for i in range(m) for j in range(i, m)])
-        return wide.select("group", F.explode(arr).alias("s")).select("group", "s.i", "s.j", "s.value")
-
-    names = [f"_z{k}" for k in range(m)]
-    src = data.select(grp.alias("group"), *[e.alias(n) for e, n in zip(z, names)])
-    iu = np.triu_indices(m)
+    z = F.array(*[F.col(c).cast("double") - F.lit(float(shift.get(c) or 0.0)) for c in cols])
+    src = data.select(grp.alias("group"), z.alias("z")).where(F.col("group").isNotNull())
+    upper = np.triu_indices(m)
 
     def partial(batches):
         import pandas as pd
         acc = {}
         for pdf in batches:
-            for g, part in pdf.groupby("group"):
-                a = part[names].to_numpy(dtype="float64")
-                acc[g] = acc.get(g, 0) + a.T @ a
+            if len(pdf) == 0:
+                continue
+            rows = np.stack(pdf["z"].to_numpy())
+            rows = np.hstack([np.ones((len(rows), 1)), rows])
+            groups = pdf["group"].to_numpy()
+            for g in np.unique(groups):
+                part = rows[groups == g]
+                acc[g] = acc.get(g, 0) + part.T @ part
         for g, mat in acc.items():
-            yield pd.DataFrame({"group": g, "i": iu[0], "j": iu[1], "value": mat[iu]})
-
-    schema = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("i", T.IntegerType()),
-                           T.StructField("j", T.IntegerType()), T.StructField("value", T.DoubleType())])
-    return src.mapInPandas(partial, schema).groupBy("group", "i", "j").agg(F.sum("value").alias("value"))
-
-
-def collect_gram(stats: DataFrame, m: int) -> dict[int, np.ndarray]:
-    """Bounded collect: (groups) x (d+2)^2 numbers."""
-    out: dict[int, np.ndarray] = {}
-    for r in stats.collect():
-        g = out.setdefault(r["group"], np.zeros((m, m)))
-        v = r["value"] or 0.0
-        g[r["i"], r["j"]] = v
-        g[r["j"], r["i"]] = v
-    return out
-
-
-def solve(G: np.ndarray, alpha: float = 0.0) -> tuple[float, np.ndarray]:
-    """(intercept, beta) from a Gram of z = [1, x, y] (shift already removed
-    by the caller when needed). alpha = 0 -> minimum-norm least squares."""
-    d = G.shape[0] - 2
-    n = G[0, 0]
-    if n <= 0:
-        return float("nan"), np.full(d, np.nan)
-    sx, sy = G[0, 1:d + 1], G[0, d + 1]
-    mx, my = sx / n, sy / n
-    sxx = G[1:d + 1, 1:d + 1] - n * np.outer(mx, mx)
-    sxy = G[1:d + 1, d + 1] - n * mx * my
-    if alpha:
-        beta = np.linalg.solve(sxx + alpha * np.eye(d), sxy)
-    else:
-        beta = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True) @ sxy
-    return float(my - mx @ beta), beta
-
+            yield pd.DataFrame({"group": g, "i": upper[0], "j": upper[1], "value": mat[upper]})
 
-def sse_from_gram(G: np.ndarray, intercept: float, beta: np.ndarray) -> float:
-    w = np.concatenate([[-intercept], -beta, [1.0]])
-    return float(w @ G @ w)
+    return src.mapInPandas(partial, "group int, i int, j int, value double").groupBy(
+        "group", "i", "j").agg(F.sum("value").alias("value"))
 
 
 @dataclass
@@ -131,24 +91,24 @@ def merge(a: Moments, b: Moments) -> Moments:
 
 
 def moment_stats(df: DataFrame, features, y: str, by: str | None = None) -> dict:
-    """One aggregation: per group count, means and co-moments of [x, y]
-    (``covar_pop`` x n -- Spark merges these partial moments stably, so no
-    centring pass is needed). Bounded collect: groups x (d+1)^2 numbers."""
+    """Per group count, means and co-moments of [x, y], in two passes: the column
+    means, then the Gram statistics about them (``gram_stats``), which keeps the
+    products small and their sums exact enough. Bounded collect: groups x (d+1)^2
+    numbers, d being the number of features."""
     cols = list(features) + [y]
-    data = _complete(df, cols)
+    means = _complete(df, cols).agg(*[
+        F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = {c: means[f"m{i}"] or 0.0 for i, c in enumerate(cols)}
     m = len(cols)
-    grp = F.col(by).cast("int") if by else F.lit(0)
-    x = [F.col(c).cast("double") for c in cols]
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(x[i]).alias(f"mu{i}") for i in range(m)]
-    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(m) for j in range(i, m)]
+    grams: dict[int, np.ndarray] = {}
+    for r in gram_stats(df, features, y, by, shift).collect():
+        G = grams.setdefault(r["group"], np.zeros((m + 1, m + 1)))
+        G[r["i"], r["j"]] = G[r["j"], r["i"]] = r["value"]
+    centre = np.array([shift[c] for c in cols])
     out = {}
-    for r in data.groupBy(grp.alias("g")).agg(*aggs).collect():
-        n = float(r["n"])
-        C = np.zeros((m, m))
-        for i in range(m):
-            for j in range(i, m):
-                C[i, j] = C[j, i] = (r[f"c{i}_{j}"] or 0.0) * n
-        out[r["g"]] = Moments(n, np.array([r[f"mu{i}"] for i in range(m)], dtype=float), C)
+    for g, G in grams.items():
+        n, off = G[0, 0], G[0, 1:] / G[0, 0]
+        out[g] = Moments(float(n), centre + off, G[1:, 1:] - n * np.outer(off, off))
     return out
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -276,14 +278,27 @@ def kde_grid(df: DataFrame, cols, points: int = 200, fine_bins: int = 2048,
                           for i in range(points)]
         # cols x points rows, bounded by the parameters
         grid = spark.createDataFrame(grid_rows, "column string, point int, x double, bw double, den double")
-        vals = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-            for c, *_ in specs])).alias("s")).select("s.*").where(F.col("v").isNotNull())
-        z = (F.col("x") - F.col("v")) / F.col("bw")
-        # each value meets the grid of its column; partial sums per grid point
-        # are combined map-side, so only cols x points rows per task are shuffled
-        return vals.join(F.broadcast(grid), "column").groupBy("column", "point", "x", "den").agg(
-            F.sum(F.exp(F.lit(-0.5) * z * z)).alias("k")).select(
+        names = [c for c, *_ in specs]
+        points_of = {c: np.array([g[2] for g in grid_rows if g[0] == c]) for c in names}
+        widths = {c: bw for c, _, bw, _, _ in specs}
+
+        def partial(batches):
+            import pandas as pd
+            sums = {c: np.zeros(points) for c in names}
+            for pdf in batches:
+                for c in names:
+                    v = pdf[c].dropna().to_numpy(dtype="float64")
+                    for at in range(0, len(v), 2000):
+                        z = (points_of[c][:, None] - v[None, at:at + 2000]) / widths[c]
+                        sums[c] += np.exp(-0.5 * z * z).sum(axis=1)
+            for c in names:
+                yield pd.DataFrame({"column": c, "point": np.arange(points), "k": sums[c]})
+
+        # a task sends cols x points sums, however many rows it read
+        sums = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(
+            partial, "column string, point int, k double").groupBy("column", "point").agg(
+            F.sum("k").alias("k"))
+        return sums.join(F.broadcast(grid), ["column", "point"]).select(
             "column", "point", "x", (F.col("k") / F.col("den")).alias("density"))
     parts = []
     for c, n, bw, lo, hi in specs:

@@ -102,6 +102,32 @@ def encode_column_transformer(spark, sf):
     return rounded(PLAN.fit(train).transform(li))
 
 
+D2_NUM = ["l_quantity", "l_discount"]
+D2_PLAN = encode.FeaturePlan(numeric=D2_NUM, categorical=["l_linestatus"], imputer="median", scaler="standard",
+                             degree=2, keep=LI_KEYS)
+
+
+@register("encode_transformer_degree2", f"""WITH {TRAIN_LI_SQL},
+med AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS md_{c}' for c in D2_NUM)} FROM tr),
+ti AS (SELECT {', '.join(f'coalesce({c}, md_{c}) AS {c}' for c in D2_NUM)} FROM tr, med),
+st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in D2_NUM)} FROM ti),
+mf AS (SELECT (SELECT l_linestatus FROM tr WHERE l_linestatus IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode_s),
+ba AS (SELECT {S.LKEYS},
+  {', '.join(f"(coalesce({c}, md_{c}) - m_{c}) / " + _safe(f's_{c}') + f' AS {c}' for c in D2_NUM)},
+  {_oh_sql('l_linestatus', STATUSES, src_expr='coalesce(l_linestatus, mode_s)')}
+FROM cl, med, st, mf)
+SELECT {S.LKEYS}, """ + ", ".join(
+    r("CAST(" + ") * CAST(".join(f"{x} AS DOUBLE" for x in facs) + ")")
+    + f' + 0.0 AS "{name}"' for name, facs in encode.polynomial_terms(
+        D2_NUM + [f"l_linestatus_{v}" for v in STATUSES], 2)) + " FROM ba")
+def encode_transformer_degree2(spark, sf):
+    li, train = _train_li(spark, sf)
+    out = rounded(D2_PLAN.fit(train).transform(li))
+    # a negative value times a dummy's zero is -0.0: engines differ in how they show it
+    return out.select(*LI_KEYS, *[(F.col(f"`{c}`") + F.lit(0.0)).alias(c)
+                                  for c in out.columns if c not in LI_KEYS])
+
+
 @register("encode_feature_names", f"""WITH {TRAIN_LI_SQL},
 num AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(MEAS))}) t(position, feature)),
 f AS (SELECT DISTINCT l_returnflag AS v FROM tr WHERE l_returnflag IS NOT NULL),

@@ -14,6 +14,7 @@ from tidepanel.operators.models import linear
 from tidepanel.plans.catalog import r, register, rounded
 from tidepanel.plans.q_impute import _LI_KEY_SQL, _LI_SPLIT_KEYS
 from tidepanel.plans.q_profile import CLEAN_LI_SQL, clean_lineitem
+from tidepanel.sources.tables import driver_table
 
 X = ["l_quantity", "l_discount"]
 Y = "l_extendedprice"
@@ -130,10 +131,27 @@ def linear_poly2_coefficients(spark, sf):
     return _coef_table(spark, m)
 
 
+@register("linear_onehot_predictions", """WITH t AS (SELECT o.o_orderkey, n.n_name, o.o_totalprice
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT o_orderkey, """ + r('avg(o_totalprice) OVER (PARTITION BY n_name)', 4) + " AS predicted FROM t")
+def linear_onehot_predictions(spark, sf):
+    """Least squares on the dummies of 25 nations (rank-deficient with the intercept):
+    the prediction is the nation's mean."""
+    from tidepanel.operators import encode
+    nation = driver_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    t = driver_table(spark, sf, "orders").join(
+        driver_table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "o_orderkey", "n_name", "o_totalprice")
+    levels = sorted(x["n_name"] for x in nation.collect())
+    d = encode.one_hot(t, "n_name", levels=levels)
+    m = linear.fit_linear(d, [f"n_name_{v}" for v in levels], "o_totalprice")
+    return rounded(m.predict(d, "predicted").select("o_orderkey", "predicted"), 4)
+
+
 # ---- k-means / PCA on the embeddings -------------------------------------------
 
 from tidepanel.operators.models import cluster  # noqa: E402
-from tidepanel.sources.tables import driver_table  # noqa: E402
 
 EMB_DIM = 64
 EMB_LONG_SQL = """el AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS v

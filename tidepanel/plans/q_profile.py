@@ -213,7 +213,7 @@ def profile_distinct_nations(spark, sf):
     return profile.distinct_sorted(B.nation_day_panel(spark, sf), "n_name")
 
 
-KDE_COLS = ["l_extendedprice", "l_discount"]
+KDE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KDE_POINTS, KDE_CUT = 200, 3.0
 
 

@@ -59,4 +59,21 @@ def split_stratified_kfold(spark, sf):
     return o.groupBy("o_orderpriority", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _ranked_sql(label, seed):
+    return f"""t AS (SELECT o_orderkey, {label} AS label, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT) AS h FROM orders),
+k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h) AS i, count(*) OVER (PARTITION BY label) AS n FROM t)"""
 
+
+@register("split_stratified_exact", f"""WITH {_ranked_sql('o_orderstatus', 'split')}
+SELECT o_orderkey, label AS o_orderstatus, i <= round(0.2 * n) AS is_test FROM k""")
+def split_stratified_exact(spark, sf):
+    o = driver_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return split.split_stratified_exact(o, ["o_orderkey"], "o_orderstatus", 0.2)
+
+
+@register("split_stratified_kfold_exact", f"""WITH {_ranked_sql('o_orderpriority', 'fold')}
+SELECT o_orderkey, label AS o_orderpriority, CAST((i > round(0.2 * n))::INT + (i > round(0.4 * n))::INT
+  + (i > round(0.6 * n))::INT + (i > round(0.8 * n))::INT AS INTEGER) AS fold FROM k""")
+def split_stratified_kfold_exact(spark, sf):
+    o = driver_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return split.stratified_kfold_exact(o, ["o_orderkey"], "o_orderpriority", 5)

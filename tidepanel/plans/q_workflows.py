@@ -10,7 +10,7 @@ from tidepanel.plans import sqlparts as S
 from tidepanel.plans import workflows as W
 from tidepanel.plans.catalog import r, register, rounded
 from tidepanel.plans.q_clean import PANEL_CLEAN_SQL, clean_panel
-from tidepanel.plans.q_derive import next_panel
+from tidepanel.plans.q_derive import NEXT_SQL, next_panel
 from tidepanel.plans.q_models import rise_panel
 
 MARKET_SQL = """po AS (SELECT l_orderkey, count(*) AS k, sum(l_extendedprice) AS s_price, sum(l_discount) AS s_disc,
@@ -63,6 +63,39 @@ def workflow_regress_metrics(spark, sf):
     return rounded(res["metrics"].crossJoin(res["variance"]))
 
 
+RIDGE_Q3 = 3.0
+
+
+def _q3_sql():
+    """Ridge on two robust-scaled numeric features, from the 2 x 2 normal equations."""
+    x = ["price", "n_orders"]
+    test = ("CAST('0x' || substr(md5(n_name || ':' || CAST(d AS VARCHAR) || ':split'), 1, 8) AS BIGINT) "
+            "% 10000 < 2000")
+    return f"""WITH {NEXT_SQL},
+dt AS (SELECT n_name, d, price, n_orders, price_change_pct AS y, {test} AS is_test FROM ch
+       WHERE price_change_pct IS NOT NULL),
+q AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS md_{c}" for c in x)} FROM dt WHERE NOT is_test),
+fl AS (SELECT y, is_test, {', '.join(f"coalesce(CAST({c} AS DOUBLE), md_{c}) AS {c}" for c in x)} FROM dt, q),
+st AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in x)}
+       FROM fl WHERE NOT is_test),
+sc AS (SELECT y, is_test, (price - m_price) / CASE WHEN s_price = 0 THEN 1 ELSE s_price END AS x1,
+              (n_orders - m_n_orders) / CASE WHEN s_n_orders = 0 THEN 1 ELSE s_n_orders END AS x2 FROM fl, st),
+mo AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) + {RIDGE_Q3} AS a11,
+              covar_pop(x1, x2) * count(*) AS a12, var_pop(x2) * count(*) + {RIDGE_Q3} AS a22,
+              covar_pop(x1, y) * count(*) AS s1, covar_pop(x2, y) * count(*) AS s2 FROM sc WHERE NOT is_test),
+so AS (SELECT *, (a22 * s1 - a12 * s2) / (a11 * a22 - a12 * a12) AS b1,
+              (a11 * s2 - a12 * s1) / (a11 * a22 - a12 * a12) AS b2 FROM mo)
+SELECT 'price' AS feature, {r('b1')} AS coefficient, {r('abs(b1)')} AS abs_coefficient FROM so
+UNION ALL SELECT 'n_orders', {r('b2')}, {r('abs(b2)')} FROM so"""
+
+
+@register("workflow_regress_coefficients", _q3_sql())
+def workflow_regress_coefficients(spark, sf):
+    res = W.regress(next_panel(spark, sf), numeric=["price", "n_orders"], categorical=[],
+                    target="price_change_pct", key_cols=["n_name", "d"], alpha=RIDGE_Q3)
+    return rounded(res["coefficients"])
+
+
 def next_step_base(spark, sf):
     return W.next_step_data(B.dirty_nation_day_panel(spark, sf), B.PANEL_SPEC, value="price",
                             measures=["price", "n_orders"], sentinel=B.SENTINEL)
@@ -111,7 +144,7 @@ cut AS (SELECT quantile_cont(CAST(date_diff('day', DATE '1970-01-01', d) AS DOUB
 sp AS (SELECT pc.*, CAST(date_diff('day', DATE '1970-01-01', d) AS DOUBLE) > c AS is_test FROM pc, cut),
 st AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in cols)}
        FROM sp WHERE NOT is_test),
-sc AS (SELECT {', '.join(f"(CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)} FROM sp, st)
+sc AS (SELECT {', '.join(f"(CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)} FROM sp, st WHERE NOT is_test)
 """
     parts = [f"""SELECT '{c}' AS "column", count({c}) AS count, {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std,
   {r(f'min({c})')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS p25, {r(f'quantile_cont({c}, 0.5)')} AS p50,

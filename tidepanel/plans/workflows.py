@@ -74,7 +74,7 @@ def regress(df: DataFrame, *, numeric, categorical, target: str, key_cols, alpha
     data = split.split_random(df.where(F.col(target).isNotNull()), key_cols, test_fraction)
     train = data.where(~F.col("is_test"))
     plan = encode.FeaturePlan(numeric=list(numeric), categorical=list(categorical), imputer="median",
-                              scaler="standard", keep=[*key_cols, target, "is_test"])
+                              scaler="robust", keep=[*key_cols, target, "is_test"])
     fp = plan.fit(train)
     tr = fp.transform(train)
     model = linear.fit_linear(tr, fp.feature_names, target, alpha=alpha)
@@ -143,15 +143,16 @@ def cluster_state(df: DataFrame, *, measures, keep, ks=range(2, 13), restarts: i
 
 def scale_with_ordered_split(df: DataFrame, *, time_col: str, measures, test_fraction: float = 0.2) -> dict:
     """Q7: outlier report, ordered split, robust scaling fitted on the
-    training part, description before/after and densities."""
+    training part; description and densities of that part before and after."""
     d = split.split_ordered(df, time_col, test_fraction)
     train = d.where(~F.col("is_test"))
     scaled = encode.robust_scale(d, list(measures), fit_df=train)
+    scaled_train = scaled.where(~F.col("is_test"))
     return {"outliers": clean.outlier_report(df, list(measures)),
-            "describe_before": profile.describe_numeric(d, list(measures)),
-            "describe_after": profile.describe_numeric(scaled, list(measures)),
-            "kde_before": profile.kde_grid(d, list(measures)),
-            "kde_after": profile.kde_grid(scaled, list(measures)),
+            "describe_before": profile.describe_numeric(train, list(measures)),
+            "describe_after": profile.describe_numeric(scaled_train, list(measures)),
+            "kde_before": profile.kde_grid(train, list(measures)),
+            "kde_after": profile.kde_grid(scaled_train, list(measures)),
             "scaled": scaled}
 
 
