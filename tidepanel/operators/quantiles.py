@@ -14,6 +14,11 @@ holding all its distinct values. Here:
    interpolated as ``v_i + frac (v_{i+1} - v_i)`` (same definition as
    ``percentile`` / ``quantile_cont``).
 
+Without groups, the windows of pass 1 are read back (columns x quantiles numbers)
+and pass 2 applies them as literals: one conditional aggregation for the counts
+below and one count per distinct value inside, with no join and no exchange of
+data rows; a window that holds too many rows is narrowed again first.
+
 Everything stays distributed; only the final table (one row per group, column
 and quantile) is small. ``exact=False`` returns ``percentile_approx`` alone.
 """
@@ -73,6 +78,9 @@ def quantiles_and_stats(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
         F.array(*[F.when(small, F.lit(float("inf"))).otherwise(F.col("a")[nq + j])
                   for j in range(nq)]).alias("hi"))
 
+    if not by:
+        return _ungrouped(df, cols, qs, targets, accuracy), stats.select(*keys, *(extra or {}))
+
     # Pass 2: per (group, column, q): below-count row (key NULL) + window values.
     joined = long.join(targets.drop("n"), keys, "inner")
     qi = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qi")
@@ -101,6 +109,76 @@ def quantiles_and_stats(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
     return out, stats.select(*keys, *(extra or {}))
 
 
+MOST_IN_WINDOW = 1_000_000  # rows of one (column, q) that one running sum may order
+
+
+def _ungrouped(df: DataFrame, cols, qs, targets: DataFrame, accuracy: int) -> DataFrame:
+    """Pass 2 without groups: the windows (columns x quantiles) come back as literals,
+    so no data row is exchanged before it is counted. A window that still holds
+    more than ``MOST_IN_WINDOW`` rows is narrowed again about the wanted rank."""
+    spark = df.sparkSession
+    x = {c: F.col(c).cast("double") for c in cols}
+    bounds = {}  # (column, qi) -> (n, lo, hi)
+    for row in targets.collect():
+        for j in range(len(qs)):
+            bounds[row["column"], j] = (row["n"], row["lo"][j], row["hi"][j])
+    if not bounds:
+        return spark.createDataFrame([], "column string, q double, value double")
+
+    def valid(c):
+        return x[c].isNotNull() & ~F.isnan(x[c])
+
+    def inside(c, lo, hi):
+        return valid(c) & (x[c] >= F.lit(lo)) & (x[c] <= F.lit(hi))
+
+    keys = list(bounds)
+    while True:
+        sums = df.agg(*[F.sum((valid(c) & (x[c] < F.lit(bounds[c, j][1]))).cast("long")).alias(f"b{t}")
+                        for t, (c, j) in enumerate(keys)],
+                      *[F.sum(inside(c, *bounds[c, j][1:]).cast("long")).alias(f"w{t}")
+                        for t, (c, j) in enumerate(keys)]).first()
+        wide = [t for t, k in enumerate(keys)
+                if sums[f"w{t}"] > MOST_IN_WINDOW and bounds[k][1] < bounds[k][2]]
+        if not wide:
+            break
+        aggs = []
+        for t in wide:
+            (c, j), share = keys[t], (qs[keys[t][1]] * (bounds[keys[t]][0] - 1) - sums[f"b{t}"]) / sums[f"w{t}"]
+            aggs.append(F.percentile_approx(
+                F.when(inside(c, *bounds[c, j][1:]), x[c]),
+                F.array(*[F.lit(min(1.0, max(0.0, share + d))) for d in (-3 / accuracy, 3 / accuracy)]),
+                accuracy).alias(f"a{t}"))
+        narrower = df.agg(*aggs).first()
+        same = True
+        for t in wide:
+            n, lo, hi = bounds[keys[t]]
+            got = tuple(narrower[f"a{t}"])
+            same &= got == (lo, hi)
+            bounds[keys[t]] = (n, *got)
+        if same:
+            break  # few distinct values: the counts per value are small already
+
+    entries = F.array(*[F.when(inside(c, *bounds[c, j][1:]),
+                               F.struct(F.lit(c).alias("column"), F.lit(j).alias("qi"), x[c].alias("k")))
+                        for c, j in keys])
+    counts = (df.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
+              .groupBy("e.column", "e.qi", "e.k").agg(F.count(F.lit(1)).alias("c")))
+    ranks = []
+    for t, (c, j) in enumerate(keys):
+        position = qs[j] * float(bounds[c, j][0] - 1)
+        ranks.append((c, j, qs[j], int(position), position - int(position), int(sums[f"b{t}"])))
+    ranks = F.broadcast(spark.createDataFrame(
+        ranks, "column string, qi int, q double, i long, frac double, below long"))
+    w = Window.partitionBy("column", "qi").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.join(ranks, ["column", "qi"]).withColumn("cum", F.col("below") + F.sum("c").over(w))
+    picked = cum.groupBy("column", "qi", "q", "frac").agg(
+        F.min(F.when(F.col("cum") > F.col("i"), F.col("k"))).alias("v0"),
+        F.min(F.when(F.col("cum") > F.col("i") + 1, F.col("k"))).alias("v1"))
+    return picked.select(
+        "column", "q", F.when(F.col("frac") > 0, F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0")))
+        .otherwise(F.col("v0")).alias("value"))
+
+
 def quantile_values(df: DataFrame, cols, qs, *, exact: bool = True,
                     accuracy: int = DEFAULT_ACCURACY) -> dict:
     """Ungrouped quantiles as ``{(column, q): value}`` (bounded: cols x qs)."""
