@@ -143,3 +143,71 @@ def test_fact_tables_are_not_broadcast_from_estimates(spark):
     for b in blocks:
         scan = b[b.find("FileScan"):b.find("FileScan") + 300]
         assert "lineitem" not in scan and "orders" not in scan, scan
+
+
+def test_kmeans_reports_the_centres_it_found(spark):
+    from tidepanel.operators.models import cluster
+    df = spark.createDataFrame([([0.0, 0.0],), ([0.0, 0.0],), ([5.0, 5.0],), ([9.0, 0.0],)],
+                               "x array<double>")
+    res = cluster.kmeans(df, "x", 5, restarts=3)
+    assert res.k == len(res.centres) == 3 and res.cost < 1e-9
+    table, fits = cluster.kmeans_sweep(df, "x", range(2, 6), restarts=2)
+    assert {r.n_clusters for r in table.collect()} == set(fits) == {2, 3}
+
+
+def test_kmeans_seeding_finds_separated_groups(spark):
+    import numpy as np
+    from tidepanel.operators.models import cluster
+    rng = np.random.default_rng(4)
+    centres = rng.uniform(-50, 50, (6, 3))
+    rows = [((centres[i % 6] + rng.normal(0, 0.1, 3)).tolist(),) for i in range(600)]
+    res = cluster.kmeans(spark.createDataFrame(rows, "x array<double>").repartition(5), "x", 6, restarts=4)
+    assert all(min(np.abs(np.array(c) - true).max() for c in res.centres) < 0.2 for true in centres)
+
+
+def test_moments_at_any_width(spark):
+    import numpy as np
+    from tidepanel.operators.models import linear
+    rng = np.random.default_rng(8)
+    x = rng.normal(1e4, 3, (400, 80))
+    y = x @ rng.normal(size=80) + 5
+    names = [f"f{i}" for i in range(80)]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], [*names, "y"])
+    m = linear.fit_linear(df, names, "y")
+    want = np.linalg.lstsq(np.c_[np.ones(400), x], y, rcond=None)[0]
+    assert np.allclose(m.coef, want[1:], atol=1e-6)
+
+
+def test_report_accuracy_equals_accuracy(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "z"), (None, "a"), ("b", None), ("b", "b")],
+                               "y string, p string")
+    rep = {r.label: r for r in metrics.classification_report(df, "y", "p", ["a", "b"]).collect()}
+    assert rep["accuracy"].f1 == metrics.accuracy(df, "y", "p").first().accuracy == 0.4
+    assert rep["accuracy"].support == 5 and rep["(missing)"].support == 1 and "z" in rep
+
+
+def test_ungrouped_quantiles_exchange_no_data_rows(spark, monkeypatch):
+    import numpy as np
+    vals = np.random.default_rng(2).integers(0, 400, 6000).astype(float).tolist() + [float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
+    monkeypatch.setattr(quantiles, "MOST_IN_WINDOW", 50)
+    out = quantiles.quantiles(df, ["x"], [0.1, 0.5, 0.77], accuracy=40)
+    clean = np.array(vals[:-2])
+    for r in out.collect():
+        assert abs(r["value"] - np.quantile(clean, r["q"])) < 1e-12
+    # the only exchanges below the running sum carry counts per distinct value
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    scans = plan[plan.index("Generate"):]
+    assert "Exchange" not in scans.replace("Exchange RoundRobinPartitioning", "")
+
+
+def test_exact_stratification_counts(spark):
+    rows = [(i, "rare" if i % 97 == 0 else "common" if i % 2 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, y string")
+    for r in split.split_stratified_exact(df, ["id"], "y", 0.2).groupBy("y").pivot("is_test").count().collect():
+        n = (r["true"] or 0) + (r["false"] or 0)
+        assert r["true"] == round(0.2 * n)
+    folds = split.stratified_kfold_exact(df, ["id"], "y", 5).groupBy("y", "fold").count().collect()
+    for y in ("rare", "common", None):
+        sizes = [r["count"] for r in folds if r["y"] == y]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1

@@ -2,13 +2,12 @@
 
 Fits run Lloyd iterations where one pass over the cached data advances every
 (k, restart) model at once (numpy inside ``mapInPandas`` tasks, partial sums
-reduced by a group-by); only centres move between driver and executors.
-``spark.ml`` KMeans is available as ``kmeans_spark_ml``.
+reduced by a group-by); seeding is k-means|| over all rows, likewise for all
+models at once. Only centres move between driver and executors.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,10 +23,6 @@ def to_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def columns_to_array(cols) -> Column:
-    return F.array(*[F.col(c).cast("double") for c in cols])
-
-
 def _sqdist(x: Column, centre) -> Column:
     lit = F.array(*[F.lit(float(v)) for v in centre])
     return F.aggregate(F.zip_with(x, lit, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
@@ -73,221 +68,270 @@ def _canonical(centres) -> list[list[float]]:
     return [list(map(float, c)) for c in sorted((list(c) for c in centres))]
 
 
-SAMPLE_ROWS = 20_000  # rows used for k-means++ seeding (bounded collect)
-DIRECT_REDUCE_PARTITIONS = 64  # up to this many partitions, partial sums are reduced on the driver
-
-
-def _reduce_local(rows):
-    acc = {}
-    for r in rows:
-        key = (r["m"], r["c"])
-        a = acc.get(key)
-        s = np.array(r["s"])
-        acc[key] = (r["n"], r["cost"], s) if a is None else (a[0] + r["n"], a[1] + r["cost"], a[2] + s)
-    return [{"m": m, "c": c, "n": n, "cost": cost, "s": s} for (m, c), (n, cost, s) in acc.items()]
-
-
-def _seed_sample(vec: DataFrame, array_col: str, n: int, seed: int) -> np.ndarray:
-    frac = min(1.0, SAMPLE_ROWS / max(n, 1))
-    rows = (vec if frac >= 1.0 else vec.sample(fraction=frac, seed=seed)).select(array_col) \
-        .limit(2 * SAMPLE_ROWS).collect()
-    return np.array([r[0] for r in rows], dtype="float64")
-
-
-def _kmeanspp(X: np.ndarray, k: int, rng: np.random.RandomState) -> np.ndarray:
-    """Greedy k-means++ seeding (2 + log k candidates per step)."""
-    n = X.shape[0]
-    trials = 2 + int(np.log(k))
-    centres = [X[rng.randint(n)]]
-    d2 = ((X - centres[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        tot = d2.sum()
-        if tot <= 0:
-            centres.append(X[rng.randint(n)])
-            continue
-        cand = rng.choice(n, size=trials, p=d2 / tot)
-        best, best_pot, best_d2 = None, None, None
-        for c in cand:
-            nd2 = np.minimum(d2, ((X - X[c]) ** 2).sum(1))
-            pot = nd2.sum()
-            if best_pot is None or pot < best_pot:
-                best, best_pot, best_d2 = c, pot, nd2
-        centres.append(X[best])
-        d2 = best_d2
-    return np.array(centres)
-
-
-def batched_lloyd(vec: DataFrame, array_col: str, configs, *, n_rows: int, max_iter: int = 300,
-                  tol: float = 1e-4, seed: int = 42) -> list[KMeansResult]:
+BLOCK_CELLS = 4_000_000  # distances of one block of rows to all models' centres
+
+
+def _summed(parts: DataFrame, keys, scalars, dim: int) -> list:
+    """Partial rows (keys, scalars, vector ``s``) of the tasks summed per key, the
+    vector per dimension: as many rows as keys come back, however many tasks ran."""
+    return parts.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in scalars],
+        F.array(*[F.sum(F.col("s")[i]) for i in range(dim)]).alias("s")).collect()
+
+
+def _blocks(batches, array_col: str, centres: int):
+    """Arrow batches as float matrices, few enough rows at a time for ``centres``."""
+    step = max(1, BLOCK_CELLS // max(1, centres))
+    for pdf in batches:
+        for at in range(0, len(pdf), step):
+            yield np.stack(pdf[array_col].to_numpy()[at:at + step]).astype("float64")
+
+
+def _sq_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    return np.maximum((X * X).sum(1)[:, None] - 2.0 * (X @ C.T) + (C * C).sum(1)[None, :], 0.0)
+
+
+def _uniform(X: np.ndarray, salt: int) -> np.ndarray:
+    """A number in [0, 1) for each row, from its values and ``salt`` only: the same on
+    a repeated task."""
+    h = np.full(len(X), (salt * 2 + 1) * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+    for column in np.ascontiguousarray(X).view(np.uint64).T:
+        h = (h ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return (h >> np.uint64(11)).astype("float64") / float(1 << 53)
+
+
+def _weighted_plus_plus(X: np.ndarray, weight: np.ndarray, k: int, rng) -> np.ndarray:
+    """Greedy k-means++ on weighted candidates (2 + log k trials a step)."""
+    n, trials = len(X), 2 + int(np.log(k))
+    chosen = [int(rng.choice(n, p=weight / weight.sum()))]
+    d2 = ((X - X[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < min(k, n):
+        mass = d2 * weight
+        if mass.sum() <= 0:
+            break  # no candidate differs from the chosen ones
+        best = None
+        for c in rng.choice(n, size=trials, p=mass / mass.sum()):
+            new = np.minimum(d2, ((X - X[c]) ** 2).sum(1))
+            potential = float((new * weight).sum())
+            if best is None or potential < best[0]:
+                best = (potential, int(c), new)
+        chosen.append(best[1])
+        d2 = best[2]
+    return X[chosen]
+
+
+def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
+                 more_rounds: int = 20) -> dict[int, np.ndarray]:
+    """k-means|| for all (k, seed) models at once, over every row.
+
+    Each round is one pass: a row joins a model's candidates with probability
+    2 k d^2 / cost, cost being the model's last known one, so about 2 k rows a
+    model come back. Candidates are weighted by the rows nearest to them (one
+    pass) and reduced to k by weighted k-means++. Rounds go on while a model has
+    fewer than k candidates and rows away from them; a model of data with fewer
+    distinct rows gets as many centres as there are.
+    """
+    models = range(len(configs))
+
+    def first(batches):
+        import pandas as pd
+        best = {}
+        for X in _blocks(batches, array_col, len(configs)):
+            for m in models:
+                u = _uniform(X, 1000 * configs[m][1])
+                i = int(u.argmin())
+                if m not in best or u[i] < best[m][0]:
+                    best[m] = (float(u[i]), X[i].tolist())
+        yield pd.DataFrame([(m, u, x) for m, (u, x) in best.items()], columns=["m", "u", "x"])
+
+    rows = (vec.select(array_col).mapInPandas(first, "m int, u double, x array<double>")
+            .groupBy("m").agg(F.min_by("x", "u").alias("x")).collect())
+    candidates = {r["m"]: np.array([r["x"]]) for r in rows}
+    if not candidates:
+        return {}
+    cost = {m: float("inf") for m in candidates}
+    for number in range(rounds + more_rounds + 1):
+        short = [m for m in candidates if cost[m] > 0 and (
+            number <= rounds or len(candidates[m]) < configs[m][0])]
+        if not short:
+            break
+
+        def sample(batches, number=number, short=short, cost=dict(cost), have=dict(candidates)):
+            import pandas as pd
+            total, picked = dict.fromkeys(short, 0.0), []
+            stacked = np.concatenate([have[m] for m in short])
+            ends = np.cumsum([0] + [len(have[m]) for m in short])
+            for X in _blocks(batches, array_col, len(stacked)):
+                d = _sq_distances(X, stacked)
+                for t, m in enumerate(short):
+                    near = d[:, ends[t]:ends[t + 1]].min(axis=1)
+                    near[near < 1e-9 * (1 + (X * X).sum(1))] = 0.0  # rounding, not distance
+                    total[m] += float(near.sum())
+                    if np.isfinite(cost[m]):
+                        k, seed = configs[m]
+                        u = _uniform(X, 1000 * seed + number)
+                        for i in np.flatnonzero(u < 2.0 * k * near / cost[m]):
+                            picked.append((m, 0.0, X[i].tolist()))
+            yield pd.DataFrame([(m, c, None) for m, c in total.items()] + picked,
+                               columns=["m", "cost", "x"])
+
+        got = vec.select(array_col).mapInPandas(sample, "m int, cost double, x array<double>")
+        # one cost a model, and about 2 k rows of it
+        for r in got.groupBy("m").agg(F.sum("cost").alias("cost"),
+                                      F.collect_set("x").alias("x")).collect():
+            cost[r["m"]] = r["cost"]
+            if r["x"]:
+                candidates[r["m"]] = np.concatenate([candidates[r["m"]], np.array(r["x"])])
+    candidates = {m: np.unique(x, axis=0) for m, x in candidates.items()}
+    stacked = np.concatenate([candidates[m] for m in models])
+    ends = np.cumsum([0] + [len(candidates[m]) for m in models])
+
+    def nearest(batches):
+        import pandas as pd
+        n = np.zeros(len(stacked), dtype=np.int64)
+        for X in _blocks(batches, array_col, len(stacked)):
+            d = _sq_distances(X, stacked)
+            for m in models:
+                at = d[:, ends[m]:ends[m + 1]].argmin(axis=1)
+                n[ends[m]:ends[m + 1]] += np.bincount(at, minlength=ends[m + 1] - ends[m])
+        yield pd.DataFrame({"c": np.arange(len(n)), "n": n})
+
+    weight = np.zeros(len(stacked))
+    for r in vec.select(array_col).mapInPandas(nearest, "c int, n long").groupBy("c").agg(
+            F.sum("n").alias("n")).collect():
+        weight[r["c"]] = r["n"]
+    return {m: _weighted_plus_plus(candidates[m], weight[ends[m]:ends[m + 1]] + 1e-12, configs[m][0],
+                                   np.random.RandomState(configs[m][1])) for m in models}
+
+
+def batched_lloyd(vec: DataFrame, array_col: str, configs, *, max_iter: int = 300,
+                  tol: float = 1e-4, start: dict[int, np.ndarray] | None = None) -> list[KMeansResult]:
     """Lloyd iterations for many (k, seed) models at once.
 
-    Each iteration is ONE pass over the (cached) data: every partition
-    assigns its rows to the nearest centre of every active model with numpy
-    and emits per-(model, cluster) partial sums, which a group-by reduces;
-    only the new centres (sum of k over models, times d) reach the driver.
-    Convergence per model: squared centre shift <= tol x mean feature
-    variance; empty clusters keep their centre.
+    Each iteration is one pass over the (cached) data: every task assigns its
+    rows to the nearest centre of every active model with numpy and emits
+    partial sums per (model, cluster), which are added per dimension; only the
+    new centres reach the driver. Convergence per model: squared centre shift
+    <= tol x mean feature variance over all rows; empty clusters keep their
+    centre. ``start`` gives the first centres instead of ``seed_centres``. A
+    result's ``k`` is the number of its centres.
     """
-    from pyspark.sql import types as T
-
-    sample = _seed_sample(vec, array_col, n_rows, seed)
-    if len(sample) == 0:
+    centres = dict(start) if start is not None else seed_centres(vec, array_col, configs)
+    if not centres:
         return []
-    thr = tol * float(np.mean(np.var(sample, axis=0)))
-    centres = {}
-    for mi, (k, s) in enumerate(configs):
-        centres[mi] = _kmeanspp(sample, min(k, len(sample)), np.random.RandomState(s))
+    dim = next(iter(centres.values())).shape[1]
+    spread = vec.agg(*[F.var_pop(F.col(array_col)[i]) for i in range(dim)]).first()
+    limit = tol * float(np.mean([v or 0.0 for v in spread]))
     active = set(centres)
-    cost = {mi: float("nan") for mi in centres}
-    n_parts = vec.rdd.getNumPartitions()
-    schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                           T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType()),
-                           T.StructField("s", T.ArrayType(T.DoubleType()))])
+    cost = {m: float("nan") for m in centres}
     for _ in range(max_iter):
         if not active:
             break
-        cur = {mi: centres[mi] for mi in active}
+        current = {m: centres[m] for m in sorted(active)}
 
-        def partial(batches, cur=cur):
+        def partial(batches, current=current):
             import pandas as pd
-            mids = list(cur)
-            # centres of all active models stacked: one matrix product per batch
-            c_all = np.concatenate([cur[mi] for mi in mids])
-            bounds = np.cumsum([0] + [cur[mi].shape[0] for mi in mids])
-            csq = (c_all * c_all).sum(1)
-            acc = {}
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                X = np.stack(pdf[array_col].to_numpy()).astype("float64")
-                rows_ix = np.arange(len(X))
-                xsq = (X * X).sum(1)
-                d_all = np.maximum(xsq[:, None] - 2.0 * (X @ c_all.T) + csq[None, :], 0.0)
-                for t, mi in enumerate(mids):
-                    d2 = d_all[:, bounds[t]:bounds[t + 1]]
-                    k = d2.shape[1]
-                    lab = d2.argmin(1)
-                    best = d2[rows_ix, lab]
-                    cnt = np.bincount(lab, minlength=k)
-                    onehot = np.zeros((len(X), k))
-                    onehot[rows_ix, lab] = 1.0
-                    sums = onehot.T @ X
-                    cst = np.bincount(lab, weights=best, minlength=k)
-                    a = acc.get(mi)
-                    acc[mi] = (cnt, sums, cst) if a is None else (a[0] + cnt, a[1] + sums, a[2] + cst)
-            rows = []
-            for mi, (cnt, sums, cst) in acc.items():
-                for c in range(len(cnt)):
-                    rows.append((mi, c, int(cnt[c]), float(cst[c]), sums[c].tolist()))
-            yield pd.DataFrame(rows, columns=["m", "c", "n", "cost", "s"])
-
-        parts = vec.select(array_col).mapInPandas(partial, schema)
-        if n_parts <= DIRECT_REDUCE_PARTITIONS:
-            # at most n_parts x sum(k) partial rows: reduced on the driver
-            red = _reduce_local(parts.collect())
-        else:
-            # collect_list holds one partial per input partition for a (model, cluster)
-            red = parts.groupBy("m", "c").agg(
-                F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), F.size(F.first("s"))),
-                            lambda a, b: F.zip_with(a, b, lambda x, y: x + y)).alias("s")).collect()
-        by_model = {}
-        for r in red:
-            by_model.setdefault(r["m"], []).append(r)
-        for mi, rs in by_model.items():
-            C = centres[mi].copy()
-            tot = 0.0
-            for r in rs:
-                tot += r["cost"]
-                if r["n"] > 0:
-                    C[r["c"]] = np.array(r["s"]) / r["n"]
-            cost[mi] = tot
-            shift = float(((C - centres[mi]) ** 2).sum())
-            centres[mi] = C
-            if shift <= thr:
-                active.discard(mi)
-    return [KMeansResult(k, _canonical(centres[mi]), cost[mi], s) for mi, (k, s) in enumerate(configs)]
-
-
-def _partials(vec: DataFrame, array_col: str, fn, schema):
-    """Run ``fn(X) -> list of rows`` per partition and sum the rows by their
-    leading integer keys (driver-side for few partitions, else a group-by)."""
-    def part(batches):
-        import pandas as pd
-        acc = {}
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf[array_col].to_numpy()).astype("float64")
-            for key, vals in fn(X):
-                a = acc.get(key)
-                acc[key] = vals if a is None else [x + y for x, y in zip(a, vals)]
-        yield pd.DataFrame([(*k, *[v.tolist() if hasattr(v, "tolist") else v for v in vals])
-                            for k, vals in acc.items()], columns=schema.fieldNames())
-    return vec.select(array_col).mapInPandas(part, schema)
+            ids = list(current)
+            stacked = np.concatenate([current[m] for m in ids])
+            ends = np.cumsum([0] + [len(current[m]) for m in ids])
+            n, sums, costs = np.zeros(len(stacked)), np.zeros_like(stacked), np.zeros(len(stacked))
+            for X in _blocks(batches, array_col, len(stacked)):
+                d = _sq_distances(X, stacked)
+                rows = np.arange(len(X))
+                for t in range(len(ids)):
+                    part, here = d[:, ends[t]:ends[t + 1]], slice(ends[t], ends[t + 1])
+                    label = part.argmin(1)
+                    onehot = np.zeros(part.shape)
+                    onehot[rows, label] = 1.0
+                    n[here] += onehot.sum(0)
+                    sums[here] += onehot.T @ X
+                    costs[here] += np.bincount(label, weights=part[rows, label], minlength=part.shape[1])
+            model = np.repeat(ids, np.diff(ends))
+            cluster = np.concatenate([np.arange(len(current[m])) for m in ids])
+            yield pd.DataFrame({"m": model, "c": cluster, "n": n, "cost": costs, "s": list(sums)})
+
+        parts = vec.select(array_col).mapInPandas(
+            partial, "m int, c int, n double, cost double, s array<double>")
+        new, total = {m: c.copy() for m, c in current.items()}, dict.fromkeys(current, 0.0)
+        for r in _summed(parts, ["m", "c"], ["n", "cost"], dim):
+            total[r["m"]] += r["cost"]
+            if r["n"] > 0:
+                new[r["m"]][r["c"]] = np.array(r["s"]) / r["n"]
+        for m in current:
+            cost[m] = total[m]
+            if float(((new[m] - centres[m]) ** 2).sum()) <= limit:
+                active.discard(m)
+            centres[m] = new[m]
+    order = (lambda c: [list(map(float, x)) for x in c]) if start is not None else _canonical
+    return [KMeansResult(len(centres[m]), order(centres[m]), cost[m], configs[m][1])
+            for m in sorted(centres)]
 
 
 def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tuple]:
     """Inertia and squared-Euclidean silhouette for several clusterings in two
     passes over the data (same definition as
     :func:`tidepanel.operators.metrics.silhouette_sq_euclidean`)."""
-    from pyspark.sql import types as T
     cents = {k: np.array(c) for k, c in centres_by_k.items()}
 
-    def stats(X):
-        sq = (X * X).sum(1)
-        for k, C in cents.items():
-            d2 = np.maximum(sq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :], 0.0)
-            lab = d2.argmin(1)
-            kk = C.shape[0]
-            onehot = np.zeros((len(X), kk))
-            onehot[np.arange(len(X)), lab] = 1.0
-            sums = onehot.T @ X
-            yield (k, -1), [0.0, float(d2[np.arange(len(X)), lab].sum()), np.zeros(X.shape[1])]
-            cnt = np.bincount(lab, minlength=kk)
-            q = np.bincount(lab, weights=sq, minlength=kk)
-            for c in range(kk):
-                yield (k, c), [float(cnt[c]), float(q[c]), sums[c]]
-
-    sch = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                        T.StructField("n", T.DoubleType()), T.StructField("q", T.DoubleType()),
-                        T.StructField("y", T.ArrayType(T.DoubleType()))])
-    acc = {}
-    for r in _partials(vec, array_col, stats, sch).collect():
-        key = (r["k"], r["c"])
-        a = acc.get(key)
-        v = [r["n"], r["q"], np.array(r["y"])]
-        acc[key] = v if a is None else [x + y for x, y in zip(a, v)]
-    inertia_by_k = {k: acc[(k, -1)][1] for k in cents}
-    cl = {k: (np.array([acc.get((k, c), [0, 0, 0])[0] for c in range(len(C))]),
-              np.array([acc.get((k, c), [0, 0, 0])[1] for c in range(len(C))]),
-              np.array([acc.get((k, c), [0, 0, np.zeros(C.shape[1])])[2] for c in range(len(C))]))
-          for k, C in cents.items()}
-
-    def sil(X):
-        sq = (X * X).sum(1)
-        for k, C in cents.items():
-            N, Q, Y = cl[k]
-            lab = (sq[:, None] - 2.0 * X @ C.T + (C * C).sum(1)[None, :]).argmin(1)
-            tot = N[None, :] * sq[:, None] - 2 * X @ Y.T + Q[None, :]
-            own_n = N[lab]
-            a = np.where(own_n > 1, tot[np.arange(len(X)), lab] / np.maximum(own_n - 1, 1), 0.0)
-            other = np.where(N[None, :] > 0, tot / np.maximum(N[None, :], 1), np.inf)
-            other[np.arange(len(X)), lab] = np.inf
-            b = other.min(1)
-            den = np.maximum(a, b)
-            s = np.where((own_n > 1) & (den > 0), (b - a) / np.where(den > 0, den, 1), 0.0)
-            yield (k, 0), [float(s.sum()), float(len(X))]
-
-    sch2 = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                         T.StructField("s", T.DoubleType()), T.StructField("n", T.DoubleType())])
-    tot_s = {}
-    for r in _partials(vec, array_col, sil, sch2).collect():
-        a = tot_s.get(r["k"], (0.0, 0.0))
-        tot_s[r["k"]] = (a[0] + r["s"], a[1] + r["n"])
+    dim = next(iter(cents.values())).shape[1]
+    widest = sum(len(C) for C in cents.values())
+
+    def stats(batches):
+        import pandas as pd
+        acc = {k: [np.zeros(len(C)), np.zeros(len(C)), np.zeros(len(C)), np.zeros_like(C)]
+               for k, C in cents.items()}
+        for X in _blocks(batches, array_col, widest):
+            sq, rows = (X * X).sum(1), np.arange(len(X))
+            for k, C in cents.items():
+                d = _sq_distances(X, C)
+                label = d.argmin(1)
+                onehot = np.zeros(d.shape)
+                onehot[rows, label] = 1.0
+                a = acc[k]
+                a[0] += onehot.sum(0)
+                a[1] += np.bincount(label, weights=sq, minlength=len(C))
+                a[2] += np.bincount(label, weights=d[rows, label], minlength=len(C))
+                a[3] += onehot.T @ X
+        for k, (n, q, cost, y) in acc.items():
+            yield pd.DataFrame({"k": k, "c": np.arange(len(n)), "n": n, "q": q, "cost": cost, "s": list(y)})
+
+    inertia_by_k = dict.fromkeys(cents, 0.0)
+    cl = {k: (np.zeros(len(C)), np.zeros(len(C)), np.zeros_like(C)) for k, C in cents.items()}
+    for r in _summed(vec.select(array_col).mapInPandas(
+            stats, "k int, c int, n double, q double, cost double, s array<double>"),
+            ["k", "c"], ["n", "q", "cost"], dim):
+        n, q, y = cl[r["k"]]
+        n[r["c"]], q[r["c"]], y[r["c"]] = r["n"], r["q"], r["s"]
+        inertia_by_k[r["k"]] += r["cost"]
+
+    def sil(batches):
+        import pandas as pd
+        acc = {k: [0.0, 0] for k in cents}
+        for X in _blocks(batches, array_col, widest):
+            sq, rows = (X * X).sum(1), np.arange(len(X))
+            for k, C in cents.items():
+                N, Q, Y = cl[k]
+                label = _sq_distances(X, C).argmin(1)
+                tot = N[None, :] * sq[:, None] - 2 * X @ Y.T + Q[None, :]
+                own = N[label]
+                a = np.where(own > 1, tot[rows, label] / np.maximum(own - 1, 1), 0.0)
+                other = np.where(N[None, :] > 0, tot / np.maximum(N[None, :], 1), np.inf)
+                other[rows, label] = np.inf
+                b = other.min(1)
+                den = np.maximum(a, b)
+                s = np.where((own > 1) & (den > 0), (b - a) / np.where(den > 0, den, 1), 0.0)
+                acc[k][0] += float(s.sum())
+                acc[k][1] += len(X)
+        yield pd.DataFrame([(k, s, n) for k, (s, n) in acc.items()], columns=["k", "s", "n"])
+
+    tot_s = {r["k"]: (r["s"], r["n"]) for r in vec.select(array_col).mapInPandas(
+        sil, "k int, s double, n long").groupBy("k").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}
     out = []
     for k in centres_by_k:
-        s_, n_ = tot_s.get(k, (0.0, 0.0))
+        s_, n_ = tot_s.get(k, (0.0, 0))
         nonempty = int((cl[k][0] > 0).sum())
         out.append((int(k), float(inertia_by_k[k]), float(s_ / n_) if n_ and nonempty > 1 else None))
     return out
@@ -298,11 +342,11 @@ def kmeans(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: i
     """Best of ``restarts`` k-means fits (k-means++ seeding, Lloyd), all
     restarts advanced together in one data pass per iteration; centres in
     canonical order."""
-    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
+    vec, _ = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
                          50_000, default_parallelism(df.sparkSession))
     try:
-        res = batched_lloyd(vec, array_col, [(k, seed + r) for r in range(restarts)], n_rows=n,
-                            max_iter=max_iter, tol=tol, seed=seed)
+        res = batched_lloyd(vec, array_col, [(k, seed + r) for r in range(restarts)],
+                            max_iter=max_iter, tol=tol)
     finally:
         vec.unpersist()
     return min(res, key=lambda x: (x.cost, x.seed))
@@ -315,40 +359,24 @@ def kmeans_sweep(df: DataFrame, array_col: str, ks=range(2, 13), *, restarts: in
     All k x restarts models advance together (one pass per iteration).
     Returns the table ``(n_clusters, inertia, silhouette_score)`` and the
     best fit per k."""
-    vec, n = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
+    vec, _ = right_sized(df.select(F.col(array_col).cast("array<double>").alias(array_col)),
                          50_000, default_parallelism(df.sparkSession))
     ks = list(ks)
     try:
         res = batched_lloyd(vec, array_col, [(k, seed + r) for k in ks for r in range(restarts)],
-                            n_rows=n, max_iter=max_iter, tol=tol, seed=seed)
-        fits = {}
+                            max_iter=max_iter, tol=tol)
+        fits = {}  # by the number of centres found: fewer than asked for on few distinct rows
         for x in res:
             cur = fits.get(x.k)
             if cur is None or (x.cost, x.seed) < (cur.cost, cur.seed):
                 fits[x.k] = x
-        rows = sweep_scores(vec, array_col, {k: fits[k].centres for k in ks})
+        rows = sweep_scores(vec, array_col, {k: fits[k].centres for k in sorted(fits)})
     finally:
         vec.unpersist()
     table = df.sparkSession.createDataFrame(rows, "n_clusters int, inertia double, silhouette_score double")
     return table, fits
 
 
-def kmeans_spark_ml(df: DataFrame, array_col: str, k: int, *, restarts: int = 10, seed: int = 42,
-                    max_iter: int = 300, tol: float = 1e-4, parallel: int = 8) -> KMeansResult:
-    """M12 with ``spark.ml`` KMeans (k-means|| seeding), one fit per restart."""
-    from pyspark.ml.clustering import KMeans
-
-    vec = to_vector(df.select(array_col), array_col)
-
-    def one(r):
-        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
-        return KMeansResult(k, _canonical(m.clusterCenters()), float(m.summary.trainingCost), seed + r)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        results = list(ex.map(one, range(restarts)))
-    return min(results, key=lambda res: (res.cost, res.seed))
-
-
 def select_k(sweep: DataFrame) -> DataFrame:
     """The k with the best silhouette; ties -> smallest k."""
     return sweep.orderBy(F.desc_nulls_last("silhouette_score"), "n_clusters").limit(1)

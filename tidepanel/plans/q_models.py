@@ -201,6 +201,31 @@ def kmeans_cluster_profile(spark, sf):
     return rounded(cluster.cluster_profile(a, "cluster", [f"x{i}" for i in range(EMB_DIM)]))
 
 
+def _lloyd_sql(steps):
+    """Lloyd iterations from the class means, unrolled."""
+    ctes, before = [], "ce"
+    for t in range(1, steps + 1):
+        ctes.append(f"""ds{t} AS (SELECT el.vec_id, c.cluster, sum((el.v - c.m) * (el.v - c.m)) AS d
+  FROM el JOIN {before} c ON el.i = c.i GROUP BY 1, 2),
+as{t} AS (SELECT vec_id, cluster FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS rk
+  FROM ds{t}) WHERE rk = 1),
+ce{t} AS (SELECT a.cluster, el.i, avg(el.v) AS m FROM as{t} a JOIN el ON a.vec_id = el.vec_id GROUP BY 1, 2)""")
+        before = f"ce{t}"
+    return f"""WITH {EMB_LONG_SQL},
+{', '.join(ctes)}
+SELECT cluster, CAST(i - 1 AS INTEGER) AS i, {r('m')} AS value FROM {before}"""
+
+
+@register("kmeans_lloyd_steps", _lloyd_sql(3))
+def kmeans_lloyd_steps(spark, sf):
+    import numpy as np
+    e = embeddings(spark, sf)
+    start = {0: np.array(cluster.class_means(e, "x", "label"))}
+    res = cluster.batched_lloyd(e, "x", [(len(start[0]), 0)], max_iter=3, tol=0.0, start=start)[0]
+    rows = [(c, i, float(v)) for c, centre in enumerate(res.centres) for i, v in enumerate(centre)]
+    return rounded(spark.createDataFrame(rows, "cluster int, i int, value double"))
+
+
 @register("kmeans_fit_centres")
 def kmeans_fit_centres(spark, sf):
     e = embeddings(spark, sf)
