@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepanel.functions import columns as fx
 from tidepanel.operators.windows import entity_window_transform
+from tidepanel.session import bounded_broadcast, cut_lineage
 from tidepanel.spec import PanelSpec
 
 # The three-level rise label of the reference
@@ -84,17 +84,35 @@ def sorted_levels(df: DataFrame, col: str, *, max_levels: int = 100_000) -> list
     return sorted(r[0] for r in rows)
 
 
-def code_map(levels) -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(v), F.lit(i)) for i, v in enumerate(levels)))
+def level_codes(df: DataFrame, col: str, code: str = "_code") -> DataFrame:
+    """``(col, code)``: the rank of every distinct level, from 0, at any number of levels.
+
+    The levels are range-partitioned and written to the checkpoint folder; a rank is
+    the place in the partition plus the sizes of the partitions before it.
+    """
+    levels = cut_lineage(
+        df.where(F.col(col).isNotNull()).select(col).distinct().repartitionByRange(col)
+        .withColumn("_part", F.spark_partition_id()))
+    before = (levels.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a partition
+              .withColumn("_base", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(col)) - 1
+    return levels.withColumn("_place", place).join(before, "_part").select(
+        col, (F.col("_base") + F.col("_place")).cast("int").alias(code))
 
 
 def category_code(df: DataFrame, col: str, out: str, *, levels=None) -> DataFrame:
-    """Sorted level -> dense code 0..n-1 (NULL stays NULL). Codes come
-    from a bounded level list turned into a literal map."""
-    levels = levels if levels is not None else sorted_levels(df, col)
-    if not levels:
-        return df.withColumn(out, F.lit(None).cast("int"))
-    return df.withColumn(out, F.element_at(code_map(levels), F.col(col)).cast("int"))
+    """Sorted level -> dense code 0..n-1 (NULL stays NULL), by a join with the
+    ranked levels: the data's own, or those of a given list (others get NULL)."""
+    if levels is not None:
+        codes = df.sparkSession.createDataFrame(
+            [(v, i) for i, v in enumerate(levels)],
+            T.StructType([T.StructField(col, df.schema[col].dataType), T.StructField("_code", T.IntegerType())]))
+    else:
+        codes = level_codes(df, col)
+    codes = codes.withColumnRenamed(col, "_level")
+    joined = df.join(bounded_broadcast(codes), F.col(col) == F.col("_level"), "left")
+    kept = [F.col(c) for c in df.columns if c != out]
+    return joined.select(*kept, F.col("_code").alias(out))
 
 
 def relabel_dense(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

@@ -395,11 +395,11 @@ def cluster_profile(df: DataFrame, cluster: str, measures) -> DataFrame:
                                    *[F.avg(F.col(m).cast("double")).alias(f"mean_{m}") for m in measures])
 
 
-def pca_2d(df: DataFrame, array_col: str, *, k: int = 2, keep=()) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def pca_2d(df: DataFrame, array_col: str, *, k: int = 2, keep=()) -> tuple[DataFrame, np.ndarray, np.ndarray, list[float]]:
     """Centred PCA on ``k`` components (spark.ml PCA does not centre on
     transform, so the column means are removed first); each component's sign
     makes its largest absolute loading positive. Returns
-    ``(rows with pc1..pck, loadings, explained variance)``."""
+    ``(rows with pc1..pck, loadings, explained variance, means)``."""
     from pyspark.ml.feature import PCA
 
     dim = len(df.select(array_col).first()[0])
@@ -419,4 +419,11 @@ def pca_2d(df: DataFrame, array_col: str, *, k: int = 2, keep=()) -> tuple[DataF
         w = F.array(*[F.lit(float(v)) for v in load[:, j]])
         exprs.append(F.aggregate(F.zip_with(F.col("_c"), w, lambda a, b: a * b), F.lit(0.0),
                                  lambda s, v: s + v).alias(f"pc{j + 1}"))
-    return centred.select(*keep, *exprs), load, var
+    return centred.select(*keep, *exprs), load, var, [float(means[f"m{i}"]) for i in range(dim)]
+
+
+def project_centres(spark, centres, means, loadings: np.ndarray) -> DataFrame:
+    """The centres on the components of ``pca_2d``: ``(cluster, pc1 .. pck)``."""
+    at = (np.array(centres) - np.array(means)) @ loadings
+    schema = "cluster int, " + ", ".join(f"pc{j + 1} double" for j in range(at.shape[1]))
+    return spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(at)], schema)

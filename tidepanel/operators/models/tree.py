@@ -109,6 +109,31 @@ def node_frame(nodes: list[dict], feature_names, labels, spark, max_depth: int |
     return spark.createDataFrame(rows, schema)
 
 
+def tree_depth(nodes: list[dict]) -> int:
+    """M3: levels below the root."""
+    return max(n["depth"] for n in nodes)
+
+
+def rules(nodes: list[dict], feature_names, labels, spark) -> DataFrame:
+    """M4: one row per leaf with the conditions on its path, root first."""
+    by_id = {n["id"]: n for n in nodes}
+    rows = []
+    for n in nodes:
+        if n["leftChild"] >= 0:
+            continue
+        path, at = [], n
+        while at["parent"] is not None:
+            up = by_id[at["parent"]]
+            cut = up["split"]["leftCategoriesOrThreshold"][0]
+            sign = "<=" if up["leftChild"] == at["id"] else ">"
+            path.append(f"{feature_names[up['split']['featureIndex']]} {sign} {cut:.6g}")
+            at = up
+        rows.append((int(n["id"]), int(n["depth"]), " and ".join(reversed(path)) or "all rows",
+                     int(n["rawCount"]), str(labels[int(np.argmax(n["impurityStats"]))])))
+    return spark.createDataFrame(
+        rows, "leaf int, depth int, rule string, n_samples bigint, predicted string")
+
+
 def importances(model, feature_names, spark, top: int | None = 10) -> DataFrame:
     """M3: impurity-gain importance per feature, descending."""
     imp = model.featureImportances.toArray()

@@ -58,7 +58,7 @@ def describe_numeric(df: DataFrame, cols=None, *, exact: bool = True,
     # both sides have one row per column: a bounded broadcast by construction;
     # columns without any value have no stats row and are added with count 0
     known = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    out = F.broadcast(known).join(stats, "column", "left").join(F.broadcast(q), "column", "left")
+    out = known.join(F.broadcast(stats), "column", "left").join(F.broadcast(q), "column", "left")
     return out.select("column", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
                       "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -77,6 +77,31 @@ def describe_categorical(df: DataFrame, cols) -> DataFrame:
     return per_col.join(top, "column").select("column", "count", "unique", "top", "freq")
 
 
+def describe_all(df: DataFrame, *, exact: bool = True, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """One row per column of any kind. Numeric columns have moments and quantiles,
+    the others their distinct count, most frequent value and its frequency; what
+    does not apply is NULL."""
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
+    other = [c for c in df.columns if c not in numeric]
+    names = ["column", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    parts = []
+    if numeric:
+        parts.append(describe_numeric(df, numeric, exact=exact, accuracy=accuracy))
+    if other:
+        text = describe_categorical(df, other)
+        known = df.sparkSession.createDataFrame([(c,) for c in other], "column string")
+        parts.append(known.join(F.broadcast(text), "column", "left").withColumns({
+            "count": F.coalesce("count", F.lit(0)).cast("bigint"),
+            "unique": F.coalesce("unique", F.lit(0)).cast("bigint")}))
+    kinds = {"unique": "bigint", "top": "string", "freq": "bigint"}
+    out = None
+    for part in parts:
+        part = part.select(*[F.col(n) if n in part.columns else
+                             F.lit(None).cast(kinds.get(n, "double")).alias(n) for n in names])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def missing_counts(df: DataFrame, cols=None) -> DataFrame:
     """P5: ``(column, missing_count)`` in one pass (NaN counts as missing)."""
     cols = cols or df.columns
@@ -126,8 +151,8 @@ def histogram(df: DataFrame, cols, bins: int = 10) -> DataFrame:
         [(c, i, lo + i * (hi - lo) / bins, lo + (i + 1) * (hi - lo) / bins)
          for c, lo, hi in edges for i in range(bins)],
         "column string, bin int, lo double, hi double")
-    # the grid has len(cols) x bins rows: bounded by the parameters
-    return F.broadcast(grid).join(counts, ["column", "bin"], "left").select(
+    # both sides have at most len(cols) x bins rows: bounded by the parameters
+    return grid.join(F.broadcast(counts), ["column", "bin"], "left").select(
         "column", "bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
@@ -225,8 +250,7 @@ def class_distribution(df: DataFrame, col: str, labels) -> DataFrame:
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     known = df.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(v) for v in labels])).alias(col))
-    # ``known`` has len(labels) rows
-    out = F.broadcast(known).join(counts, col, "full_outer")
+    out = known.join(counts, col, "full_outer")
     return out.select(col, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 

@@ -241,7 +241,7 @@ def kmeans_sweep(spark, sf):
 
 @register("pca_2d")
 def pca_2d(spark, sf):
-    rows, _, _ = cluster.pca_2d(embeddings(spark, sf), "x", keep=["vec_id", "label"])
+    rows, _, _, _ = cluster.pca_2d(embeddings(spark, sf), "x", keep=["vec_id", "label"])
     return rounded(rows)
 
 
@@ -310,6 +310,12 @@ def tree_nodes(spark, sf):
     return rounded(tree.node_frame(tree.node_table(model, spark), names, RISE, spark, max_depth=4))
 
 
+@register("tree_rules")
+def tree_rules(spark, sf):
+    model, names, _ = _fixed_fit(spark, sf)
+    return tree.rules(tree.node_table(model, spark), names, RISE, spark)
+
+
 @register("tree_thresholds")
 def tree_thresholds(spark, sf):
     model, names, _ = _fixed_fit(spark, sf)

@@ -100,6 +100,29 @@ def profile_describe_text(spark, sf):
                                         ["o_orderpriority", "o_orderstatus"])
 
 
+_ALL_COLS = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+
+
+def _all_part(c):
+    x = f"CAST({c} AS DOUBLE)"
+    if c in ("o_orderkey", "o_totalprice"):
+        return (f"SELECT '{c}' AS \"column\", count({c}) AS count, NULL AS \"unique\", NULL AS top, NULL AS freq, "
+                f"{r(f'avg({x})')} AS mean, {r(f'stddev_samp({x})')} AS std, {r(f'min({x})')} AS min, "
+                f"{r(f'quantile_cont({x}, 0.25)')} AS p25, {r(f'quantile_cont({x}, 0.5)')} AS p50, "
+                f"{r(f'quantile_cont({x}, 0.75)')} AS p75, {r(f'max({x})')} AS max FROM da")
+    nulls = ", ".join(f"NULL AS {n}" for n in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+    return f"SELECT *, {nulls} FROM ({_text_part(c, 'da')})"
+
+
+@register("profile_describe_all", f"WITH {S.DIRTY_PRIORITY},\nda AS (SELECT d.o_orderkey, o.o_totalprice, d.o_orderpriority, "
+          "d.o_orderstatus FROM dord d JOIN orders o ON d.o_orderkey = o.o_orderkey)\n"
+          + S.union_all([_all_part(c) for c in _ALL_COLS]))
+def profile_describe_all(spark, sf):
+    d = B.dirty_orders_priority(spark, sf).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    o = driver_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return rounded(profile.describe_all(d.join(o, "o_orderkey").select(*_ALL_COLS)))
+
+
 # ---- P5 / P6 -------------------------------------------------------------------
 
 @register("profile_missing_counts", f"WITH {S.DIRTY_LINEITEM}\n" + S.union_all(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import clean, derive, encode, impute, metrics, profile, split
 from tidepanel.operators.models import cluster, linear, search, tree
-from tidepanel.session import right_sized
+from tidepanel.session import cut_lineage
 from tidepanel.sources import sinks
 from tidepanel.spec import PanelSpec, numeric_columns
 
@@ -63,6 +63,8 @@ def classify(labelled: DataFrame, *, numeric, categorical, label: str, labels, k
         "accuracy": metrics.accuracy(test, "actual", "predicted"),
         "importances": tree.importances(model, fp.feature_names, spark, top=10),
         "nodes": tree.node_frame(nodes, fp.feature_names, labels, spark, max_depth=4),
+        "rules": tree.rules(nodes, fp.feature_names, labels, spark),
+        "depth": tree.tree_depth(nodes),
         "cv_accuracy": res.fold_accuracy,
     }
 
@@ -123,7 +125,7 @@ def cluster_state(df: DataFrame, *, measures, keep, ks=range(2, 13), restarts: i
     """Q5: median imputation + robust scaling (fitted on all rows, as in the
     reference), k sweep with inertia and silhouette, best k (or ``fixed_k``),
     refit, centres, cluster sizes, PCA and the keyed cluster view."""
-    base, _ = right_sized(df.select(*keep, *measures))  # fitted statistics reuse one materialisation
+    base = cut_lineage(df.select(*keep, *measures))  # fitted statistics reuse one materialisation
     filled = impute.impute_median(base, list(measures))
     scaled = encode.robust_scale(filled, list(measures))
     arr = scaled.select(*keep, F.array(*[F.col(m) for m in measures]).alias("x"))
@@ -132,13 +134,13 @@ def cluster_state(df: DataFrame, *, measures, keep, ks=range(2, 13), restarts: i
     res = fits.get(k) or cluster.kmeans(arr, "x", k, restarts=restarts)
     labelled = cluster.assign(arr, "x", res.centres)
     spark = df.sparkSession
-    pcs, load, var = cluster.pca_2d(labelled, "x", keep=[*keep, "cluster"])
+    pcs, load, var, means = cluster.pca_2d(labelled, "x", keep=[*keep, "cluster"])
     return {"sweep": sweep, "k": k,
             "centres": cluster.centres_table(spark, res.centres, list(measures)),
             "counts": profile.value_counts(labelled, "cluster"),
             "view": labelled.select(*keep, "cluster"),
-            "pca": pcs, "explained_variance": [float(v) for v in var],
-            "_cached": base}
+            "pca": pcs, "pca_centres": cluster.project_centres(spark, res.centres, means, load),
+            "explained_variance": [float(v) for v in var]}
 
 
 def scale_with_ordered_split(df: DataFrame, *, time_col: str, measures, test_fraction: float = 0.2) -> dict:
@@ -156,12 +158,28 @@ def scale_with_ordered_split(df: DataFrame, *, time_col: str, measures, test_fra
             "scaled": scaled}
 
 
+# results with a row per input row: written by as many tasks as made them
+ROW_LEVEL = ("view", "predictions", "pca", "scaled")
+
+
+def run_workflows(workflows: dict) -> tuple[dict[str, DataFrame], dict]:
+    """Run the given workflows (name -> function without arguments that returns one of
+    this module's result dicts) one after the other: their tables by
+    ``workflow.table`` and their fitted values by the same names."""
+    tables, values = {}, {}
+    for name, run in workflows.items():
+        for key, value in run().items():
+            (tables if isinstance(value, DataFrame) else values)[f"{name}.{key}"] = value
+    return tables, values
+
+
 def run_all(spark, outputs: dict[str, DataFrame], summary: dict, out_dir: str) -> str:
-    """Q8: write every result table (CSV, one file each), the summary JSON,
-    then check that all outputs exist."""
+    """Q8: write every result table (CSV; report tables as one file each), the
+    summary JSON, then check that all outputs exist."""
     paths = []
     for name, df in outputs.items():
-        paths.append(sinks.write_table(df, f"{out_dir}/{name}", single_file=True))
+        paths.append(sinks.write_table(df, f"{out_dir}/{name}",
+                                       single_file=name.rsplit(".", 1)[-1] not in ROW_LEVEL))
     paths.append(sinks.write_metrics_json(spark, summary, f"{out_dir}/summary"))
     sinks.assert_outputs(spark, paths)
     return out_dir
