@@ -16,6 +16,7 @@ from tidepanel.operators import metrics
 from tidepanel.operators.encode import FeaturePlan
 from tidepanel.operators.models import linear
 
+# The columns of the sweep's result table
 SWEEP_SCHEMA = ("feature_set string, imputer_strategy string, scaler_name string, polynomial_degree int, "
                 "model_name string, CV_MAE double, CV_RMSE double, CV_R2 double, Test_MAE double, "
                 "Test_MSE double, Test_RMSE double, Test_R2 double")

@@ -178,6 +178,8 @@ class GridResult:
     fold_accuracy: list = field(default_factory=list)
 
 
+# The grid (criteria, depths, split and leaf sizes, weightings) that the
+# classification workflow searches
 def grid_search(frame: DataFrame, fold_col: str, labels, *, criteria=("gini", "entropy"),
                 depths=(3, 4, 5, 6, None), min_splits=(5, 10, 20, 30), min_leaves=(5, 10, 20, 30),
                 class_weights_=(None, "balanced"), k: int = 5, parallel: int = 8) -> GridResult:

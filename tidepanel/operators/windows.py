@@ -9,8 +9,8 @@ holds a third of the data. Here every row also gets a *time chunk*
 before it, first row of the next chunk) comes from a per-chunk summary with one
 row per (entity, chunk) -- a table whose size is set by the chunk count, not by
 the data -- and is joined back on (entity, chunk). The big side keeps its
-(entity, chunk) partitioning through the join, so the whole operator costs one
-exchange of the data.
+(entity, chunk) partitioning through the join: one exchange of the rows, next
+to the summary's own (partially aggregated) pass over the input.
 
 Results are identical to the unchunked definitions (checked against DuckDB).
 """

@@ -94,6 +94,7 @@ def derive_next_step_change(spark, sf):
     return rounded(next_panel(spark, sf))
 
 
+# The rise labels and their bounds, as in operators/derive.py
 LABEL_SQL = """CASE WHEN price_change_pct IS NULL THEN NULL WHEN price_change_pct <= 0 THEN 'No_Increase'
   WHEN price_change_pct <= 5 THEN 'Slight_Increase' ELSE 'Large_Increase' END"""
 

@@ -33,6 +33,7 @@ def rise_level_distribution(spark, sf):
     return profile.class_distribution(p, "rise_level", derive.RISE_LABELS)
 
 
+# Fixed values in it: the rise labels and their bounds, as in operators/derive.py
 SQL_RISE = f"""WITH {S.PANEL},
 c1 AS (SELECT n_name, d, nullif(price, CAST(999.0 AS DOUBLE)) AS price FROM panel),
 f AS (SELECT n_name, d, coalesce({S.ffill('price', 'n_name', 'd')}, {S.bfill('price', 'n_name', 'd')}) AS price FROM c1),
