@@ -133,10 +133,12 @@ def linear_poly2_coefficients(spark, sf):
 
 @register("linear_onehot_predictions", """WITH t AS (SELECT o.o_orderkey, n.n_name, o.o_totalprice
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT o_orderkey, """ + r('avg(o_totalprice) OVER (PARTITION BY n_name)', 4) + " AS predicted FROM t")
+SELECT o_orderkey, """ + r('avg(o_totalprice) OVER (PARTITION BY n_name) - avg(o_totalprice) OVER ()', 4)
+          + " AS nation_effect FROM t")
 def linear_onehot_predictions(spark, sf):
     """Least squares on the dummies of 25 nations (rank-deficient with the intercept):
-    the prediction is the nation's mean."""
+    the prediction is the nation's mean. Shown as its distance from the mean of
+    all orders: a mean of cents may end in a 5 at any digit, where engines round apart."""
     from tidepanel.operators import encode
     nation = driver_table(spark, sf, "nation").select("n_nationkey", "n_name")
     t = driver_table(spark, sf, "orders").join(
@@ -146,7 +148,9 @@ def linear_onehot_predictions(spark, sf):
     levels = sorted(x["n_name"] for x in nation.collect())
     d = encode.one_hot(t, "n_name", levels=levels)
     m = linear.fit_linear(d, [f"n_name_{v}" for v in levels], "o_totalprice")
-    return rounded(m.predict(d, "predicted").select("o_orderkey", "predicted"), 4)
+    overall = t.agg(F.avg("o_totalprice")).first()[0]
+    return rounded(m.predict(d, "predicted").select(
+        "o_orderkey", (F.col("predicted") - F.lit(overall)).alias("nation_effect")), 4)
 
 
 # ---- k-means / PCA on the embeddings -------------------------------------------
