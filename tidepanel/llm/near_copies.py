@@ -267,30 +267,59 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     return tried.where("linked").select("id", "leader")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component): the least id reachable over the links."""
-    both = materialize(edges.select(F.col("id").alias("u"), F.col("leader").alias("v")).union(
-        edges.select("leader", "id")).distinct(), "edges")
-    labels = materialize(both.groupBy("u").agg(F.count(F.lit(1)).alias("degree"),
-                                               F.min("v").alias("least"))
-                         .select(F.col("u").alias("v"), "degree",
-                                 F.least("u", "least").alias("label")), "labels")
+def sized(facts: DataFrame, rows: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """`facts` with the number of `rows` of each key, for `salted_join`."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
+    return materialize(counts.join(facts, key, how), "facts")
+
+
+def roots(tree: DataFrame) -> DataFrame:
+    """`tree` (id, up), where up is at most id, with up at the root: pointer jumping."""
     while True:
-        heard = (salted_join(both, labels, "v", "u", 2000, "degree")
-                 .groupBy("u").agg(F.min("label").alias("heard")))
-        nearer = labels.join(heard, labels["v"] == heard["u"]).select(
-            "v", "degree", F.least("label", "heard").alias("label"), F.col("label").alias("old"))
-        # pointer jumping: the label's own label, where one label may be most nodes'
-        sizes = nearer.groupBy("label").agg(F.count(F.lit(1)).alias("held"))
-        targets = materialize(
-            sizes.join(labels.select(F.col("v").alias("label"), F.col("label").alias("further")),
-                       "label"), "targets")
-        jumped = materialize(
-            salted_join(nearer, targets, "label", "v", 2000, "held")
-            .select("v", "degree", F.least("label", "further").alias("label"), "old"), "labels")
-        if not jumped.where(F.col("label") != F.col("old")).limit(1).count():
-            return labels.select(F.col("v").alias("id"), F.col("label").alias("component"))
-        labels = jumped.drop("old")
+        further = tree.select(F.col("id").alias("up"), F.col("up").alias("further"))
+        targets = sized(further, tree, "up")
+        if not targets.where(F.col("up") != F.col("further")).limit(1).count():
+            return tree
+        tree = materialize(salted_join(tree, targets, "up", "id", 2000, "held")
+                           .select("id", F.col("further").alias("up")), "tree")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component): the least id reachable over the links.
+
+    Every node hangs under its least neighbour if that is smaller; the trees are
+    flattened, each becomes one node, and the links that remain between them go
+    through the same again. Links shrink with every round.
+    """
+    def ordered(a, b):
+        return materialize(pairs_of(a, b).where("a > b").distinct(), "edges")
+
+    def pairs_of(a, b):
+        return current.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+
+    current = edges
+    links_left = ordered("id", "leader")
+    named = None
+    while named is None or links_left.limit(1).count():
+        ids = links_left.select(F.col("a").alias("id")).union(links_left.select("b")).distinct()
+        up = links_left.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("up"))
+        tree = roots(materialize(ids.join(up, "id", "left").select(
+            "id", F.coalesce("up", "id").alias("up")), "tree"))
+        if named is None:
+            named = tree.select("id", F.col("up").alias("component"))
+        else:
+            moved = sized(tree.select(F.col("id").alias("component"), F.col("up").alias("further")),
+                          named, "component", "left")
+            named = materialize(
+                salted_join(named, moved, "component", "id", 2000, "held").select(
+                    "id", F.coalesce("further", "component").alias("component")), "named")
+        current = links_left
+        for end, other in (("a", "b"), ("b", "a")):
+            facts = sized(tree.select(F.col("id").alias(end), "up"), current, end)
+            current = salted_join(current, facts, end, other, 2000, "held").select(
+                F.col("up").alias(end), other)
+        links_left = ordered("a", "b")
+    return named
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES,
