@@ -152,9 +152,10 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         yield pd.DataFrame(out, columns=[c.split()[0] for c in ROWS.split(", ")])
 
     rows = materialize(read_files(spark, path, rows_of, ROWS), "token-rows")
-    # part numbers follow the doc_id ranges
+    # part numbers follow the doc_id ranges; as numbers, since names stop sorting at 100000
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
     before = (rows.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
-              .withColumn("base", F.sum("tokens").over(Window.orderBy("file")) - F.col("tokens"))
+              .withColumn("base", F.sum("tokens").over(Window.orderBy(part)) - F.col("tokens"))
               .select("file", "base"))
     return (rows.join(before, "file")
             .select(F.col("doc_id").cast("long").alias("doc_id"),
