@@ -13,9 +13,16 @@ from pyspark.sql import functions as F
 from tidepanel.session import ensure_checkpoint_dir
 
 
+BATCH_ROWS = 1_000  # rows are whole documents: 10,000 of them are too much for one Arrow batch
+
+
 def let_workers_import(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it (a cluster has
-    it installed or sent along; this serves sessions started in another folder)."""
+    """Python workers find this package where the driver found it (a cluster has it
+    installed or sent along; this serves sessions started in another folder), and
+    get at most BATCH_ROWS rows in a batch."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows, "10000")) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     import tidepanel
     here = os.path.dirname(os.path.dirname(os.path.abspath(tidepanel.__file__)))
     environment = spark.sparkContext.environment

@@ -21,7 +21,7 @@ import numpy as np
 TOUCHING = re.compile(r"\s\s")
 SIGN_RUN = re.compile(r"[\W_][.,]")
 LONGEST_CACHED = 64
-CACHED = 1_200_000
+CACHED = 900_000
 
 
 def byte_letters() -> list[str]:
