@@ -143,6 +143,19 @@ def test_near_copies_in_a_crowd(shipped):
     assert all(rows[i] == i for i in range(200, 280))
 
 
+def test_near_pairs_inside_a_passage_crowd(shipped):
+    """All texts share most of their words; only each pair is near."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{i}" for i in range(150)]
+    docs = []
+    for i in range(60):
+        own = [f"a{i}x{j}" for j in rng.permutation(45)]
+        docs.append((2 * i, " ".join([*passage, *own])))
+        docs.append((2 * i + 1, " ".join([*passage, *[f"{w}y" for w in own[:36]], *own[36:]])))
+    rows = {r.doc_id: r.class_id for r in near_copies.near_classes(frame(shipped, docs)).collect()}
+    assert rows == {i: i - i % 2 for i, _ in docs}
+
+
 def test_components_of_chains_and_stars(shipped):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 180)] + [(7, 300)]
     got = near_copies.components(shipped.createDataFrame(edges, "leader long, id long")).collect()

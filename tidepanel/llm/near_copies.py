@@ -10,9 +10,13 @@ passages in the same order, that is, for a small edit distance.
 
 Candidates. Equal texts are first taken together (one class each), so copies never
 meet. In a bucket of equal sketches every class is paired with the bucket's least
-id only: as many pairs as rows, never all pairs. Classes that fail against it are
-bucketed again by longer sketches of the same hash order (`depths`), where those
-that only share a common passage part.
+id first: as many pairs as rows. Buckets that then still hold several components are
+bucketed again by longer sketches of the same hash order (`depths`), whole, so that
+most of what only shares a common passage parts cheaply. What the buckets of the
+first depth hold in several components after that is compared all with all, in
+blocks of `BLOCK` x `BLOCK`: a pair is looked at in the first sketch that it shares
+and goes to verification unless its lengths or its bags of words rule it out.
+So every pair that meets in a bucket is linked, in one component, or known to be far.
 
 Verification. Candidates whose bags of words already differ too much are settled
 without alignment; the others run a bit-parallel edit distance within the band of
@@ -53,6 +57,8 @@ SIMILARITY = 0.8
 MOST_BROADCAST_IDS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 1 << 21
+BLOCK = 200
+BINS = 64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -190,25 +196,29 @@ def word_hashes() -> Column:
 
 
 def sketch_documents(docs: DataFrame, sketches: int, seed: int) -> DataFrame:
-    """doc_id, digest of the words, and a list of keys for each depth."""
+    """doc_id, digest of the words, a list of keys for each depth, and the number of
+    words in each of BINS bins."""
     rng = np.random.default_rng(seed)
     multipliers = rng.integers(1, 2 ** 63, sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def sketch(batches):
         for batch in batches:
-            keys = [sketch_keys(w.view(np.uint64), multipliers)
-                    for w in list_slices(batch.column("words"))]
+            texts = [w.view(np.uint64) for w in list_slices(batch.column("words"))]
+            keys = [sketch_keys(w, multipliers) for w in texts]
+            bags = pa.array([np.bincount((w % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+                             for w in texts], pa.list_(pa.int32()))
             lists = [pa.array([k[d] for k in keys], pa.list_(pa.int64()))
                      for d in range(len(DEPTHS))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), *lists],
-                names=["doc_id", "digest", "k0", "k1", "k2"])
+                [batch.column("doc_id"), batch.column("digest"), *lists, bags],
+                names=["doc_id", "digest", "k0", "k1", "k2", "bag"])
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.md5(words_of("text").cast("binary")).alias("digest"), word_hashes().alias("words"))
     return rows.mapInArrow(
-        sketch, "doc_id long, digest string, k0 array<long>, k1 array<long>, k2 array<long>")
+        sketch, "doc_id long, digest string, k0 array<long>, k1 array<long>, k2 array<long>, "
+                "bag array<int>")
 
 
 def candidates(rows: DataFrame, key: str) -> DataFrame:
@@ -248,22 +258,110 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         verify, "id long, leader long, linked boolean")
 
 
+def in_question(found: DataFrame, key: str, linked: DataFrame) -> DataFrame:
+    """The rows of `found` (`candidates` by `key`) and their leaders' in buckets of
+    several components: `key`, id, component, size of the bucket."""
+    members = found.select(key, "id").union(
+        found.select(key, F.col("leader").alias("id"))).distinct()
+    members = materialize(members.join(components(linked), "id", "left").select(
+        key, "id", F.coalesce("component", "id").alias("component")), "members")
+    buckets = (members.groupBy(key).agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.count(F.lit(1)).alias("rows")).where("least < most").select(key, "rows"))
+    return salted_join(members, materialize(buckets, "open-buckets"), key, "id", 2000, "rows")
+
+
+def rest(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(id, leader) of pairs of one bucket (`in_question` by k0) in different components
+    that may be near, each pair once, leader being the smaller id."""
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
+    dealt = (members.withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("k0", "id", "component", "own", F.least("own", "other").alias("a"),
+                     F.greatest("own", "other").alias("b")))
+    facts = nodes.select("id", F.col("k0").alias("keys"), "bag").join(
+        members.select("id").distinct(), "id", "left_semi")
+    lists = (dealt.join(facts, "id").groupBy("k0", "a", "b").agg(F.collect_list(
+        F.struct("id", "component", "own", "keys", "bag")).alias("held")))
+
+    def pairs(batches):
+        for batch in batches:
+            ids, leaders = [], []
+            held, keys = list_structs(batch.column("held")), batch.column("k0").to_numpy()
+            for key, a, b, m in zip(keys, batch.column("a").to_numpy(),
+                                    batch.column("b").to_numpy(), held):
+                x, y = m["own"] == a, m["own"] == b
+                sides = [{k: v[s] for k, v in m.items()} for s in (x, y)]
+                for i, j in may_be_near(key, *sides, a == b, similarity):
+                    ids.append(max(i, j))
+                    leaders.append(min(i, j))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(leaders, pa.int64())], names=["id", "leader"])
+
+    return lists.mapInArrow(pairs, "id long, leader long")
+
+
+def list_structs(column: pa.ListArray) -> list[dict]:
+    """Every list of structs as arrays of its fields; lists of one length as a matrix."""
+    at = column.offsets.to_numpy()
+    out = []
+    for i, j in zip(at, at[1:]):
+        part = column.values.slice(i, j - i)
+        fields = {}
+        for k, name in enumerate(["id", "component", "own", "keys", "bag"]):
+            values = part.field(k)
+            if pa.types.is_list(values.type):
+                flat = values.flatten().to_numpy(zero_copy_only=False)
+                fields[name] = flat.reshape(len(values), -1)
+            else:
+                fields[name] = values.to_numpy(zero_copy_only=False)
+        out.append(fields)
+    return out
+
+
+def may_be_near(key: int, x: dict, y: dict, same: bool, similarity: float) -> list:
+    """Pairs of ids of `x` and `y`, members of the bucket `key`."""
+    sketch = int(np.flatnonzero(x["keys"][0] == key)[0]) if len(x["id"]) else 0
+    size, out = y["bag"].sum(1), []
+    for r in range(len(x["id"])):
+        first = r + 1 if same else 0
+        here = first + np.flatnonzero(y["component"][first:] != x["component"][r])
+        # met in an earlier sketch: looked at there
+        here = here[~(y["keys"][here, :sketch] == x["keys"][r, :sketch]).any(axis=1)]
+        own = x["bag"][r]
+        longest = np.maximum(size[here], own.sum())
+        shared = np.minimum(y["bag"][here], own).sum(axis=1)
+        here = here[longest - shared <= (1 - similarity) * longest + 1e-9]
+        out += zip([int(x["id"][r])] * len(here), y["id"][here].tolist())
+    return out
+
+
 def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(id, leader) of near copies between classes."""
-    rows = nodes.select("id", F.explode(F.arrays_zip("k0", "k1", "k2")).alias("k")).select(
+    every = nodes.select("id", F.explode(F.arrays_zip("k0", "k1", "k2")).alias("k")).select(
         "id", "k.k0", "k.k1", "k.k2")
-    tried = None
-    for depth in range(len(DEPTHS)):
-        found = materialize(candidates(rows, f"k{depth}"), f"candidates-{depth}")
-        pairs = found.select("id", "leader").distinct()
+    rows, tried = every, None
+
+    def untried(pairs, name):
         if tried is not None:
             pairs = pairs.join(tried.select("id", "leader"), ["id", "leader"], "left_anti")
-        pairs = materialize(pairs, f"pairs-{depth}")
-        new = materialize(verified(pairs, docs, similarity), f"verified-{depth}")
-        tried = new if tried is None else tried.unionByName(new)
-        failed = tried.where(~F.col("linked")).select("id", "leader")
-        # what failed against the leader stays in question among its bucket
-        rows = found.join(failed, ["id", "leader"], "left_semi").drop("leader")
+        new = materialize(verified(materialize(pairs, f"pairs-{name}"), docs, similarity),
+                          f"verified-{name}")
+        return new if tried is None else tried.unionByName(new)
+
+    met = None
+    for depth in range(len(DEPTHS)):
+        key = f"k{depth}"
+        found = materialize(candidates(rows, key), f"candidates-{depth}")
+        met = found if met is None else met
+        tried = untried(found.select("id", "leader").distinct(), depth)
+        if depth + 1 < len(DEPTHS):
+            # a bucket of several components stays in question as a whole
+            still = in_question(found, key, tried.where("linked"))
+            rows = rows.join(still.select(key, "id"), [key, "id"], "left_semi")
+    members = materialize(in_question(met, "k0", tried.where("linked")), "in-question")
+    tried = untried(rest(members, nodes, similarity), "rest")
     return tried.where("linked").select("id", "leader")
 
 
