@@ -304,6 +304,22 @@ def test_html_cases(shipped, html, text):
     assert html_text.extract(pages(shipped, [(1, html)])).first().text == text
 
 
+@pytest.mark.parametrize("inside", [
+    "<svg viewBox='0 0 1 1'/>", "<math/>", "<video src=a.mp4>", "<audio src=a.mp3>",
+    "<object data=a>", "<select>", "<canvas>", "<template>", "<svg>", "<svg><title>icon</title></svg>",
+    "<video><p>No video here.</p></video>", "<select><option>One<option>Two</select>",
+    "<object><object>x</object>Nothing to show.</object>", "<video src=a><video>none</video>"])
+def test_html_elements_without_text_hide_nothing_else(inside):
+    first, second = ("The river rose for three days, and the town moved its boats uphill.",
+                     "On the fourth day it fell again, and nobody had lost a thing.")
+    page = html_text.parse(f"<article><p>{first} {inside}</p><p>{second}</p></article>"
+                           f"<footer><svg><path/></svg></video></footer>")
+    assert [text for _, text in page.blocks] == [first, second]
+    page = html_text.parse(f"<article><div>{inside}<p>{first}</p></div><p>{second}</p></article>"
+                           f"<footer><svg><path/></svg></video></footer>")
+    assert [text for _, text in page.blocks] == [first, second]
+
+
 def test_html_empty_and_deep(shipped):
     assert html_text.extract(pages(shipped, [])).count() == 0
     deep = "<div>" * 3000 + "<article><p>deep words here.</p></article>"

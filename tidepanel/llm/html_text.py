@@ -10,7 +10,9 @@ every node's exact marginal, and text of blocks above one half is kept.
 Messages run level by level over the arrays of a whole batch of pages.
 
 Defined cases: null and empty html give an empty text; markup that is broken or
-cut off is read as far as it goes, open elements end with the page; nothing is
+cut off is read as far as it goes, open elements end with the page; what is inside
+an svg, video, select or the like is no text, but one that its parent ends before an
+end tag of its own hides nothing; nothing is
 dropped for its length; equal pages are extracted one by one; an empty table
 gives no rows.
 """
@@ -36,8 +38,9 @@ BLOCKS = frozenset(
     "dd table caption thead tbody tfoot tr blockquote pre figure figcaption form fieldset address "
     "details summary center dialog menu hgroup search noscript button label legend".split())
 ENDS_PARAGRAPH = BLOCKS - frozenset("button label noscript caption thead tbody tfoot tr".split())
-RAW_TEXT = frozenset("script style textarea title template iframe noembed noframes select svg math "
-                     "xmp object audio video canvas".split())
+RAW_TEXT = frozenset("script style textarea title iframe noembed noframes xmp".split())
+NOT_TEXT = frozenset("template select svg math object audio video canvas".split())
+FOREIGN = frozenset("svg math".split())  # may be closed by their own tag
 SPACED = frozenset("br td th hr img input wbr".split())
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
             "tr": ("tr", ("table", "thead", "tbody", "tfoot"))}
@@ -71,6 +74,8 @@ def parse(html: str, with_marks: bool = False) -> Page:
     open_nodes = [0]
     held: list[str] = []
     in_link = False
+    hidden: list[tuple] = []  # open elements of NOT_TEXT, with what was there before each
+    floors: list[int] = []  # and how many nodes stay open while each does
     at, end = 0, len(html)
 
     def flush():
@@ -90,6 +95,40 @@ def parse(html: str, with_marks: bool = False) -> Page:
             if tag in until:
                 return
 
+    def begin_hidden(tag):
+        held[:] = ["".join(held), " "]
+        node = open_nodes[-1]
+        hidden.append((tag, open_nodes[:], held[0], len(page.blocks), len(parent), chars[node],
+                       linked[node], in_link))
+        floors.append(len(open_nodes))
+
+    def leave_hidden():
+        """Elements of NOT_TEXT whose parent has ended are not closed any more."""
+        while floors and floors[-1] > len(open_nodes):
+            floors.pop()
+            hidden.pop()
+
+    def keep_hidden():
+        """A paragraph that another one inside them ended does not end them."""
+        for i in range(len(floors) - 1, -1, -1):
+            if floors[i] <= len(open_nodes):
+                break
+            floors[i] = len(open_nodes)
+
+    def end_hidden(tag):
+        """Takes back what came since the innermost open `tag`; whether it was in a link."""
+        for i in range(len(hidden) - 1, -1, -1):
+            if hidden[i][0] == tag:
+                break
+        else:
+            return in_link
+        _, nodes, text, blocks, n, own, own_linked, link = hidden[i]
+        del hidden[i:], floors[i:], page.blocks[blocks:], parent[n:], depth[n:], tags[n:], chars[n:], linked[n:]
+        del page.names[n:], page.marks[n if with_marks else 1:]
+        open_nodes[:], held[:] = nodes, [text, " "]
+        chars[nodes[-1]], linked[nodes[-1]] = own, own_linked
+        return link
+
     while at < end:
         m = TOKEN.search(html, at)
         text = html[at:m.start()] if m else html[at:]
@@ -113,6 +152,13 @@ def parse(html: str, with_marks: bool = False) -> Page:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = stop.end() if stop else end
                 held.append(" ")
+        elif tag in NOT_TEXT:
+            if closing:
+                in_link = end_hidden(tag)
+            elif tag in FOREIGN and m[0].endswith("/>"):
+                held.append(" ")
+            else:
+                begin_hidden(tag)
         elif tag == "head":
             if not closing:
                 stop = re.compile(r"</head\s*>|<body\b", re.I).search(html, at)
@@ -127,12 +173,14 @@ def parse(html: str, with_marks: bool = False) -> Page:
             in_link = False
             if closing:
                 close((tag,), () if tag == "table" else ("table",) if tag != "tr" else ())
+                leave_hidden()
                 continue
             if tag in ENDS_PARAGRAPH:
                 close(("p",), ("table", "button"))
             if tag in SIBLINGS:
                 names, until = SIBLINGS[tag]
                 close(names.split(), until)
+            keep_hidden()
             up = open_nodes[-1]
             attributes = m[3] or m[6] or ""
             names = []
