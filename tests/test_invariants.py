@@ -155,6 +155,13 @@ def test_kmeans_reports_the_centres_it_found(spark):
     assert {r.n_clusters for r in table.collect()} == set(fits) == {2, 3}
 
 
+def test_kmeans_seeding_on_a_large_offset(spark):
+    rows = [([1e6 + 20.0 * (i % 4) + (i % 3), 2e6 - 20.0 * (i % 4)],) for i in range(240)]
+    df = spark.createDataFrame(rows, "x array<double>").repartition(3)
+    res = cluster.kmeans(df, "x", 4, restarts=3)
+    assert [round(c[0]) for c in res.centres] == [1_000_001, 1_000_021, 1_000_041, 1_000_061]
+
+
 def test_kmeans_seeding_finds_separated_groups(spark):
     import numpy as np
     from tidepanel.operators.models import cluster

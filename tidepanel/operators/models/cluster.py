@@ -88,6 +88,8 @@ def _blocks(batches, array_col: str, centres: int):
 
 
 def _sq_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    middle = C.mean(0)  # a large offset of the columns would swallow the distances
+    X, C = X - middle, C - middle
     return np.maximum((X * X).sum(1)[:, None] - 2.0 * (X @ C.T) + (C * C).sum(1)[None, :], 0.0)
 
 
@@ -165,9 +167,12 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
             ends = np.cumsum([0] + [len(have[m]) for m in short])
             for X in _blocks(batches, array_col, len(stacked)):
                 d = _sq_distances(X, stacked)
+                middle = stacked.mean(0)
+                noise = 16 * X.shape[1] * np.finfo("float64").eps * (
+                    ((X - middle) ** 2).sum(1) + ((stacked - middle) ** 2).sum(1).max())
                 for t, m in enumerate(short):
                     near = d[:, ends[t]:ends[t + 1]].min(axis=1)
-                    near[near < 1e-9 * (1 + (X * X).sum(1))] = 0.0  # rounding, not distance
+                    near[near < noise] = 0.0  # rounding, not distance
                     total[m] += float(near.sum())
                     if np.isfinite(cost[m]):
                         k, seed = configs[m]
