@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepanel.llm import (decontaminate, exact_dedup, html_text, near_copies, packing, quality,
-                           sharding, token_counts, token_files, warc)
+from tidepanel.llm import (collocations, decontaminate, exact_dedup, html_text, near_copies,
+                           packing, quality, resample, sharding, sql_oracles, token_counts,
+                           token_files, url_filter, warc)
 from tidepanel.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_table(spark))
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), model).drop("score")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.draw(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "benchmark"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
@@ -90,8 +105,11 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_shard_minimax, op2_exact_dedup, op3_decontaminate, op4_near_copies,
         op5_pack_best_fit, op6_quality_trees, op7_warc_round_trip, op8_token_files,
-        op9_token_counts, op10_html_text)}
+        op9_token_counts, op10_html_text, op11_url_filter, op12_collocations, op13_resample)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op7_warc_round_trip": OP7_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op7_warc_round_trip": OP7_SQL,
+            "op11_url_filter": sql_oracles.url_filter_sql(),
+            "op12_collocations": sql_oracles.collocations_sql(),
+            "op13_resample": sql_oracles.resample_sql()}
