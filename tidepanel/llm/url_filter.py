@@ -32,9 +32,9 @@ from tidepanel.llm.url_samples import labelled_urls
 
 BUCKETS = 8192
 GRAMS = (3, 4)
-ROUNDS = 200
-STEP = 2.0
-PENALTY = 1e-3
+ROUNDS = 300
+STEP = 8.0
+PENALTY = 1e-4
 SAMPLE_ROWS = 2_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: a run's hash: sum of code point x factor, taken twice through a prime
