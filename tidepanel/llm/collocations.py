@@ -11,11 +11,11 @@ which it starts before the closing trigger, so the overlaps count once; a chunk
 ends its document owns all its runs. Where no trigger comes for `LONGEST` tokens, a
 cut is made there.
 
-Counts. Runs are counted level by level inside the dictionary, weighted by the
-chunks' frequencies: batches become integer arrays, equal runs are added up in
-numpy, and Spark adds the partial sums per (lang, phrase). A run of n words can only
-be frequent if its two runs of n - 1 words are, which a Bloom filter of bounded size
-(`FILTER_BITS`) tells in advance; its false positives cost work and change nothing, as
+Counts. Runs are counted level by level (`LEVELS`) inside the dictionary, weighted by
+the chunks' frequencies: batches become integer arrays, equal runs are added up in
+numpy, and Spark adds the partial sums per (lang, phrase). A run can only be frequent
+if all its shorter runs are, which a Bloom filter of bounded size (`FILTER_BITS`) of
+the level before tells in advance; its false positives cost work and change nothing, as
 the final counts are kept by the phrase itself.
 
 Scores. A candidate of 2 to 4 words with a occurrences is cut after each word into
@@ -45,6 +45,7 @@ from tidepanel.llm.common import materialize, salted_join, text_or_empty
 
 WORDS = 4          # longest phrase
 OVERLAP = WORDS - 1
+LEVELS = ((1,), (2,), (3, 4))  # lengths counted in one pass over the dictionary
 SPACING = 16       # a trigger comes about every so many tokens
 LONGEST = 200      # tokens without a trigger after which a cut is made anyway
 FLUSH_TOKENS = 1 << 20
@@ -70,14 +71,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
-def encoded(tokens: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Number of each token, the distinct tokens, and a hash of each of those."""
+def encoded(tokens: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of each token, and the distinct tokens."""
     found = tokens.dictionary_encode()
-    ids = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    words = found.dictionary
-    hashes = np.fromiter((zlib.crc32(w) << 32 | zlib.adler32(w) for w in words.to_pylist()),
-                         dtype=np.uint64, count=len(words))
-    return ids, words, mixed(hashes)
+    return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary
+
+
+def hashes_of(words: pa.Array) -> np.ndarray:
+    return mixed(np.fromiter((zlib.crc32(w) << 32 | zlib.adler32(w) for w in words.to_pylist()),
+                             dtype=np.uint64, count=len(words)))
+
+
+def are_stops(ids: np.ndarray, words: pa.Array) -> np.ndarray:
+    return ids == words.index(pa.scalar(STOP, pa.binary())).as_py()  # -1 where there is none
 
 
 def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -103,10 +109,9 @@ def parse(texts: list[bytes], spacing: int = SPACING) -> list[list[tuple[bytes,
     """The chunks of each text: content, whether a trigger closes it, words it owns."""
     every = [tokens_of(t) for t in texts]
     flat = [w for tokens in every for w in tokens]
-    ids, _, hashes = encoded(pa.array(flat, pa.binary()))
-    hit = run_hashes(hashes[ids], OVERLAP) % np.uint64(spacing) == 0
-    stops = np.cumsum(np.fromiter((w == STOP for w in flat), dtype=np.int64, count=len(flat)))
-    stops = np.concatenate([[0], stops])
+    ids, words = encoded(pa.array(flat, pa.binary()))
+    hit = run_hashes(hashes_of(words)[ids], OVERLAP) % np.uint64(spacing) == 0
+    stops = np.concatenate([[0], np.cumsum(are_stops(ids, words))])
     out, at = [], 0
     for tokens in every:
         n = len(tokens)
@@ -172,46 +177,52 @@ def passes(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs_in(lang: pa.Array, chunk: pa.Array, closed: np.ndarray, weight: np.ndarray, n: int,
-            bits: np.ndarray | None):
-    """(lang, phrase, n) of the runs of n words in these chunks, equal ones added up."""
+def runs_in(lang: pa.Array, chunk: pa.Array, closed: np.ndarray, weight: np.ndarray,
+            lengths: tuple[int, ...], known: int, bits: np.ndarray | None):
+    """(lang, phrase, w, n) of the runs of each of these lengths, equal ones added up; `bits`
+    holds the frequent runs of `known` words."""
     tokens = pc.split_pattern(chunk.cast(pa.binary()), b" ")
     ends = tokens.offsets.to_numpy().astype(np.int64)
-    ids, words, hashes = encoded(tokens.flatten())
+    ids, words = encoded(tokens.flatten())
     ends = ends - ends[0]
-    length = np.diff(ends)
-    places = max(0, len(ids) - n + 1)
-    which = np.repeat(np.arange(len(length)), length)[:places]
-    # a run starts before the closing trigger and ends inside its chunk
-    last = ends[1:] - np.maximum(np.where(closed, OVERLAP, 0), n - 1)
-    ok = np.arange(places) < last[which]
-    is_word = (np.array(words.to_pylist(), dtype=object) != STOP)[ids] if len(ids) else ok
-    for i in range(n):
-        ok &= is_word[i:places + i]
-    if n > 1 and places:
-        shorter = passes(bits, run_hashes(hashes[ids], n - 1))
-        ok &= shorter[:places] & shorter[1:places + 1]
-    at = np.flatnonzero(ok)
-    if not len(at):
-        return None
-    langs = lang.dictionary_encode()
-    key = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[which[at]]
-    for i in range(n):  # numbers of equal prefixes, so that they stay small
-        _, first, key = np.unique(key * len(words) + ids[at + i], return_index=True,
-                                  return_inverse=True)
-    total = np.zeros(len(first), dtype=np.int64)
-    np.add.at(total, key, weight[which[at]])
-    place = at[first]
-    parts = [words.take(pa.array(ids[place + i])) for i in range(n)]
-    phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if n > 1 \
-        else parts[0]
-    return pa.RecordBatch.from_arrays(
-        [lang.take(pa.array(which[place])), phrase.cast(pa.string(), safe=False), pa.array(total)],
-        names=["lang", "phrase", "n"])
-
-
-def count_runs(dictionary: DataFrame, n: int, bits: np.ndarray | None) -> DataFrame:
-    """lang, phrase, n (long): runs of n words, without some that cannot be frequent."""
+    chunk_of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    is_word = ~are_stops(ids, words)
+    shorter = None
+    if known and len(ids):
+        shorter = passes(bits, run_hashes(hashes_of(words)[ids], known))
+    langs = lang.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    for n in lengths:
+        places = max(0, len(ids) - n + 1)
+        which = chunk_of[:places]
+        # a run starts before the closing trigger and ends inside its chunk
+        last = ends[1:] - np.maximum(np.where(closed, OVERLAP, 0), n - 1)
+        ok = np.arange(places) < last[which]
+        for i in range(n):
+            ok &= is_word[i:places + i]
+        for i in range(n - known + 1 if shorter is not None else 0):
+            ok &= shorter[i:places + i]
+        at = np.flatnonzero(ok)
+        if not len(at):
+            continue
+        key = langs[which[at]]
+        for i in range(n):  # numbers of equal prefixes, so that they stay small
+            _, first, key = np.unique(key * len(words) + ids[at + i], return_index=True,
+                                      return_inverse=True)
+        total = np.zeros(len(first), dtype=np.int64)
+        np.add.at(total, key, weight[which[at]])
+        place = at[first]
+        parts = [words.take(pa.array(ids[place + i])) for i in range(n)]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if n > 1 \
+            else parts[0]
+        yield pa.RecordBatch.from_arrays(
+            [lang.take(pa.array(which[place])), phrase.cast(pa.string(), safe=False),
+             pa.array(np.full(len(place), n, dtype=np.int32)), pa.array(total)],
+            names=["lang", "phrase", "w", "n"])
+
+
+def count_runs(dictionary: DataFrame, lengths: tuple[int, ...], known: int,
+               bits: np.ndarray | None) -> DataFrame:
+    """lang, phrase, w, n: runs of `lengths` words, without some that cannot be frequent."""
     sent = dictionary.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches):
@@ -230,14 +241,13 @@ def count_runs(dictionary: DataFrame, n: int, bits: np.ndarray | None) -> DataFr
         if not rows.num_rows:
             return
         lang, chunk = (rows.column(c).chunk(0) for c in ("lang", "chunk"))
-        out = runs_in(lang, chunk, rows.column("closed").to_numpy(), rows.column("n").to_numpy(),
-                      n, sent.value)
-        if out is not None:
+        for out in runs_in(lang, chunk, rows.column("closed").to_numpy(),
+                           rows.column("n").to_numpy(), lengths, known, sent.value):
             yield from pa.Table.from_batches([out]).to_batches(20_000)
 
     return (dictionary.select("lang", "chunk", "closed", "n")
-            .mapInArrow(count, "lang string, phrase string, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+            .mapInArrow(count, "lang string, phrase string, w int, n long")
+            .groupBy("lang", "phrase", "w").agg(F.sum("n").alias("n")))
 
 
 def bloom_of(frequent: DataFrame, n: int, most_bits: int = FILTER_BITS) -> np.ndarray:
@@ -251,8 +261,8 @@ def bloom_of(frequent: DataFrame, n: int, most_bits: int = FILTER_BITS) -> np.nd
     def set_bits(batches):
         for batch in batches:
             tokens = pc.split_pattern(batch.column("phrase").cast(pa.binary()), b" ").flatten()
-            ids, _, hashes = encoded(tokens)
-            h = run_hashes(hashes[ids], n)[::n]
+            ids, words = encoded(tokens)
+            h = run_hashes(hashes_of(words)[ids], n)[::n]
             bit = np.concatenate([part % np.uint64(size) for part in (h, mixed(h * MIX))])
             group, inverse = np.unique(bit >> np.uint64(6), return_inverse=True)
             value = np.zeros(len(group), dtype=np.uint64)
@@ -275,13 +285,15 @@ def frequent_runs(docs: DataFrame, least: int = LEAST,
     dictionary = materialize(chunk_dictionary(docs, spacing), "chunks")
     totals = dictionary.groupBy("lang").agg(
         F.sum(F.col("words") * F.col("n")).alias("n"))
-    found, bits = None, None
-    for w in range(1, WORDS + 1):
-        level = materialize(count_runs(dictionary, w, bits).where(F.col("n") >= least).select(
-            "lang", "phrase", F.lit(w).alias("w"), F.col("n").alias("a")), f"phrases-{w}")
+    found, known, bits = None, 0, None
+    for lengths in LEVELS:
+        level = materialize(
+            count_runs(dictionary, lengths, known, bits).where(F.col("n") >= least)
+            .select("lang", "phrase", "w", F.col("n").alias("a")), f"phrases-{lengths[0]}")
         found = level if found is None else found.unionAll(level)
-        if w < WORDS:
-            bits = bloom_of(level, w)
+        if lengths != LEVELS[-1]:
+            known = lengths[-1]
+            bits = bloom_of(level, known)
     return found, totals
 
 
