@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.conftest import AWKWARD, SMALL, frame
-from tidepanel.llm import (binary_files, decontaminate, html_samples, html_text, near_copies,
+from tidepanel.llm import (binary_files, common, decontaminate, html_samples, html_text, near_copies,
                            quality, token_counts, token_files, warc)
 
 WORD = re.compile(r"[^\W_]+")
@@ -156,6 +156,60 @@ def test_near_pairs_inside_a_passage_crowd(shipped):
     assert rows == {i: i - i % 2 for i, _ in docs}
 
 
+def test_recall_in_a_large_crowd(shipped):
+    """2,000 texts of one passage; each is near one other, by edits anywhere."""
+    rng = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(150)]
+    docs, want = [], set()
+    for i in range(1000):
+        text = [*passage, *[f"a{i}x{j}" for j in rng.permutation(45)]]
+        copy = list(text)
+        for at in rng.choice(len(text), rng.integers(1, 40), replace=False):
+            copy[at] = f"new{i}x{at}"
+        docs += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(copy))]
+        if distance(text, copy) <= int(0.2 * 195):
+            want.add(i)
+    rows = {r.doc_id: r.class_id for r in near_copies.near_classes(frame(shipped, docs)).collect()}
+    found = {i for i in range(1000) if rows[2 * i] == rows[2 * i + 1]}
+    assert len(want) > 900 and len(found & want) >= 0.9 * len(want), (len(found & want), len(want))
+    # two texts of different pairs differ in at least 45 of 195 words
+    assert len(set(rows.values())) == 2000 - len(found)
+
+
+def test_kmers_set_aside_by_a_join(shipped, monkeypatch):
+    """More k-mers than every task gets: the same keys from a join."""
+    passage = " ".join(f"p{i}" for i in range(80))
+    docs = frame(shipped, [(i, f"{passage} " + " ".join(f"a{i}x{j}" for j in range(20 * (i % 3) + 4)))
+                           for i in range(12)] + [(20, "two words"), (21, None)])
+    texts = near_copies.sketch_documents(docs, 4, 1).select(
+        near_copies.F.col("doc_id").alias("id"), "digest")
+    aside = near_copies.with_words(docs).where("doc_id < 2")
+    aside = near_copies.per_text(aside, {"keys": lambda w: near_copies.kmers(w).view(np.int64)}).select(
+        near_copies.F.explode("keys").alias("kmer")).distinct()
+    one = near_copies.keys_without(near_copies.only(docs, texts), aside).collect()
+    monkeypatch.setattr(near_copies, "MOST_ASIDE", 0)
+    other = near_copies.keys_without(near_copies.only(docs, texts), aside).collect()
+    assert len(one) == 14
+    assert {(r.doc_id, *sorted(r.keys)) for r in one} == {(r.doc_id, *sorted(r.keys)) for r in other}
+
+
+def test_many_hot_keys_stay_salted(shipped, monkeypatch):
+    rows = shipped.range(4000).selectExpr("id", "id % 40 as key")
+    facts = rows.groupBy("key").count().selectExpr("key", "count as n", "key * 2 as fact")
+    monkeypatch.setattr(common, "MOST_HOT_KEYS", 5)
+    got = common.salted_join(rows, facts, "key", "id", 10, "n")
+    assert {(r.id, r.fact) for r in got.collect()} == {(i, i % 40 * 2) for i in range(4000)}
+
+
+def test_scratch_tables_are_deleted(shipped):
+    import os
+    table = common.materialize(shipped.createDataFrame([(1,)], "a int"), "some")
+    path = table._scratch_path
+    assert os.path.isdir(path)
+    common.forget(table, None)
+    assert not os.path.exists(path)
+
+
 def test_components_of_chains_and_stars(shipped):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 180)] + [(7, 300)]
     got = near_copies.components(shipped.createDataFrame(edges, "leader long, id long")).collect()

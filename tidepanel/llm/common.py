@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidepanel.session import ensure_checkpoint_dir
 
 
+MOST_HOT_KEYS = 50_000  # keys a salted join lists and broadcasts
 BATCH_ROWS = 1_000  # rows are whole documents: 10,000 of them are too much for one Arrow batch
 
 
@@ -48,7 +49,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete tables of `materialize` that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "_scratch_path", None)
+        if path:
+            sc = table.sparkSession.sparkContext
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_or_empty(col: str) -> Column:
@@ -75,15 +88,17 @@ def salted_join(rows: DataFrame, facts: DataFrame, key: str, rows_id: str, per_s
     `facts.size_col` is the number of rows of the key. A key of n rows is dealt
     over ceil(n / per_salt) salts: its fact is repeated that often (at most
     keys + rows / per_salt copies in all), and each row picks one by hash. The
-    salt count reaches the rows through a list of the hot keys only, of which
-    there are at most rows / per_salt.
+    salt count reaches the rows through a list of the hot keys only, of which there
+    are at most rows / per_salt; `per_salt` grows until they are at most MOST_HOT_KEYS.
     """
-    hot = (facts.where(F.col(size_col) > per_salt)
-           .select(key, F.ceil(F.col(size_col) / per_salt).cast("int").alias("_salts")))
-    bound = 50_000
-    if hot.limit(bound + 1).count() > bound:
-        # too many hot keys to list; the skewed partitions are left to AQE
-        return rows.join(facts, key, how)
+    def hot_keys():
+        return (facts.where(F.col(size_col) > per_salt)
+                .select(key, F.ceil(F.col(size_col) / per_salt).cast("int").alias("_salts")))
+
+    # with more rows a salt gets more of them, so that the list stays bounded
+    while hot_keys().limit(MOST_HOT_KEYS + 1).count() > MOST_HOT_KEYS:
+        per_salt *= 4
+    hot = hot_keys()
     pick = F.pmod(F.xxhash64(F.col(rows_id)), F.coalesce(F.col("_salts"), F.lit(1)).cast("long"))
     left = (rows.join(F.broadcast(hot), key, "left")
             .withColumn("_salt", pick.cast("int")).drop("_salts"))

@@ -4,37 +4,41 @@ Texts are compared as lower-case words; two are near copies when their word edit
 distance is at most (1 - `similarity`) of the longer one's words.
 
 Sketches. A document's k-mers are its runs of five words, each labelled with its
-occurrence number. Each of `sketches` hash orders picks the `depth` smallest ones,
+occurrence number. Each of `sketches` hash orders picks the `DEPTH` smallest ones,
 and the sketch is those k-mers *in text order*: equal sketches speak for shared
-passages in the same order, that is, for a small edit distance.
+passages in the same order, that is, for a small edit distance. Texts of up to
+`SHORT` words, whose runs of five an edit or two destroy, are also keyed by the
+smallest of their runs of two words in each order.
 
 Candidates. Equal texts are first taken together (one class each), so copies never
-meet. In a bucket of equal sketches every class is paired with the bucket's least
-id first: as many pairs as rows. Buckets that then still hold several components are
-bucketed again by longer sketches of the same hash order (`depths`), whole, so that
-most of what only shares a common passage parts cheaply. What the buckets of the
-first depth hold in several components after that is compared all with all, in
-blocks of `BLOCK` x `BLOCK`: a pair is looked at in the first sketch that it shares
-and goes to verification unless its lengths or its bags of words rule it out.
-So every pair that meets in a bucket is linked, in one component, or known to be far.
+meet. In a bucket of equal sketches every class is compared with the bucket's least
+id only: as many pairs as rows. A bucket of three or more in which a comparison
+failed stays open: its members may be near each other, but the passage that brought
+them together says nothing about it. So the k-mers that an open bucket's least id
+shares with one that failed are set aside, and its members and the other texts of
+which these make a good part (`HELD` of their `PROBES` smallest k-mers; where they make
+less, the sketches see past them) are keyed again by what is left of them: the `REST` smallest k-mers, each a key of its own (all of them, where no more
+are left). That goes on until no bucket is open. Every
+round sets aside the keys of its open buckets, so it ends; and none compares more
+pairs than it has rows.
 
 Verification. Candidates whose bags of words already differ too much are settled
 without alignment; the others run a bit-parallel edit distance within the band of
 diagonals that the allowed distance leaves.
 
-Groups. Links between classes are joined to connected components by label
-propagation with pointer jumping, each round written to the shared folder.
+Groups. Links between classes are joined to connected components by contraction,
+each round written to the shared folder.
 
 Recall follows from the sketches: two texts that share the fraction j of their
 labelled k-mers agree in one sketch of three with about j^3, so 32 sketches miss
 j = 0.8 with 1e-10, 0.67 (0.8 of each text's five-word runs) with 1e-5, and 0.5
-with 1 %; pairs near the threshold whose every run of five words is touched by an
-edit are beyond it.
+with 1 %. Beyond it are longer texts whose every run of five words is touched by an
+edit, and texts of a cloud that are near each other only by what many share.
 
 Defined cases: null, empty and word-less texts are copies of each other; a text of
 fewer than five words has one k-mer; rows that share a doc_id count as one
-document; rows with a null doc_id are left alone (own class, kept); an empty
-table gives no rows.
+document, for which its text of the least digest is compared; rows with a null
+doc_id are left alone (own class, kept); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,19 +50,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import materialize, salted_join
+from tidepanel.llm.common import forget, materialize, salted_join
 from tidepanel.llm.decontaminate import words_of
 from tidepanel.session import bounded_broadcast
 
 K = 5
-DEPTHS = (3, 5, 8)
+DEPTH = 3
 SKETCHES = 32
+SHORT = 16               # words up to which runs of SHORT_K words are keys too
+SHORT_K = 2
+REST = 64                # keys of what is left of a member of an open bucket
+PROBES = 32              # k-mers of a text that tell whether it holds many that are set aside
+HELD = 4                 # so many of its probes, that is
 SIMILARITY = 0.8
 MOST_BROADCAST_IDS = 1_000_000
+MOST_ASIDE = 1_000_000   # k-mers set aside that are sent to all tasks; more are joined
 MIX = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 1 << 21
-BLOCK = 200
-BINS = 64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,31 +94,47 @@ def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     return out
 
 
-def sketch_keys(words: np.ndarray, multipliers: np.ndarray,
-                depths: tuple[int, ...] = DEPTHS) -> list[np.ndarray]:
-    """For each depth, one key a hash order."""
-    h = kmers(words)
+def sketch_keys(h: np.ndarray, multipliers: np.ndarray, depth: int) -> np.ndarray:
+    """One key a hash order, from the `depth` smallest of the k-mers `h` in text order."""
     if not len(h):
-        return [np.empty(0, dtype=np.int64) for _ in depths]
-    most = min(max(depths), len(h))
-    found = [[] for _ in depths]
+        return np.empty(0, dtype=np.int64)
+    most = min(depth, len(h))
+    found = []
     each = max(1, CELLS // len(h))  # hash orders at a time, for bounded memory
     for at in range(0, len(multipliers), each):
         m = multipliers[at:at + each, None]
         value = (h[None] ^ (m >> np.uint64(7))) * m
         if most < len(h):
-            least = np.argpartition(value, most - 1, axis=1)[:, :most]
+            least = np.sort(np.argpartition(value, most - 1, axis=1)[:, :most], axis=1)
         else:
             least = np.broadcast_to(np.arange(len(h)), value.shape)
-        by_value = np.argsort(np.take_along_axis(value, least, 1), axis=1)
-        least = np.take_along_axis(least, by_value, 1)
-        for out, depth in zip(found, depths):
-            in_order = h[np.sort(least[:, :depth], axis=1)]
-            key = mixed(m[:, 0])
-            for i in range(in_order.shape[1]):
-                key = mixed(key * MIX + in_order[:, i])
-            out.append(key)
-    return [np.concatenate(f).view(np.int64) for f in found]
+        in_order = h[least]
+        key = mixed(m[:, 0])
+        for i in range(in_order.shape[1]):
+            key = mixed(key * MIX + in_order[:, i])
+        found.append(key)
+    return np.concatenate(found).view(np.int64)
+
+
+def short_runs(words: np.ndarray) -> np.ndarray:
+    return kmers(words, SHORT_K) if len(words) <= SHORT else np.empty(0, dtype=np.uint64)
+
+
+def smallest(h: np.ndarray, n: int) -> np.ndarray:
+    """The n smallest of the distinct k-mers `h` in one hash order, the same for all texts."""
+    return (h[np.argpartition(mixed(h), n - 1)[:n]] if len(h) > n else h).view(np.int64)
+
+
+def all_kmers(words: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([kmers(words), short_runs(words)]))
+
+
+def left_of(words: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """Keys of a text without the (sorted) k-mers `aside`."""
+    h = all_kmers(words)
+    if len(aside):
+        h = h[aside[np.minimum(np.searchsorted(aside, h), len(aside) - 1)] != h]
+    return smallest(h, REST)
 
 
 def banded_distance(a: list, b: list, most: int) -> int:
@@ -195,49 +219,96 @@ def word_hashes() -> Column:
         F.transform(F.split(words, " "), lambda w: F.xxhash64(w)))
 
 
+def text_digest() -> Column:
+    return F.md5(words_of("text").cast("binary"))
+
+
+def with_words(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"),
+        word_hashes().alias("words"))
+
+
+def per_text(rows: DataFrame, made: dict, extra: str = "") -> DataFrame:
+    """doc_id, digest and a list column for every function of `made`, each of the words (and
+    of the column `extra`) of a row."""
+    def keyed(batches):
+        for batch in batches:
+            columns = [list_slices(batch.column(c)) for c in ["words", *extra.split()]]
+            texts = [[x.view(np.uint64) for x in row] for row in zip(*columns)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("digest"),
+                 *(pa.array([f(*row) for row in texts], pa.list_(pa.int64())) for f in made.values())],
+                names=["doc_id", "digest", *made])
+
+    return rows.mapInArrow(keyed, "doc_id long, digest string, " + ", ".join(
+        f"{name} array<long>" for name in made))
+
+
 def sketch_documents(docs: DataFrame, sketches: int, seed: int) -> DataFrame:
-    """doc_id, digest of the words, a list of keys for each depth, and the number of
-    words in each of BINS bins."""
+    """doc_id, digest of the words, keys, probes."""
     rng = np.random.default_rng(seed)
     multipliers = rng.integers(1, 2 ** 63, sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def sketch(batches):
-        for batch in batches:
-            texts = [w.view(np.uint64) for w in list_slices(batch.column("words"))]
-            keys = [sketch_keys(w, multipliers) for w in texts]
-            bags = pa.array([np.bincount((w % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-                             for w in texts], pa.list_(pa.int32()))
-            lists = [pa.array([k[d] for k in keys], pa.list_(pa.int64()))
-                     for d in range(len(DEPTHS))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), *lists, bags],
-                names=["doc_id", "digest", "k0", "k1", "k2", "bag"])
-
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.md5(words_of("text").cast("binary")).alias("digest"), word_hashes().alias("words"))
-    return rows.mapInArrow(
-        sketch, "doc_id long, digest string, k0 array<long>, k1 array<long>, k2 array<long>, "
-                "bag array<int>")
-
-
-def candidates(rows: DataFrame, key: str) -> DataFrame:
-    """`rows` (id and keys) of buckets that hold several ids, with the least id."""
-    buckets = (rows.groupBy(key).agg(F.min("id").alias("leader"), F.max("id").alias("last"),
-                                     F.count(F.lit(1)).alias("rows"))
-               .where(F.col("leader") < F.col("last")).drop("last"))
-    return (salted_join(rows, materialize(buckets, "buckets"), key, "id", 2000, "rows")
-            .where(F.col("id") != F.col("leader")).drop("rows"))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """(id, leader, linked) of distinct pairs."""
-    ids = (pairs.select("id").union(pairs.select("leader")).distinct()
-           .withColumnRenamed("id", "doc_id"))
+    def keys_of(words):
+        return np.concatenate([sketch_keys(kmers(words), multipliers, DEPTH),
+                               sketch_keys(short_runs(words), multipliers, 1)])
+
+    return per_text(with_words(docs), {
+        "keys": keys_of, "probes": lambda words: smallest(all_kmers(words), PROBES)})
+
+
+def only(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of `docs` that are the text of a node (id, digest), one row each."""
+    ids = nodes.select(F.col("id").alias("doc_id")).distinct()
+    pairs = nodes.select(F.col("id").alias("doc_id"), "digest").distinct()
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .join(bounded_broadcast(ids, MOST_BROADCAST_IDS), "doc_id", "left_semi")
+            .withColumn("digest", text_digest())
+            .join(bounded_broadcast(pairs, MOST_BROADCAST_IDS), ["doc_id", "digest"], "left_semi")
+            .groupBy("doc_id", "digest").agg(F.min("text").alias("text")))
+
+
+def are_aside(kmers_of: DataFrame, aside: DataFrame, salts: int = 16) -> DataFrame:
+    """The rows of `kmers_of` (doc_id or id, kmer) whose k-mer is one of `aside`."""
+    if aside.limit(MOST_ASIDE + 1).count() <= MOST_ASIDE:
+        return kmers_of.join(F.broadcast(aside), "kmer", "left_semi")
+    salt = F.pmod(F.xxhash64(kmers_of.columns[0]), F.lit(salts).cast("long")).cast("int")
+    return kmers_of.withColumn("salt", salt).join(
+        aside.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
+        ["kmer", "salt"], "left_semi").drop("salt")
+
+
+def keys_without(docs: DataFrame, aside: DataFrame) -> DataFrame:
+    """doc_id, digest, keys of what is left of `docs` (of `only`) without the k-mers `aside`."""
+    rows = docs.select("doc_id", "digest", word_hashes().alias("words"))
+    if aside.limit(MOST_ASIDE + 1).count() <= MOST_ASIDE:
+        known = np.sort(aside.toArrow().column("kmer").to_numpy().view(np.uint64))
+        return per_text(rows, {"keys": lambda words: left_of(words, known)})
+    # too many for every task: each text is told which of its own k-mers are among them
+    own = per_text(rows, {"keys": lambda words: all_kmers(words).view(np.int64)})
+    own = (are_aside(own.select("doc_id", "digest", F.explode("keys").alias("kmer")), aside)
+           .groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list("kmer")).alias("aside")))
+    told = rows.join(own, ["doc_id", "digest"], "left").withColumn(
+        "aside", F.coalesce("aside", F.array().cast("array<long>")))
+    return per_text(told, {"keys": lambda words, known: left_of(words, np.sort(known))}, "aside")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """key, id, leader, rows: `rows` (id, key) of buckets that hold several ids, with the
+    least id and the size of the bucket, without the least id itself."""
+    buckets = (rows.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("rows"))
+               .where("rows > 1"))
+    return salted_join(rows, materialize(buckets, "buckets"), "key", "id", 2000, "rows").where(
+        F.col("id") != F.col("leader"))
+
+
+def on_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, column: str, kind: str,
+             judge) -> DataFrame:
+    """`pairs` (id, leader) with `judge(words of id, words of leader)` as `column`."""
+    ids = pairs.select("id").union(pairs.select("leader")).distinct()
     bodies = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(bounded_broadcast(ids, MOST_BROADCAST_IDS), "doc_id", "left_semi")
-        .groupBy("doc_id").agg(F.min("text").alias("text"))
+        only(docs, nodes.select("id", "digest").join(ids, "id", "left_semi"))
         .select("doc_id", word_hashes().alias("body")), "bodies")
     counts = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"))
     leaders = materialize(
@@ -245,124 +316,67 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         "leaders")
     both = salted_join(pairs, leaders, "leader", "id", 500, "rows").join(
         bodies.withColumnRenamed("doc_id", "id"), "id")
+    schema = pa.bool_() if kind == "boolean" else pa.list_(pa.int64())
 
-    def verify(batches):
-        for batch in batches:
-            linked = [near(a, b, similarity) for a, b in
-                      zip(list_slices(batch.column("body")), list_slices(batch.column("other")))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("leader"), pa.array(linked, pa.bool_())],
-                names=["id", "leader", "linked"])
-
-    return both.select("id", "leader", "body", "other").mapInArrow(
-        verify, "id long, leader long, linked boolean")
-
-
-def in_question(found: DataFrame, key: str, linked: DataFrame) -> DataFrame:
-    """The rows of `found` (`candidates` by `key`) and their leaders' in buckets of
-    several components: `key`, id, component, size of the bucket."""
-    members = found.select(key, "id").union(
-        found.select(key, F.col("leader").alias("id"))).distinct()
-    members = materialize(members.join(components(linked), "id", "left").select(
-        key, "id", F.coalesce("component", "id").alias("component")), "members")
-    buckets = (members.groupBy(key).agg(
-        F.min("component").alias("least"), F.max("component").alias("most"),
-        F.count(F.lit(1)).alias("rows")).where("least < most").select(key, "rows"))
-    return salted_join(members, materialize(buckets, "open-buckets"), key, "id", 2000, "rows")
-
-
-def rest(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """(id, leader) of pairs of one bucket (`in_question` by k0) in different components
-    that may be near, each pair once, leader being the smaller id."""
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
-    dealt = (members.withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("k0", "id", "component", "own", F.least("own", "other").alias("a"),
-                     F.greatest("own", "other").alias("b")))
-    facts = nodes.select("id", F.col("k0").alias("keys"), "bag").join(
-        members.select("id").distinct(), "id", "left_semi")
-    lists = (dealt.join(facts, "id").groupBy("k0", "a", "b").agg(F.collect_list(
-        F.struct("id", "component", "own", "keys", "bag")).alias("held")))
-
-    def pairs(batches):
+    def judged(batches):
         for batch in batches:
-            ids, leaders = [], []
-            held, keys = list_structs(batch.column("held")), batch.column("k0").to_numpy()
-            for key, a, b, m in zip(keys, batch.column("a").to_numpy(),
-                                    batch.column("b").to_numpy(), held):
-                x, y = m["own"] == a, m["own"] == b
-                sides = [{k: v[s] for k, v in m.items()} for s in (x, y)]
-                for i, j in may_be_near(key, *sides, a == b, similarity):
-                    ids.append(max(i, j))
-                    leaders.append(min(i, j))
+            out = [judge(a, b) for a, b in
+                   zip(list_slices(batch.column("body")), list_slices(batch.column("other")))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(leaders, pa.int64())], names=["id", "leader"])
+                [batch.column("id"), batch.column("leader"), pa.array(out, schema)],
+                names=["id", "leader", column])
 
-    return lists.mapInArrow(pairs, "id long, leader long")
+    done = materialize(both.select("id", "leader", "body", "other").mapInArrow(
+        judged, f"id long, leader long, {column} {kind}"), f"pairs-{column}")
+    forget(bodies, leaders)
+    return done
 
 
-def list_structs(column: pa.ListArray) -> list[dict]:
-    """Every list of structs as arrays of its fields; lists of one length as a matrix."""
-    at = column.offsets.to_numpy()
-    out = []
-    for i, j in zip(at, at[1:]):
-        part = column.values.slice(i, j - i)
-        fields = {}
-        for k, name in enumerate(["id", "component", "own", "keys", "bag"]):
-            values = part.field(k)
-            if pa.types.is_list(values.type):
-                flat = values.flatten().to_numpy(zero_copy_only=False)
-                fields[name] = flat.reshape(len(values), -1)
-            else:
-                fields[name] = values.to_numpy(zero_copy_only=False)
-        out.append(fields)
-    return out
-
-
-def may_be_near(key: int, x: dict, y: dict, same: bool, similarity: float) -> list:
-    """Pairs of ids of `x` and `y`, members of the bucket `key`."""
-    sketch = int(np.flatnonzero(x["keys"][0] == key)[0]) if len(x["id"]) else 0
-    size, out = y["bag"].sum(1), []
-    for r in range(len(x["id"])):
-        first = r + 1 if same else 0
-        here = first + np.flatnonzero(y["component"][first:] != x["component"][r])
-        # met in an earlier sketch: looked at there
-        here = here[~(y["keys"][here, :sketch] == x["keys"][r, :sketch]).any(axis=1)]
-        own = x["bag"][r]
-        longest = np.maximum(size[here], own.sum())
-        shared = np.minimum(y["bag"][here], own).sum(axis=1)
-        here = here[longest - shared <= (1 - similarity) * longest + 1e-9]
-        out += zip([int(x["id"][r])] * len(here), y["id"][here].tolist())
-    return out
+def shared_kmers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """K-mers that two texts have in common, the keys of their buckets among them."""
+    a, b = a.view(np.uint64), b.view(np.uint64)
+    return np.concatenate([
+        np.intersect1d(kmers(a), kmers(b)), np.intersect1d(short_runs(a), short_runs(b))
+    ]).view(np.int64)
 
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(id, leader) of near copies between classes."""
-    every = nodes.select("id", F.explode(F.arrays_zip("k0", "k1", "k2")).alias("k")).select(
-        "id", "k.k0", "k.k1", "k.k2")
-    rows, tried = every, None
-
-    def untried(pairs, name):
+    play, tried, aside = nodes, None, None
+    while True:
+        found = materialize(
+            candidates(play.select("id", F.explode("keys").alias("key"))), "candidates")
+        pairs = found.select("id", "leader").distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("id", "leader"), ["id", "leader"], "left_anti")
-        new = materialize(verified(materialize(pairs, f"pairs-{name}"), docs, similarity),
-                          f"verified-{name}")
-        return new if tried is None else tried.unionByName(new)
-
-    met = None
-    for depth in range(len(DEPTHS)):
-        key = f"k{depth}"
-        found = materialize(candidates(rows, key), f"candidates-{depth}")
-        met = found if met is None else met
-        tried = untried(found.select("id", "leader").distinct(), depth)
-        if depth + 1 < len(DEPTHS):
-            # a bucket of several components stays in question as a whole
-            still = in_question(found, key, tried.where("linked"))
-            rows = rows.join(still.select(key, "id"), [key, "id"], "left_semi")
-    members = materialize(in_question(met, "k0", tried.where("linked")), "in-question")
-    tried = untried(rest(members, nodes, similarity), "rest")
-    return tried.where("linked").select("id", "leader")
+        pairs = materialize(pairs, "pairs")
+        if tried is None or pairs.limit(1).count():
+            new = on_pairs(pairs, docs, nodes, "linked", "boolean",
+                           lambda a, b: near(a, b, similarity))
+            tried = new if tried is None else tried.unionAll(new)
+        # open: buckets of three or more with a comparison that failed; one stands for all
+        failed = tried.where(~F.col("linked")).select("id", "leader")
+        open_ = materialize(
+            found.where("rows > 2").join(failed, ["id", "leader"]).groupBy("key").agg(
+                F.max("id").alias("id"), F.max("leader").alias("leader"),
+                F.max("rows").alias("held")), "open")
+        one_each = materialize(open_.select("id", "leader").distinct(), "open-pairs")
+        if not one_each.limit(1).count():
+            return tried.where("linked").select("id", "leader")
+        shared = on_pairs(one_each, docs, nodes, "shared", "array<long>", shared_kmers)
+        more = materialize(shared.select(F.explode("shared").alias("kmer")).distinct(), "more")
+        before, aside = aside, materialize(
+            (more if aside is None else more.unionAll(aside)).distinct(), "aside")
+        members = salted_join(found.drop("rows", "leader"), open_.select("key", "held"), "key", "id",
+                              2000, "held").select("id").union(open_.select("leader"))
+        holders = (are_aside(nodes.select("id", F.explode("probes").alias("kmer")), more)
+                   .groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HELD))
+        members = members.union(holders.select("id")).distinct()
+        again = materialize(nodes.select("id", "digest").join(members, "id", "left_semi"), "again")
+        over = play if play is not nodes else None
+        play = materialize(keys_without(only(docs, again), aside).withColumnRenamed("doc_id", "id"),
+                           "keys-left")
+        forget(found, pairs, open_, one_each, shared, more, before, again, over)
 
 
 def sized(facts: DataFrame, rows: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -430,8 +444,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
     # rows that share a doc_id are one document: the least digest speaks for it
     chosen = classes.groupBy("id").agg(F.min("digest").alias("digest"))
     nodes = sketched.withColumnRenamed("doc_id", "id").join(chosen, ["id", "digest"])
-    found = links(docs, nodes.where(F.size("k0") > 0), similarity)
-    groups = components(found)
+    nodes = materialize(nodes, "nodes")
+    groups = components(links(docs, nodes, similarity))
+    forget(nodes)
     named = (classes.join(groups, "id", "left")
              .withColumn("class_id", F.coalesce("component", "id"))
              .select("digest", "class_id", "copies"))
