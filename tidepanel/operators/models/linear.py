@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,26 +42,28 @@ def gram_stats(df: DataFrame, features, y: str, by: str | None = None,
     data = _complete(df, cols)
     m = len(cols) + 1
     grp = F.col(by).cast("int") if by else F.lit(0)
-    z = F.array(*[F.col(c).cast("double") - F.lit(float(shift.get(c) or 0.0)) for c in cols])
-    src = data.select(grp.alias("group"), z.alias("z")).where(F.col("group").isNotNull())
+    names = [f"c{k}" for k in range(len(cols))]
+    src = data.select(grp.alias("group"), *[
+        (F.col(c).cast("double") - F.lit(float(shift.get(c) or 0.0))).alias(k)
+        for c, k in zip(cols, names)]).where(F.col("group").isNotNull())
     upper = np.triu_indices(m)
 
     def partial(batches):
-        import pandas as pd
         acc = {}
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            rows = np.stack(pdf["z"].to_numpy())
-            rows = np.hstack([np.ones((len(rows), 1)), rows])
-            groups = pdf["group"].to_numpy()
+        for batch in batches:
+            flat = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
+            rows = np.column_stack([np.ones(batch.num_rows), *flat])
+            groups = batch.column("group").to_numpy()
             for g in np.unique(groups):
                 part = rows[groups == g]
                 acc[g] = acc.get(g, 0) + part.T @ part
         for g, mat in acc.items():
-            yield pd.DataFrame({"group": g, "i": upper[0], "j": upper[1], "value": mat[upper]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(upper[0]), g, dtype=np.int32)),
+                 *(pa.array(x.astype(np.int32)) for x in upper), pa.array(mat[upper])],
+                names=["group", "i", "j", "value"])
 
-    return src.mapInPandas(partial, "group int, i int, j int, value double").groupBy(
+    return src.mapInArrow(partial, "group int, i int, j int, value double").groupBy(
         "group", "i", "j").agg(F.sum("value").alias("value"))
 
 

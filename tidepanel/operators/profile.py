@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepanel.operators import moments
 from tidepanel.operators.quantiles import DEFAULT_ACCURACY, pivot_quantiles, quantiles_and_stats, quantiles_wide
 from tidepanel.session import bounded_broadcast, cut_lineage
 from tidepanel.spec import NUMERIC_TYPES
@@ -207,22 +208,19 @@ def five_number(df: DataFrame, col: str, by=(), *, whis: float = 1.5, where: Col
 
 def corr_matrix(df: DataFrame, cols, *, pairs: str = "upper") -> DataFrame:
     """P10: Pearson correlation of every pair over the rows where both values
-    are present; NULL when either side has no spread. ``pairs``: ``upper``
-    (a < b in column order), ``all`` (both orders and the diagonal)."""
-    aggs = []
-    idx = {c: i for i, c in enumerate(cols)}
-    plist = [(a, b) for a in cols for b in cols if idx[a] < idx[b]]
-    for a, b in plist:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        xa = F.when(both, F.col(a).cast("double"))
-        xb = F.when(both, F.col(b).cast("double"))
-        cov = F.covar_pop(xa, xb)
-        den = F.sqrt(F.var_pop(xa) * F.var_pop(xb))
-        aggs.append(F.when(den > 0, cov / den).alias(f"{a}||{b}"))
-    row = df.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.col(f"`{a}||{b}`").alias("corr")) for a, b in plist])
-    upper = row.select(F.explode(arr).alias("s")).select("s.*")
+    are present, all pairs in one pass (``moments``); NULL when either side has no
+    spread. ``pairs``: ``upper`` (a < b in column order), ``all`` (both orders and the
+    diagonal)."""
+    found = moments.pair_moments(df, cols)
+    names = F.array(*[F.lit(c) for c in cols])
+    den = F.sqrt(F.col("q_i") * F.col("q_j"))
+    known = found.select(F.get(names, F.col("i").cast("int")).alias("col_a"),
+                         F.get(names, F.col("j").cast("int")).alias("col_b"),
+                         F.when(den > 0, F.col("p") / den).alias("corr"))
+    # pairs without a common row, and tables without rows, have their rows all the same
+    plist = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    every = df.sparkSession.createDataFrame(plist, "col_a string, col_b string")
+    upper = every.join(known, ["col_a", "col_b"], "left")
     if pairs == "upper":
         return upper
     lower = upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")

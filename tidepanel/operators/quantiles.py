@@ -14,7 +14,9 @@ holding all its distinct values. Here:
    interpolated as ``v_i + frac (v_{i+1} - v_i)`` (same definition as
    ``percentile`` / ``quantile_cont``).
 
-Without groups, the windows of pass 1 are read back (columns x quantiles numbers)
+Both passes combine inside the tasks before their exchange: the windows of pass 1, one
+row per group and column, are broadcast where their number allows it, so no data row is
+exchanged on its group. Without groups, the windows of pass 1 are read back (columns x quantiles numbers)
 and pass 2 applies them as literals: one conditional aggregation for the counts
 below and one count per distinct value inside, with no join and no exchange of
 data rows; a window that holds too many rows is narrowed again first.
@@ -28,7 +30,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.session import bounded_broadcast, cut_lineage
+
 DEFAULT_ACCURACY = 100_000
+MOST_GROUPS = 100_000  # (group, column) windows sent to all tasks; more are joined
 
 
 def _long(df: DataFrame, cols, by) -> DataFrame:
@@ -69,6 +74,7 @@ def quantiles_and_stats(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
     grid = F.array(*[F.lit(x) for x in lo_q + hi_q])
     stats = long.groupBy(*keys).agg(
         F.count("v").alias("n"), F.percentile_approx("v", grid, accuracy).alias("a"), *extra_aggs)
+    stats = cut_lineage(stats)  # one row per group and column, read several times below
     nq = len(qs)
     small = F.col("n") <= F.lit(accuracy)
     targets = stats.select(
@@ -82,7 +88,7 @@ def quantiles_and_stats(df: DataFrame, cols, qs, by=(), *, exact: bool = True,
         return _ungrouped(df, cols, qs, targets, accuracy), stats.select(*keys, *(extra or {}))
 
     # Pass 2: per (group, column, q): below-count row (key NULL) + window values.
-    joined = long.join(targets.drop("n"), keys, "inner")
+    joined = long.join(bounded_broadcast(targets.drop("n"), MOST_GROUPS), keys, "inner")
     qi = F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qi")
     per_q = joined.select(*keys, "v", "lo", "hi", qi)
     lo_i = F.col("lo")[F.col("qi")]

@@ -145,15 +145,16 @@ def cluster_state(df: DataFrame, *, measures, keep, ks=range(2, 13), restarts: i
 
 def scale_with_ordered_split(df: DataFrame, *, time_col: str, measures, test_fraction: float = 0.2) -> dict:
     """Q7: outlier report, ordered split, robust scaling fitted on the
-    training part; description and densities of that part before and after."""
+    training part; description and densities of the whole table before scaling and
+    of the training part after it."""
     d = split.split_ordered(df, time_col, test_fraction)
     train = d.where(~F.col("is_test"))
     scaled = encode.robust_scale(d, list(measures), fit_df=train)
     scaled_train = scaled.where(~F.col("is_test"))
     return {"outliers": clean.outlier_report(df, list(measures)),
-            "describe_before": profile.describe_numeric(train, list(measures)),
+            "describe_before": profile.describe_numeric(df, list(measures)),
             "describe_after": profile.describe_numeric(scaled_train, list(measures)),
-            "kde_before": profile.kde_grid(train, list(measures)),
+            "kde_before": profile.kde_grid(df, list(measures)),
             "kde_after": profile.kde_grid(scaled_train, list(measures)),
             "scaled": scaled}
 

@@ -42,18 +42,16 @@ def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType | str |
     return normalise_missing(df)
 
 
-TASK_BYTES = 1_000_000  # estimated bytes of a single-task scan that are worth a task of their own
+TASK_BYTES = 1_000_000  # estimated bytes of a scan that are worth a task of their own
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out a scan that Spark can only read in one task (a file of one row group),
-    by its size: small tables stay as they are, and so does any scan that already
-    has several tasks."""
-    if df.rdd.getNumPartitions() != 1:
-        return df
+    """Deal out a scan of fewer partitions than the cores could share: a file of one row
+    group is read by one task, however many splits it has. Small tables stay as they
+    are, and so do large ones, which have more splits than there are cores."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     target = min(df.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES)
-    return df.repartition(target) if target > 1 else df
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
