@@ -1,7 +1,7 @@
 """K-means, assignment, sweeps and PCA.
 
 Fits run Lloyd iterations where one pass over the cached data advances every
-(k, restart) model at once (numpy inside ``mapInPandas`` tasks, partial sums
+(k, restart) model at once (numpy inside ``mapInArrow`` tasks, partial sums
 reduced by a group-by); seeding is k-means|| over all rows, likewise for all
 models at once. Only centres move between driver and executors.
 """
@@ -11,8 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidepanel.operators.metrics import silhouette_sq_euclidean
 from tidepanel.session import default_parallelism, right_sized
@@ -71,20 +74,47 @@ def _canonical(centres) -> list[list[float]]:
 BLOCK_CELLS = 4_000_000  # distances of one block of rows to all models' centres
 
 
-def _summed(parts: DataFrame, keys, scalars, dim: int) -> list:
-    """Partial rows (keys, scalars, vector ``s``) of the tasks summed per key, the
-    vector per dimension: as many rows as keys come back, however many tasks ran."""
-    return parts.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in scalars],
-        F.array(*[F.sum(F.col("s")[i]) for i in range(dim)]).alias("s")).collect()
+FEW_PARTS = 32  # partial results that are summed on the driver; more are summed by Spark
+
+
+def _mapped(vec: DataFrame, array_col: str, fn, ddl: str) -> DataFrame:
+    """`fn` (Arrow batches of the one column -> pandas frames) on every task."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
+    def run(batches):
+        for out in fn(batches):
+            yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
 
-def _blocks(batches, array_col: str, centres: int):
+    return vec.select(array_col).mapInArrow(run, ddl)
+
+
+def _summed(parts: DataFrame, keys, scalars, dim: int, tasks: int) -> list:
+    """Partial rows (keys, scalars, vector ``s``) of the tasks summed per key, the
+    vector per dimension. Of a few tasks the partial rows come back, otherwise
+    their sums: as many rows as keys, however many tasks ran."""
+    if tasks > FEW_PARTS:
+        sums = ", ".join(f"sum(s[{i}])" for i in range(dim))
+        return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in scalars],
+                                        F.expr(f"array({sums})").alias("s")).collect()
+    total: dict = {}
+    for r in parts.toArrow().to_pylist():
+        key = tuple(r[k] for k in keys)
+        numbers = np.array([*(r[c] for c in scalars), *r["s"]])
+        total[key] = total[key] + numbers if key in total else numbers
+    return [dict(zip(keys, key)) | dict(zip(scalars, x)) | {"s": x[len(scalars):]}
+            for key, x in total.items()]
+
+
+def _blocks(batches, centres: int):
     """Arrow batches as float matrices, few enough rows at a time for ``centres``."""
     step = max(1, BLOCK_CELLS // max(1, centres))
-    for pdf in batches:
-        for at in range(0, len(pdf), step):
-            yield np.stack(pdf[array_col].to_numpy()[at:at + step]).astype("float64")
+    for batch in batches:
+        column = batch.column(0)
+        if len(column):
+            X = column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(
+                len(column), -1)
+            for at in range(0, len(X), step):
+                yield X[at:at + step]
 
 
 def _sq_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -140,7 +170,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
     def first(batches):
         import pandas as pd
         best = {}
-        for X in _blocks(batches, array_col, len(configs)):
+        for X in _blocks(batches, len(configs)):
             for m in models:
                 u = _uniform(X, 1000 * configs[m][1])
                 i = int(u.argmin())
@@ -148,7 +178,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
                     best[m] = (float(u[i]), X[i].tolist())
         yield pd.DataFrame([(m, u, x) for m, (u, x) in best.items()], columns=["m", "u", "x"])
 
-    rows = (vec.select(array_col).mapInPandas(first, "m int, u double, x array<double>")
+    rows = (_mapped(vec, array_col, first, "m int, u double, x array<double>")
             .groupBy("m").agg(F.min_by("x", "u").alias("x")).collect())
     candidates = {r["m"]: np.array([r["x"]]) for r in rows}
     if not candidates:
@@ -165,7 +195,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
             total, picked = dict.fromkeys(short, 0.0), []
             stacked = np.concatenate([have[m] for m in short])
             ends = np.cumsum([0] + [len(have[m]) for m in short])
-            for X in _blocks(batches, array_col, len(stacked)):
+            for X in _blocks(batches, len(stacked)):
                 d = _sq_distances(X, stacked)
                 middle = stacked.mean(0)
                 noise = 16 * X.shape[1] * np.finfo("float64").eps * (
@@ -182,7 +212,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
             yield pd.DataFrame([(m, c, None) for m, c in total.items()] + picked,
                                columns=["m", "cost", "x"])
 
-        got = vec.select(array_col).mapInPandas(sample, "m int, cost double, x array<double>")
+        got = _mapped(vec, array_col, sample, "m int, cost double, x array<double>")
         # one cost a model, and about 2 k rows of it
         for r in got.groupBy("m").agg(F.sum("cost").alias("cost"),
                                       F.collect_set("x").alias("x")).collect():
@@ -196,7 +226,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
     def nearest(batches):
         import pandas as pd
         n = np.zeros(len(stacked), dtype=np.int64)
-        for X in _blocks(batches, array_col, len(stacked)):
+        for X in _blocks(batches, len(stacked)):
             d = _sq_distances(X, stacked)
             for m in models:
                 at = d[:, ends[m]:ends[m + 1]].argmin(axis=1)
@@ -204,7 +234,7 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
         yield pd.DataFrame({"c": np.arange(len(n)), "n": n})
 
     weight = np.zeros(len(stacked))
-    for r in vec.select(array_col).mapInPandas(nearest, "c int, n long").groupBy("c").agg(
+    for r in _mapped(vec, array_col, nearest, "c int, n long").groupBy("c").agg(
             F.sum("n").alias("n")).collect():
         weight[r["c"]] = r["n"]
     return {m: _weighted_plus_plus(candidates[m], weight[ends[m]:ends[m + 1]] + 1e-12, configs[m][0],
@@ -229,7 +259,7 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, max_iter: int = 30
     dim = next(iter(centres.values())).shape[1]
     spread = vec.agg(*[F.var_pop(F.col(array_col)[i]) for i in range(dim)]).first()
     limit = tol * float(np.mean([v or 0.0 for v in spread]))
-    active = set(centres)
+    active, tasks = set(centres), vec.rdd.getNumPartitions()
     cost = {m: float("nan") for m in centres}
     for _ in range(max_iter):
         if not active:
@@ -242,7 +272,7 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, max_iter: int = 30
             stacked = np.concatenate([current[m] for m in ids])
             ends = np.cumsum([0] + [len(current[m]) for m in ids])
             n, sums, costs = np.zeros(len(stacked)), np.zeros_like(stacked), np.zeros(len(stacked))
-            for X in _blocks(batches, array_col, len(stacked)):
+            for X in _blocks(batches, len(stacked)):
                 d = _sq_distances(X, stacked)
                 rows = np.arange(len(X))
                 for t in range(len(ids)):
@@ -257,10 +287,9 @@ def batched_lloyd(vec: DataFrame, array_col: str, configs, *, max_iter: int = 30
             cluster = np.concatenate([np.arange(len(current[m])) for m in ids])
             yield pd.DataFrame({"m": model, "c": cluster, "n": n, "cost": costs, "s": list(sums)})
 
-        parts = vec.select(array_col).mapInPandas(
-            partial, "m int, c int, n double, cost double, s array<double>")
+        parts = _mapped(vec, array_col, partial, "m int, c int, n double, cost double, s array<double>")
         new, total = {m: c.copy() for m, c in current.items()}, dict.fromkeys(current, 0.0)
-        for r in _summed(parts, ["m", "c"], ["n", "cost"], dim):
+        for r in _summed(parts, ["m", "c"], ["n", "cost"], dim, tasks):
             total[r["m"]] += r["cost"]
             if r["n"] > 0:
                 new[r["m"]][r["c"]] = np.array(r["s"]) / r["n"]
@@ -287,7 +316,7 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
         import pandas as pd
         acc = {k: [np.zeros(len(C)), np.zeros(len(C)), np.zeros(len(C)), np.zeros_like(C)]
                for k, C in cents.items()}
-        for X in _blocks(batches, array_col, widest):
+        for X in _blocks(batches, widest):
             sq, rows = (X * X).sum(1), np.arange(len(X))
             for k, C in cents.items():
                 d = _sq_distances(X, C)
@@ -304,9 +333,9 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
 
     inertia_by_k = dict.fromkeys(cents, 0.0)
     cl = {k: (np.zeros(len(C)), np.zeros(len(C)), np.zeros_like(C)) for k, C in cents.items()}
-    for r in _summed(vec.select(array_col).mapInPandas(
-            stats, "k int, c int, n double, q double, cost double, s array<double>"),
-            ["k", "c"], ["n", "q", "cost"], dim):
+    for r in _summed(_mapped(
+            vec, array_col, stats, "k int, c int, n double, q double, cost double, s array<double>"),
+            ["k", "c"], ["n", "q", "cost"], dim, vec.rdd.getNumPartitions()):
         n, q, y = cl[r["k"]]
         n[r["c"]], q[r["c"]], y[r["c"]] = r["n"], r["q"], r["s"]
         inertia_by_k[r["k"]] += r["cost"]
@@ -314,7 +343,7 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
     def sil(batches):
         import pandas as pd
         acc = {k: [0.0, 0] for k in cents}
-        for X in _blocks(batches, array_col, widest):
+        for X in _blocks(batches, widest):
             sq, rows = (X * X).sum(1), np.arange(len(X))
             for k, C in cents.items():
                 N, Q, Y = cl[k]
@@ -331,8 +360,8 @@ def sweep_scores(vec: DataFrame, array_col: str, centres_by_k: dict) -> list[tup
                 acc[k][1] += len(X)
         yield pd.DataFrame([(k, s, n) for k, (s, n) in acc.items()], columns=["k", "s", "n"])
 
-    tot_s = {r["k"]: (r["s"], r["n"]) for r in vec.select(array_col).mapInPandas(
-        sil, "k int, s double, n long").groupBy("k").agg(
+    tot_s = {r["k"]: (r["s"], r["n"]) for r in _mapped(
+        vec, array_col, sil, "k int, s double, n long").groupBy("k").agg(
         F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}
     out = []
     for k in centres_by_k:
