@@ -173,6 +173,38 @@ def test_plan_holds_every_piece(histogram):
     assert sum(b for _, b in plan) <= max(1, 2 * volume / 50 + 1)
 
 
+LENGTHS = {
+    "uniform": lambda rng: rng.integers(1, 1024, 20_000),
+    "log-normal": lambda rng: np.clip(np.exp(rng.normal(5.3, 0.9, 20_000)), 1, 1023).astype(int),
+    "300 to 600": lambda rng: rng.integers(300, 601, 20_000),
+    "200 to 300 and 480 to 560": lambda rng: np.concatenate(
+        [rng.integers(200, 301, 7_000), rng.integers(480, 561, 6_000)]),
+    "few": lambda rng: rng.integers(1, 1024, 300),
+}
+
+
+@pytest.mark.parametrize("name", LENGTHS)
+def test_packing_is_never_above_best_fit(name):
+    histogram = Counter(LENGTHS[name](np.random.default_rng(1)).tolist())
+    plan, bound = packing.plan_and_bound(histogram, 1024)
+    volume = sum(length * n for length, n in histogram.items()) / 1024
+    plain = packing.sequences(packing.best_fit(dict(histogram), 1024))
+    n = packing.sequences(plan)
+    assert volume <= bound * (1 + 1e-9) and bound <= n * (1 + 1e-9) and n <= plain
+    if name in ("300 to 600", "200 to 300 and 480 to 560"):  # where best-fit leaves gaps
+        assert n <= 0.985 * plain
+    # with many copies of each length the least share still rounds to some bins
+    many = {length: 50 * n for length, n in histogram.items()}
+    n = packing.sequences(packing.plan_sequences(many, 1024))
+    assert n <= 1.0005 * packing.sequences(packing.best_fit(dict(many), 1024))
+
+
+def test_bound_is_below_the_best_packing():
+    # 6 + 6 + 6 | 10: three of length 6 need three sequences of 10, whatever the volume
+    plan, bound = packing.plan_and_bound({6: 3, 4: 1}, 10, rounds=60)
+    assert packing.sequences(plan) == 3 and bound <= 3 + 1e-9
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab é9.,!' \n\t\xa0_-", max_size=40))
 def test_units_have_the_ids_of_the_whole(text):

@@ -9,8 +9,10 @@ plan is made on the driver and the pieces never leave the executors:
   lengths that fits one sequence) and a covering row for every length; it is
   solved by multiplicative weights, where a dynamic program over the knapsack
   of `capacity` tokens prices the best configuration in each round;
-* the fractional solution is rounded down, and what it leaves over is packed
-  best-fit by decreasing length, on counts of equal lengths and equal bins;
+* shares of the fractional solution are rounded down, and what each leaves over is
+  packed best-fit by decreasing length, on counts of equal lengths and equal bins;
+  the share that ends in the fewest sequences is the plan. The weights, as duals,
+  give a lower bound on that number (`plan_and_bound`);
 * a piece gets a gapless rank among those of its length, and the plan says
   which ranks of a length go to which sequence and offset.
 
@@ -62,10 +64,12 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
 
 
 def priced_configurations(value: np.ndarray, lengths: np.ndarray, capacity: int,
-                          most: np.ndarray, count: int, slack: float) -> list[dict[int, int]]:
-    """Knapsack pricing: up to `count` multisets of lengths within `capacity`, each
-    with another item first, valued within `slack` of the best; at most `most`
-    copies of a length. Items are indexes of `lengths`."""
+                          most: np.ndarray, count: int, slack: float
+                          ) -> tuple[list[dict[int, int]], float]:
+    """Knapsack pricing: for each length with a value the best multiset within
+    `capacity` that holds it, the `count` best of them that are within `slack` of the best
+    of all, cut to `most` copies of a length; and the best worth (without that cut).
+    Items are indexes of `lengths`."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
     shortest = int(lengths[0])
@@ -77,9 +81,10 @@ def priced_configurations(value: np.ndarray, lengths: np.ndarray, capacity: int,
         if worth[i] > best[room]:
             best[room], choice[room] = worth[i], i
     total = value + best[capacity - lengths]
-    order = np.argsort(-total, kind="stable")[:count]
     found = []
-    for first in order[(total[order] >= (1 - slack) * best[capacity]) & (value[order] > 0)]:
+    order = np.argsort(-total, kind="stable")
+    good = (total[order] >= (1 - slack) * best[capacity]) & (value[order] > 0)
+    for first in order[good][:count]:
         counts: dict[int, int] = defaultdict(int)
         counts[int(first)] += 1
         room = capacity - int(lengths[first])
@@ -91,28 +96,35 @@ def priced_configurations(value: np.ndarray, lengths: np.ndarray, capacity: int,
             counts[i] += 1
             room -= int(lengths[i])
         found.append({i: min(n, int(most[i])) for i, n in counts.items()})
-    return found
+    return found, float(best[capacity])
 
 
 def solve_by_weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int,
-                     rate: float, count: int, slack: float) -> dict[Configuration, float]:
-    """Multiplicative weights for the covering program. A length's weight falls by
-    exp(-rate) with every full cover of its demand, a covered one is worth nothing;
-    each round takes the configurations that the weights price highest, in steps
-    that sum up to the volume bound over all rounds."""
-    step = float((lengths * demand).sum()) / capacity / rounds
+                     rate: float, count: int, slack: float
+                     ) -> tuple[dict[Configuration, float], float]:
+    """Multiplicative weights for the covering program: (solution, dual bound).
+
+    A length's weight is its share of a sequence (the dual of the volume bound) times
+    exp(-rate x cover), nothing once its demand is covered. Each round prices, for
+    every length, the best configuration that holds it, and raises the `count` best within
+    `slack` of the best by a step that is dealt out by the demand they can meet.
+    Weights divided by the best price are feasible for the dual, so what they are
+    worth over the demand bounds the number of sequences from below."""
+    volume = float((lengths * demand).sum()) / capacity
+    step = volume / rounds
     covered = np.zeros(len(lengths))
     taken: dict[Configuration, float] = defaultdict(float)
-    for _ in range(rounds):
+    bound = volume
+    for done in range(2 * rounds):
         short = covered / demand
-        value = np.where(short < 1, np.exp(-rate * (short - short.min())) / demand, 0.0)
-        # scaled by length, so that rare short pieces do not outbid all others
-        value *= lengths * demand / demand.max() + 1e-9 * (short < 1)
-        found = priced_configurations(value, lengths, capacity, demand, count, slack)
+        value = np.where(short < 1, lengths * np.exp(rate * (done / rounds - short)), 0.0)
+        found, price = priced_configurations(value, lengths, capacity, demand, count, slack)
         if not found:
             break
-        for content in found:
-            amount = min([step / len(found),
+        bound = max(bound, float((value * demand).sum()) / price)
+        wanted = [min(demand[i] / n for i, n in content.items()) for content in found]
+        for content, want in zip(found, wanted):
+            amount = min([step * want / sum(wanted),
                           *((demand[i] - covered[i]) / n for i, n in content.items())])
             if amount <= 0:
                 continue
@@ -120,7 +132,7 @@ def solve_by_weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rou
                 covered[i] += n * amount
             taken[tuple(sorted(((int(lengths[i]), n) for i, n in content.items()),
                                reverse=True))] += amount
-    return taken
+    return taken, bound
 
 
 def best_fit(left: dict[int, int], capacity: int,
@@ -160,29 +172,53 @@ def best_fit(left: dict[int, int], capacity: int,
     return [x for group in by_room.values() for x in group]
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 200, rate: float = 4.0,
-                   count: int = 16, slack: float = 0.05,
-                   keep: float = 0.7) -> list[tuple[Configuration, int]]:
-    """(configuration, number of sequences) that hold every piece once. The share
-    `keep` of the program's solution is rounded down to bins, which stay open for
-    best-fit of what is left; the rest leaves best-fit pieces of every length."""
-    left = {length: n for length, n in histogram.items() if n}
-    plan: list[tuple[Configuration, int]] = []
-    if left.get(capacity):
-        plan.append((((capacity, 1),), left.pop(capacity)))
-    if not left:
-        return plan
-    lengths = np.array(sorted(left), dtype=np.int64)
-    demand = np.array([left[int(x)] for x in lengths], dtype=np.float64)
-    taken = solve_by_weights(lengths, demand, capacity, rounds, rate, count, slack)
-    opened = []
+def rounded(taken: dict[Configuration, float], left: dict[int, int], capacity: int,
+            keep: float) -> list[tuple[Configuration, int]]:
+    """The share `keep` of the program's solution rounded down to bins, which stay open
+    for best-fit of what is left (pieces of every length)."""
+    left, opened = dict(left), []
     for content in sorted(taken, key=lambda c: (-sum(length * n for length, n in c), c)):
         bins = min([int(keep * taken[content]), *(left[length] // n for length, n in content)])
         if bins > 0:
             opened.append((content, bins))
             for length, n in content:
                 left[length] -= bins * n
-    return plan + best_fit({k: n for k, n in left.items() if n}, capacity, opened)
+    return best_fit({k: n for k, n in left.items() if n}, capacity, opened)
+
+
+def sequences(plan: list[tuple[Configuration, int]]) -> int:
+    return sum(bins for _, bins in plan)
+
+
+def plan_and_bound(histogram: dict[int, int], capacity: int, rounds: int = 200, rate: float = 4.0,
+                   count: int = 64, slack: float = 0.01,
+                   shares: tuple[float, ...] = (1, 0.9, 0.7, 0.4, 0.2, 0.1, 0.05, 0.02, 0.01)
+                   ) -> tuple[list[tuple[Configuration, int]], float]:
+    """(plan, lower bound): configurations with the number of their sequences, which hold
+    every piece once. Where each configuration is rare, rounding it wastes more than the
+    program gains; so several shares of the solution are rounded and the one with the
+    fewest sequences is the plan, unless an earlier one meets the bound already."""
+    left = {length: n for length, n in histogram.items() if n}
+    full = left.pop(capacity, 0)
+    plan: list[tuple[Configuration, int]] = [(((capacity, 1),), full)] if full else []
+    if not left:
+        return plan, float(full)
+    lengths = np.array(sorted(left), dtype=np.int64)
+    demand = np.array([left[int(x)] for x in lengths], dtype=np.float64)
+    taken, bound = solve_by_weights(lengths, demand, capacity, rounds, rate, count, slack)
+    best: list[tuple[Configuration, int]] = []
+    for keep in shares:
+        found = rounded(taken, left, capacity, keep)
+        if not best or sequences(found) < sequences(best):
+            best = found
+        if sequences(best) < bound + 1:
+            break
+    return plan + best, full + bound
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int,
+                   **settings) -> list[tuple[Configuration, int]]:
+    return plan_and_bound(histogram, capacity, **settings)[0]
 
 
 def placement(plan: list[tuple[Configuration, int]]) -> np.ndarray:
@@ -206,9 +242,12 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024
     histogram = {r["length"]: r["n"] for r in
                  pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = placement(plan_sequences(histogram, capacity))
-    cells = max(1, -(-sum(histogram.values()) // rows_per_cell)) + 15
+    # a length gets cells by the number of its pieces (the list is as long as `capacity`)
+    cells = F.array(*[F.lit(1 + histogram.get(length, 0) // rows_per_cell)
+                      for length in range(capacity + 1)])
     dealt = pieces.withColumn("cell", F.pmod(
-        F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(cells).cast("long")))
+        F.xxhash64("doc_id", "piece", "ids_crc32"),
+        F.get(cells, F.col("length").cast("int")).cast("long")))
     before = (dealt.groupBy("length", "cell").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("base", F.sum("n").over(
                   Window.partitionBy("length").orderBy("cell")) - F.col("n")).drop("n"))
