@@ -134,6 +134,34 @@ def test_one_pass_sweep_equals_refits(spark):
             assert a[key][c] == pytest.approx(b[key][c], rel=1e-6, abs=1e-9), (key, c)
 
 
+def test_one_pass_sweep_equals_refits_at_degree_2(spark):
+    from tidepanel.operators.models import search
+    # a large offset, missing values in both kinds of column, levels apart per set
+    d = spark.range(600).select(
+        F.col("id").alias("k"), (F.col("id") % 5).cast("int").alias("fold"), (F.col("id") % 7 == 0).alias("is_test"),
+        F.when(F.col("id") % 11 != 0, 739000 + F.hash("id") % 700).cast("double").alias("a"),
+        F.when(F.col("id") % 13 != 0, F.hash("id", F.lit(1)) % 40).cast("double").alias("b"),
+        F.when(F.col("id") % 17 != 0, F.concat(F.lit("L"), F.pmod(F.hash("id", F.lit(2)), F.lit(3)))).alias("c"))
+    d = d.withColumn("y", F.coalesce(F.col("b"), F.lit(1.0)) * (F.col("a") - 739000) / 50
+                     + F.when(F.col("c") == "L1", F.col("b")).otherwise(3.0) + F.hash("k", F.lit(3)) % 10)
+    d = d.withColumn("y", F.coalesce("y", F.lit(2.0)))
+    sets = {"all": ["a", "b", "c"], "one": ["b"]}
+    fast, models = search.model_sweep(d, sets, "y", categorical=["c"], degrees=(1, 2))
+    slow, refits = search.model_sweep(d, sets, "y", categorical=["c"], degrees=(2,), refit=True)
+    a = {tuple(r[:5]): r for r in fast.collect()}
+    b = {tuple(r[:5]): r for r in slow.collect()}
+    assert len(a) == 16 and b.keys() == {key for key in a if key[3] == 2} and len(b) == 8
+    assert {key[4] for key in b} == {"PolynomialRegression"}
+    for key in b:
+        for c in ["CV_MAE", "CV_RMSE", "CV_R2", "Test_MAE", "Test_MSE", "Test_RMSE", "Test_R2"]:
+            assert a[key][c] == pytest.approx(b[key][c], rel=1e-6, abs=1e-9), (key, c)
+    for key in refits:
+        assert models[key][1].features == refits[key][1].features
+        assert models[key][1].coef == pytest.approx(refits[key][1].coef, rel=1e-5, abs=1e-6), key
+    best = {key[:4]: a[key]["CV_RMSE"] for key in a}
+    assert best["all", "mean", "standard", 2] < best["all", "mean", "standard", 1]
+
+
 def test_fact_tables_are_not_broadcast_from_estimates(spark):
     # the planner must not pick a broadcast for lineitem / orders from size
     # estimates; only the proven-small nation table is broadcast statically

@@ -30,9 +30,11 @@ def _complete(df: DataFrame, cols) -> DataFrame:
 
 
 def gram_stats(df: DataFrame, features, y: str, by: str | None = None,
-               shift: dict | None = None) -> DataFrame:
+               shift: dict | None = None, products=()) -> DataFrame:
     """M9: long table ``(group, i, j, value)`` (i <= j) of sum z_i z_j with
     z = [1, x - shift, y - shift_y]; rows with a missing value are skipped.
+    ``products``: pairs of feature positions whose products are columns of z too,
+    between x and y; they are made inside the batches.
 
     Every task multiplies its Arrow batches in numpy and emits one triangle per
     group; the triangles are summed by (group, i, j).
@@ -40,7 +42,7 @@ def gram_stats(df: DataFrame, features, y: str, by: str | None = None,
     shift = shift or {}
     cols = list(features) + [y]
     data = _complete(df, cols)
-    m = len(cols) + 1
+    m = len(cols) + len(products) + 1
     grp = F.col(by).cast("int") if by else F.lit(0)
     names = [f"c{k}" for k in range(len(cols))]
     src = data.select(grp.alias("group"), *[
@@ -52,7 +54,8 @@ def gram_stats(df: DataFrame, features, y: str, by: str | None = None,
         acc = {}
         for batch in batches:
             flat = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
-            rows = np.column_stack([np.ones(batch.num_rows), *flat])
+            rows = np.column_stack([np.ones(batch.num_rows), *flat[:-1],
+                                    *(flat[i] * flat[j] for i, j in products), flat[-1]])
             groups = batch.column("group").to_numpy()
             for g in np.unique(groups):
                 part = rows[groups == g]
@@ -93,21 +96,26 @@ def merge(a: Moments, b: Moments) -> Moments:
     return Moments(n, a.mu + dlt * (b.n / n), a.C + b.C + np.outer(dlt, dlt) * (a.n * b.n / n))
 
 
-def moment_stats(df: DataFrame, features, y: str, by: str | None = None) -> dict:
+def moment_stats(df: DataFrame, features, y: str, by: str | None = None, products=()) -> dict:
     """Per group count, means and co-moments of [x, y], in two passes: the column
     means, then the Gram statistics about them (``gram_stats``), which keeps the
     products small and their sums exact enough. Bounded collect: groups x (d+1)^2
-    numbers, d being the number of features."""
+    numbers, d being the number of features.
+
+    With ``products`` (pairs of feature positions) the moments are those of
+    [x, products, y]. The features are then taken as they are, so the caller gives
+    them a scale near 1 and a centre near 0."""
     cols = list(features) + [y]
+    centred = [y] if products else cols
     means = _complete(df, cols).agg(*[
-        F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    shift = {c: means[f"m{i}"] or 0.0 for i, c in enumerate(cols)}
-    m = len(cols)
+        F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(centred)]).first()
+    shift = {c: means[f"m{i}"] or 0.0 for i, c in enumerate(centred)}
+    m = len(cols) + len(products)
     grams: dict[int, np.ndarray] = {}
-    for r in gram_stats(df, features, y, by, shift).collect():
+    for r in gram_stats(df, features, y, by, shift, products).collect():
         G = grams.setdefault(r["group"], np.zeros((m + 1, m + 1)))
         G[r["i"], r["j"]] = G[r["j"], r["i"]] = r["value"]
-    centre = np.array([shift[c] for c in cols])
+    centre = np.array([*(shift.get(c, 0.0) for c in features), *[0.0] * len(products), shift[y]])
     out = {}
     for g, G in grams.items():
         n, off = G[0, 0], G[0, 1:] / G[0, 0]

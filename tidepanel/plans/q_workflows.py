@@ -130,6 +130,16 @@ def workflow_next_step_sweep(spark, sf):
     return rounded(res["sweep"])
 
 
+@register("workflow_next_step_sweep_degree_2")
+def workflow_next_step_sweep_degree_2(spark, sf):
+    """All 32 combinations of feature set, imputer, scaler and degree (1, 2), products of
+    dummies included, from the moments of one pass."""
+    d = derive.add_date_ordinal(next_step_base(spark, sf), "d", "d_ordinal")
+    res = W.next_step_regression(d, feature_sets=FEATURE_SETS, target="next_price_change",
+                                 categorical=["n_name"], key_cols=["n_name", "d"], degrees=(1, 2))
+    return rounded(res["sweep"])
+
+
 @register("workflow_cluster_sweep")
 def workflow_cluster_sweep(spark, sf):
     res = W.cluster_state(B.market_panel(spark, sf), measures=list(B.MARKET_MEASURES), keep=["n_name", "d"])

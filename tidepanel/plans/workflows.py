@@ -175,12 +175,11 @@ def run_workflows(workflows: dict) -> tuple[dict[str, DataFrame], dict]:
 
 
 def run_all(spark, outputs: dict[str, DataFrame], summary: dict, out_dir: str) -> str:
-    """Q8: write every result table (CSV; report tables as one file each), the
-    summary JSON, then check that all outputs exist."""
-    paths = []
-    for name, df in outputs.items():
-        paths.append(sinks.write_table(df, f"{out_dir}/{name}",
-                                       single_file=name.rsplit(".", 1)[-1] not in ROW_LEVEL))
-    paths.append(sinks.write_metrics_json(spark, summary, f"{out_dir}/summary"))
-    sinks.assert_outputs(spark, paths)
+    """Q8: write, audit and publish every result table (CSV; report tables as one file
+    each) and the summary JSON, then check the published files against the manifest."""
+    sinks.publish_outputs(spark, outputs, out_dir, row_level={
+        name for name in outputs if name.rsplit(".", 1)[-1] in ROW_LEVEL})
+    path = sinks.write_metrics_json(spark, summary, f"{out_dir}/summary")
+    sinks.assert_outputs(spark, [path])
+    sinks.audit_outputs(spark, out_dir)
     return out_dir
