@@ -380,6 +380,65 @@ def test_html_empty_and_deep(shipped):
     assert html_text.extract(pages(shipped, [(None, deep), (None, deep)])).count() == 2
 
 
+FLOOD = ("The river rose for three days, and the town moved all its boats uphill to the old mill.",
+         "On the fourth day it fell again, and nobody had lost a thing, though the bridge needed new planks.")
+
+
+@pytest.fixture(scope="module")
+def page_model():
+    return html_text.train(html_samples.labelled_pages())
+
+
+def text_by(model, html):
+    page = html_text.parse(html)
+    return html_text.main_text(page, model.marginals([page])[0])
+
+
+@pytest.mark.parametrize("html", [
+    "<div class=topbar><a href=/>Home</a> <a href=/n>News</a></div><div class=story>{}</div>"
+    "<div class=bottom>All rights reserved</div>",
+    "<div id=page><div id=masthead><a href=/>Blog</a></div><div id=primary><div class='post hentry'>"
+    "<div class=entry-content>{}</div></div><div id=comments><ol><li><p>Great post, I liked it a lot.</p>"
+    "</ol><div id=respond><h3>Leave a reply</h3><form><p>Name</p></form></div></div></div>"
+    "<div id=colophon>Powered by x</div></div>",
+    "<body><nav><a href=/>Home</a></nav><section>{}</section><footer>c</footer>",
+    "<noscript><p>Please turn on JavaScript to see this page as it was meant to be.</p></noscript>"
+    "<article>{}</article>",
+    "{}",
+])
+def test_html_layouts_never_seen(page_model, html):
+    assert text_by(page_model, html.format("".join(f"<p>{p}</p>" for p in FLOOD))) == "\n".join(FLOOD)
+
+
+def test_html_page_with_prose_is_never_empty(page_model):
+    page = "<div class=cookie><div class=advert>" + "".join(f"<p>{p}</p>" for p in FLOOD) + "</div></div>"
+    assert set(FLOOD) & set(text_by(page_model, page).split("\n"))
+    assert text_by(page_model, "<nav><ul><li><a href=/>Home</a></ul></nav><footer>c</footer>") == ""
+
+
+def block_f1(model, sources):
+    parsed = [html_text.parse(h, with_marks=True) for h in sources]
+    hit = seen = wanted = 0
+    for page, marginal in zip(parsed, model.marginals(parsed)):
+        label = html_text.labels_of(page)
+        for v, _ in page.blocks:
+            seen, wanted = seen + (marginal[v] > 0.5), wanted + label[v]
+            hit += label[v] and marginal[v] > 0.5
+    return 2 * hit / max(1, seen + wanted)
+
+
+def test_html_layout_left_out():
+    """Every layout and body, judged by a model that was trained without it."""
+    found = []
+    for layout in html_samples.LAYOUTS + html_samples.BODIES:
+        model = html_text.train(html_samples.labelled_pages(6, without=layout), steps=300)
+        own = [layout] if layout in html_samples.LAYOUTS else html_samples.layouts(only=layout, each=6, seed=99)
+        found.append(block_f1(model, html_samples.fill_in(own, 48 // len(own), 5)))
+    assert np.mean(found) >= 0.95
+    assert sum(f >= 0.9 for f in found) >= len(found) - 4
+    assert min(found) >= 0.5
+
+
 def test_marginals_are_exact():
     """Messages against the sum over all labellings of a small tree."""
     from itertools import product

@@ -5,13 +5,15 @@ its own text is main text. The model has a potential for every parent-child edge
 (how labels follow each other downward) and node potentials from what a block
 looks like: tag, class and id words, its text and links, those below it. Both are
 estimated from labelled pages. Sum-product messages, upward then downward, give
-every node's exact marginal, and text of blocks above one half is kept.
+every node's exact marginal, and text of blocks above one half is kept. On a page that
+has prose but no such block the marginals are taken given that its likeliest prose is
+main text.
 
 Messages run level by level over the arrays of a whole batch of pages.
 
 Defined cases: null and empty html give an empty text; markup that is broken or
 cut off is read as far as it goes, open elements end with the page; what is inside
-an svg, video, select or the like is no text, but one that its parent ends before an
+an svg, video, noscript, select or the like is no text, but one that its parent ends before an
 end tag of its own hides nothing; nothing is
 dropped for its length; equal pages are extracted one by one; an empty table
 gives no rows.
@@ -36,10 +38,10 @@ from tidepanel.llm.html_samples import labelled_pages
 BLOCKS = frozenset(
     "html body article section nav aside header footer main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt "
     "dd table caption thead tbody tfoot tr blockquote pre figure figcaption form fieldset address "
-    "details summary center dialog menu hgroup search noscript button label legend".split())
-ENDS_PARAGRAPH = BLOCKS - frozenset("button label noscript caption thead tbody tfoot tr".split())
+    "details summary center dialog menu hgroup search button label legend".split())
+ENDS_PARAGRAPH = BLOCKS - frozenset("button label caption thead tbody tfoot tr".split())
 RAW_TEXT = frozenset("script style textarea title iframe noembed noframes xmp".split())
-NOT_TEXT = frozenset("template select svg math object audio video canvas".split())
+NOT_TEXT = frozenset("template noscript select svg math object audio video canvas".split())
 FOREIGN = frozenset("svg math".split())  # may be closed by their own tag
 SPACED = frozenset("br td th hr img input wbr".split())
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
@@ -52,6 +54,10 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+\Z", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
+LANDMARKS = frozenset("nav aside header footer form dialog article main section table".split())
+NEVER_MAIN = frozenset("nav aside footer form dialog button".split())
+CERTAINLY = 50.0  # log odds of a label that is given
+PROSE = 80  # characters from which a block with a sentence's end and without links is prose
 SENTENCE_END = (".", "!", "?", "…", ":", ";", '"', "”", "»")
 
 
@@ -209,8 +215,25 @@ def share(part: int, whole: int) -> int:
     return 0 if not part else 1 if 3 * part < whole else 2 if 3 * part < 2 * whole else 3
 
 
+def prose_blocks(page: Page) -> np.ndarray:
+    """Whether a node's own text is prose outside elements that never are main text."""
+    out = np.zeros(len(page.parent), dtype=bool)
+    for v, text in page.blocks:
+        if len(text) >= PROSE and text.endswith(SENTENCE_END) and 3 * page.linked[v] < page.chars[v]:
+            out[v] = True
+    never = [False] * len(out)
+    for v in range(1, len(out)):
+        never[v] = never[page.parent[v]] or page.tag[v] in NEVER_MAIN
+    return out & ~np.array(never)
+
+
+def fifth(part: int, whole: int) -> int:
+    return min(4, 5 * part // whole) if whole else 0
+
+
 def features(page: Page) -> list[list[tuple]]:
-    """What each node looks like, by itself and with what is below it."""
+    """What each node looks like: by itself, with what is below it, next to its
+    siblings, and by its place in the page."""
     n = len(page.parent)
     chars, linked, paragraphs = page.chars[:], page.linked[:], [0] * n
     for v in range(n - 1, 0, -1):
@@ -222,18 +245,38 @@ def features(page: Page) -> list[list[tuple]]:
     for v, text in page.blocks:
         sign[v] = "end" if text.endswith(SENTENCE_END) else "open"
         notice[v] = notice[v] or "©" in text
+    prose = prose_blocks(page).tolist()
+    beside, alike = [0] * n, defaultdict(int)  # characters of prose and like siblings in a parent
+    for v in range(1, n):
+        beside[page.parent[v]] += prose[v] * page.chars[v]
+        alike[page.parent[v], page.tag[v], prose[v]] += 1
+    most = max(beside)
+    heading = page.tag.index("h1") if "h1" in page.tag else n
+    before, landmark, outer = 0, ["none"] * n, ["none"] * n
     out = []
     for v in range(n):
         f = [("tag", page.tag[v]), ("own", bucket(page.chars[v])), ("sign", sign[v]),
              ("links", share(page.linked[v], page.chars[v])),
              ("below links", share(linked[v], chars[v])),
-             ("paragraphs", min(3, paragraphs[v]))]
+             ("paragraphs", min(3, paragraphs[v])),
+             ("place", fifth(before, chars[0])), ("weight", fifth(chars[v], chars[0])),
+             ("heading", heading < n, v >= heading), ("prose", prose[v])]
+        before += page.chars[v]
         if notice[v]:
             f.append(("notice",))
         f += [("name", w) for w in set(page.names[v])]
+        f += [("stem", w) for w in {w[:4] for w in page.names[v] if len(w) > 4}]
+        if beside[v]:
+            f.append(("holds prose", beside[v] == most))
         up = page.parent[v]
         if up >= 0:
-            f.append(("in", page.tag[up]))
+            own = page.tag[v] in LANDMARKS
+            landmark[v] = page.tag[v] if own else landmark[up]
+            outer[v] = landmark[up] if own else outer[up]
+            f += [("in", page.tag[up]), ("landmark", landmark[v]), ("landmarks", landmark[v], outer[v]),
+                  ("alike", prose[v], min(4, alike[up, page.tag[v], prose[v]]))]
+            if beside[up]:
+                f.append(("beside prose", beside[up] == most, page.tag[v] in TEXT_BLOCKS))
             f += [("in name", w) for w in set(page.names[up])]
         out.append(f)
     return out
@@ -256,12 +299,32 @@ class Model:
         return [sum([get(x, 0.0) for x in f]) for f in features(page)]
 
     def marginals(self, pages: list[Page]) -> list[np.ndarray]:
+        """Of every node, given that a page with prose has main text: where no block of it
+        would be any, its likeliest block of prose is taken to be."""
+        found = self.messages(pages, [-1] * len(pages))
+        again, given = [], []
+        for i, (page, p) in enumerate(zip(pages, found)):
+            if not any(p[v] > 0.5 for v, _ in page.blocks):
+                prose = np.flatnonzero(prose_blocks(page))
+                if len(prose):
+                    again.append(i)
+                    given.append(int(prose[np.argmax(p[prose])]))
+        if again:
+            for i, p in zip(again, self.messages([pages[i] for i in again], given)):
+                found[i] = p
+        return found
+
+    def messages(self, pages: list[Page], given: list[int]) -> list[np.ndarray]:
+        """given: for every page a node that is known to be main text, or -1."""
         sizes = [len(p.parent) for p in pages]
         starts = np.cumsum([0, *sizes])
         depth = np.concatenate([p.depth for p in pages])
         parent = np.concatenate([np.array(p.parent) + s for p, s in zip(pages, starts)])
         node = np.zeros((len(depth), 2))
         node[:, 1] = np.concatenate([self.evidence(p) for p in pages])
+        for v, start in zip(given, starts):
+            if v >= 0:
+                node[start + v, 1] += CERTAINLY
         kind = np.concatenate([kinds(p) for p in pages])
         order = np.argsort(depth, kind="stable")
         levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
@@ -290,7 +353,7 @@ def labels_of(page: Page) -> list[int]:
     return out
 
 
-def train(pages: list[str], steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Model:
+def train(pages: list[str], steps: int = 400, rate: float = 0.05, decay: float = 3e-5) -> Model:
     """Potentials of the highest pseudo-likelihood (each label given its neighbours'
     labels and its features), by gradient steps with moment estimates."""
     index: dict[tuple, int] = {}
