@@ -246,3 +246,14 @@ def test_exact_stratification_counts(spark):
     for y in ("rare", "common", None):
         sizes = [r["count"] for r in folds if r["y"] == y]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_missing_columns_are_named(spark):
+    """the fill and the target name every required column that a table lacks."""
+    from tidepanel.operators import derive, impute
+    from tidepanel.spec import PanelSpec
+    df, spec = spark.createDataFrame([(1, 2.0)], "e int, v double"), PanelSpec("e", "t")
+    with pytest.raises(ValueError, match=r"\['t', 'w'\]"):
+        impute.time_series_fill(df, spec, ["v", "w"])
+    with pytest.raises(ValueError, match=r"\['t'\]"):
+        derive.next_step_change(df, spec, "v")

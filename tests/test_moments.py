@@ -45,3 +45,22 @@ def test_scan_of_one_row_group_is_dealt_out(spark):
     assert len(some) > 1 and max(some) <= 2 * sum(some) / len(some)
     small = tables.driver_table(spark, "/root/testdata/sf0.001", "nation")
     assert small.rdd.getNumPartitions() == 1
+
+
+def test_columns_of_very_different_sizes():
+    """Least squares keeps its digits where the co-moments alone are badly conditioned, and
+    is of minimum norm where columns are dependent."""
+    from tidepanel.operators.models.linear import Moments, solve_moments
+    rng = np.random.default_rng(5)
+    q, d = rng.integers(1, 51, 5000).astype(float), rng.integers(0, 11, 5000) / 100
+    x = np.stack([q, d, q * q, q * d, d * d], axis=1)
+    for names, columns in (("independent", x), ("dependent", np.c_[x[:, :2], x[:, 0]])):
+        y = columns @ np.arange(1.0, columns.shape[1] + 1) * 100 + rng.normal(size=5000)
+        full = np.c_[columns, y]
+        mu = full.mean(axis=0)
+        _, beta = solve_moments(Moments(len(y), mu, (full - mu).T @ (full - mu)))
+        centred = columns - mu[:-1]
+        size = centred.std(axis=0)
+        want = (np.linalg.lstsq(centred / size, y - mu[-1], rcond=None)[0] / size if names == "independent"
+                else np.linalg.lstsq(centred, y - mu[-1], rcond=None)[0])
+        assert np.allclose(beta, want, rtol=1e-8), names

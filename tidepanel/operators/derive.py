@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidepanel.functions import columns as fx
 from tidepanel.operators.windows import entity_window_transform
 from tidepanel.session import bounded_broadcast, cut_lineage
-from tidepanel.spec import PanelSpec
+from tidepanel.spec import PanelSpec, require_columns
 
 # The three-level rise label of the reference
 # (right-closed intervals (-inf, 0], (0, 5], (5, inf)).
@@ -50,6 +50,7 @@ def next_step_change(df: DataFrame, spec: PanelSpec, col: str, *,
     """Next row's value minus the current one; rows without a next value
     are dropped. "Next" is the next row of the entity; gaps are not checked.
     ``pct_col`` adds ``100 * change / current`` (NULL when current is 0)."""
+    require_columns(df, [*spec.keys, col])
     next_col = next_col or f"{col}_next"
     change_col = change_col or f"{col}_change"
     out = lead_value(df, spec, [col], suffix="__n").withColumnRenamed(f"{col}__n", next_col)

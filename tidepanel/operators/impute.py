@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidepanel.operators.quantiles import DEFAULT_ACCURACY, quantile_values
 from tidepanel.operators.windows import entity_window_transform
 from tidepanel.session import cut_lineage
-from tidepanel.spec import PanelSpec
+from tidepanel.spec import PanelSpec, require_columns
 
 
 def _replace(out: DataFrame, original_cols, mapping: dict[str, str]) -> DataFrame:
@@ -63,6 +63,7 @@ def time_series_fill(df: DataFrame, spec: PanelSpec, cols, *, exact: bool = True
     ``coalesce(interpolated, median(interpolated))``. The median is one fitted
     value per column.
     """
+    require_columns(df, [*spec.keys, *cols])
     # the interpolated table is written once to the checkpoint folder: the two
     # median passes and the output read it instead of re-running the windows
     filled = cut_lineage(interpolate_linear(df, spec, cols))

@@ -123,8 +123,13 @@ def moment_stats(df: DataFrame, features, y: str, by: str | None = None, product
     return out
 
 
+INDEPENDENT = 1e-10  # least eigenvalue of independent columns' correlations, of the largest
+
+
 def solve_moments(M: Moments, alpha: float = 0.0) -> tuple[float, np.ndarray]:
-    """(intercept, beta); alpha = 0 -> minimum-norm least squares."""
+    """(intercept, beta); alpha = 0 -> least squares, of minimum norm where the columns
+    are dependent. Independent ones are solved at unit spread: columns of very different
+    sizes (x and x^2, say) cost digits otherwise."""
     d = len(M.mu) - 1
     if M.n <= 0:
         return float("nan"), np.full(d, np.nan)
@@ -132,7 +137,15 @@ def solve_moments(M: Moments, alpha: float = 0.0) -> tuple[float, np.ndarray]:
     if alpha:
         beta = np.linalg.solve(sxx + alpha * np.eye(d), sxy)
     else:
-        beta = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True) @ sxy
+        spread = np.sqrt(np.maximum(np.diag(sxx), 0.0))
+        beta = None
+        if d and (spread > 0).all():
+            unit = sxx / np.outer(spread, spread)
+            sizes = np.linalg.eigvalsh(unit)
+            if sizes[0] > INDEPENDENT * sizes[-1]:
+                beta = np.linalg.solve(unit, sxy / spread) / spread
+        if beta is None:
+            beta = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True) @ sxy
     return float(M.mu[d] - M.mu[:d] @ beta), beta
 
 

@@ -68,4 +68,4 @@ def _load_all():
     # importing the modules registers their queries
     from tidepanel.plans import (  # noqa: F401
         q_clean, q_derive, q_encode, q_impute, q_metrics, q_models, q_profile, q_reshape,
-        q_split, q_workflows)
+        q_split, q_tables, q_workflows)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.operators import split
+from tidepanel.operators import encode, split
 from tidepanel.operators.models import linear
 from tidepanel.plans.catalog import r, register, rounded
 from tidepanel.plans.q_impute import _LI_KEY_SQL, _LI_SPLIT_KEYS
@@ -66,12 +66,12 @@ UNION ALL SELECT 'l_discount', {r('b2')}, {r('abs(b2)')} FROM so
 UNION ALL SELECT '(intercept)', {r('my - b1 * m1 - b2 * m2')}, {r('abs(my - b1 * m1 - b2 * m2)')} FROM so"""
 
 
-def _coef_table(spark, model):
+def _coef_table(spark, model, digits=6):
     c = model.coefficients(spark)
     b0 = model.intercept_in_raw_units()
     icpt = spark.createDataFrame([("(intercept)", b0, abs(b0))],
                                  "feature string, coefficient double, abs_coefficient double")
-    return rounded(c.unionByName(icpt))
+    return rounded(c.unionByName(icpt), digits)
 
 
 @register("linear_gram_stats", f"""WITH {LIN_DATA_SQL},
@@ -122,13 +122,39 @@ def linear_cv_ols(spark, sf):
     return rounded(linear.cross_validate(lin_data(spark, sf), X, Y, "fold", 5))
 
 
-@register("linear_poly2_coefficients")
+def _poly2_sql(digits):
+    """Normal equations of the degree-2 terms, by elimination and back substitution."""
+    column = {X[0]: "x1", X[1]: "x2"}
+    terms = encode.polynomial_terms(X, 2)
+    k = len(terms)
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    ctes = ["tm AS (SELECT " + ", ".join(
+        " * ".join(f"CAST({column[f]} AS DOUBLE)" for f in facs) + f" AS t{i}" for i, (_, facs) in enumerate(terms))
+        + ", CAST(y AS DOUBLE) AS y FROM ld)",
+        "e0 AS (SELECT avg(y) AS my, " + ", ".join(f"avg(t{i}) AS m{i}, covar_pop(t{i}, y) AS s{i}" for i in range(k))
+        + ", " + ", ".join(f"covar_pop(t{i}, t{j}) AS a{i}{j}" for i, j in upper) + " FROM tm)"]
+    for p in range(k - 1):  # the rows below p without term p
+        new = [f"a{i}{j} - a{p}{i} * a{p}{j} / a{p}{p} AS a{i}{j}" for i, j in upper if i > p]
+        new += [f"s{i} - a{p}{i} * s{p} / a{p}{p} AS s{i}" for i in range(p + 1, k)]
+        ctes.append(f"e{p + 1} AS (SELECT * REPLACE ({', '.join(new)}) FROM e{p})")
+    before = f"e{k - 1}"
+    for i in reversed(range(k)):
+        known = "".join(f" - a{i}{j} * b{j}" for j in range(i + 1, k))
+        ctes.append(f"b{i}t AS (SELECT *, (s{i}{known}) / a{i}{i} AS b{i} FROM {before})")
+        before = f"b{i}t"
+    out = [(name, f"b{i}") for i, (name, _) in enumerate(terms)]
+    out.append(("(intercept)", "my" + "".join(f" - b{i} * m{i}" for i in range(k))))
+    return f"WITH {LIN_DATA_SQL},\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS feature, {r(b, digits)} AS coefficient, {r(f'abs({b})', digits)} AS abs_coefficient "
+        f"FROM {before}" for name, b in out)
+
+
+@register("linear_poly2_coefficients", _poly2_sql(3))
 def linear_poly2_coefficients(spark, sf):
-    from tidepanel.operators import encode
     d = encode.polynomial(lin_data(spark, sf), X, 2)
     names = [n for n, _ in encode.polynomial_terms(X, 2)]
     m = linear.fit_linear(d, names, Y)
-    return _coef_table(spark, m)
+    return _coef_table(spark, m, 3)
 
 
 @register("linear_onehot_predictions", """WITH t AS (SELECT o.o_orderkey, n.n_name, o.o_totalprice
@@ -139,7 +165,6 @@ def linear_onehot_predictions(spark, sf):
     """Least squares on the dummies of 25 nations (rank-deficient with the intercept):
     the prediction is the nation's mean. Shown as its distance from the mean of
     all orders: a mean of cents may end in a 5 at any digit, where engines round apart."""
-    from tidepanel.operators import encode
     nation = driver_table(spark, sf, "nation").select("n_nationkey", "n_name")
     t = driver_table(spark, sf, "orders").join(
         driver_table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
@@ -251,7 +276,7 @@ def pca_2d(spark, sf):
 
 # ---- decision trees on the rise-level panel ---------------------------------------
 
-from tidepanel.operators import derive, encode  # noqa: E402
+from tidepanel.operators import derive  # noqa: E402
 from tidepanel.operators.models import tree  # noqa: E402
 from tidepanel.plans.q_derive import LABEL_SQL, NEXT_SQL, next_panel  # noqa: E402
 

@@ -12,6 +12,7 @@ from tidepanel.plans.catalog import r, register, rounded
 from tidepanel.plans.q_clean import PANEL_CLEAN_SQL, clean_panel
 from tidepanel.plans.q_derive import NEXT_SQL, next_panel
 from tidepanel.plans.q_models import rise_panel
+from tidepanel.spec import feature_sets
 
 MARKET_SQL = """po AS (SELECT l_orderkey, count(*) AS k, sum(l_extendedprice) AS s_price, sum(l_discount) AS s_disc,
          sum(l_tax) AS s_tax, sum(l_quantity) AS s_qty, sum(l_extendedprice * (1 - l_discount)) AS s_rev
@@ -43,7 +44,7 @@ def workflow_profile_missing(spark, sf):
     res = W.profile_panel(raw, derive.bin_labels(
         derive.next_step_change(cleaned, B.PANEL_SPEC, "price", pct_col="pct", drop_last=False),
         "pct", "rise_level"), entity="n_name", measure="price", label_col="rise_level",
-        labels=derive.RISE_LABELS)
+        labels=derive.RISE_LABELS, tables=["missing"])
     return res["missing"].where(F.col("column").isin("n_name", "d", "price", "n_orders"))
 
 
@@ -114,12 +115,8 @@ def workflow_next_step_data(spark, sf):
     return rounded(next_step_base(spark, sf))
 
 
-FEATURE_SETS = {
-    "all": ["price", "n_orders", "d_ordinal", "n_name"],
-    "without_n_orders": ["price", "d_ordinal", "n_name"],
-    "without_date": ["price", "n_orders", "n_name"],
-    "without_nation": ["price", "n_orders", "d_ordinal"],
-}
+FEATURE_SETS = feature_sets(["price", "n_orders", "d_ordinal", "n_name"], {
+    "all": [], "without_n_orders": ["n_orders"], "without_date": ["d_ordinal"], "without_nation": ["n_name"]})
 
 
 @register("workflow_next_step_sweep")

@@ -17,31 +17,36 @@ from tidepanel.spec import PanelSpec, numeric_columns
 
 
 def profile_panel(raw: DataFrame, cleaned: DataFrame, *, entity: str, measure: str,
-                  label_col: str, labels, bins: int = 30) -> dict:
+                  label_col: str, labels, bins: int = 30, tables=None) -> dict:
     """Q1: missing values before/after cleaning, description, class counts,
-    histograms, correlations and the per-entity spread of one measure."""
+    histograms, correlations and the per-entity spread of one measure. ``tables``: the
+    names of those to make (all, if None)."""
     num = numeric_columns(cleaned)
-    miss = profile.missing_counts(raw).withColumnRenamed("missing_count", "missing_raw").join(
-        profile.missing_counts(cleaned).withColumnRenamed("missing_count", "missing_cleaned"),
-        "column", "full_outer")
-    return {
-        "missing": miss,
-        "describe_raw": profile.describe_numeric(raw),
-        "class_counts": profile.class_distribution(cleaned, label_col, labels),
-        "histograms": profile.histogram(cleaned, num, bins),
-        "correlations": profile.corr_matrix(cleaned, num),
-        "box_by_entity": profile.five_number(cleaned, measure, [entity], log_scale=True),
+
+    def missing():
+        before, after = (profile.missing_counts(t).withColumnRenamed("missing_count", f"missing_{name}")
+                         for t, name in ((raw, "raw"), (cleaned, "cleaned")))
+        return before.join(after, "column", "full_outer")
+
+    makers = {
+        "missing": missing,
+        "describe_raw": lambda: profile.describe_numeric(raw),
+        "class_counts": lambda: profile.class_distribution(cleaned, label_col, labels),
+        "histograms": lambda: profile.histogram(cleaned, num, bins),
+        "correlations": lambda: profile.corr_matrix(cleaned, num),
+        "box_by_entity": lambda: profile.five_number(cleaned, measure, [entity], log_scale=True),
     }
+    return {name: makers[name]() for name in (makers if tables is None else tables)}
 
 
 def classify(labelled: DataFrame, *, numeric, categorical, label: str, labels, key_cols,
              test_fraction: float = 0.2, grid: dict | None = None) -> dict:
-    """Q2: stratified split, feature plan fitted on train, shared-fit grid
-    search by macro F1 on stratified folds, refit, test report/confusion,
+    """Q2: split and folds stratified with exact counts of every class, feature plan fitted
+    on train, shared-fit grid search by macro F1, refit, test report/confusion,
     importances, node table, CV accuracy of the chosen setting."""
     data = labelled.where(F.col(label).isNotNull())
-    data = split.split_stratified(data, key_cols, label, test_fraction)
-    data = split.stratified_kfold(data, key_cols, label, 5)
+    data = split.split_stratified_exact(data, key_cols, label, test_fraction)
+    data = split.stratified_kfold_exact(data, key_cols, label, 5)
     train = data.where(~F.col("is_test"))
     plan = encode.FeaturePlan(numeric=list(numeric), categorical=list(categorical), imputer="median",
                               scaler=None, keep=[label, "is_test", "fold"])
