@@ -257,3 +257,13 @@ def test_missing_columns_are_named(spark):
         impute.time_series_fill(df, spec, ["v", "w"])
     with pytest.raises(ValueError, match=r"\['t'\]"):
         derive.next_step_change(df, spec, "v")
+
+
+def test_box_without_values_has_all_columns(spark):
+    from tidepanel.operators import profile
+    none = spark.createDataFrame([], "v double")
+    some = spark.createDataFrame([(1.0,), (2.0,)], "v double")
+    for log_scale in (False, True):
+        empty = profile.five_number(none, "v", log_scale=log_scale)
+        assert empty.count() == 0
+        assert empty.columns == profile.five_number(some, "v", log_scale=log_scale).columns

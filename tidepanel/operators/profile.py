@@ -165,12 +165,15 @@ def chain_aggs(cols):
     return out
 
 
+BOX = ("q1", "median", "q3", "whisker_lo", "whisker_hi")
+
+
 def five_number(df: DataFrame, col: str, by=(), *, whis: float = 1.5, where: Column | None = None,
                 exact: bool = True, accuracy: int = DEFAULT_ACCURACY,
                 log_scale: bool = False) -> DataFrame:
     """Per group q1, median, q3, whiskers (most extreme data inside the
     1.5 IQR fences) and the number of fliers. ``log_scale`` adds log10 columns
-    (non-positive -> NULL)."""
+    (non-positive -> NULL). Without groups and without values: no row."""
     by = list(by)
     data = df if where is None else df.where(where)
     data = data.select(*by, F.col(col).cast("double").alias(col)).where(
@@ -190,7 +193,8 @@ def five_number(df: DataFrame, col: str, by=(), *, whis: float = 1.5, where: Col
         if r is None:
             return df.sparkSession.createDataFrame(
                 [], "q1 double, median double, q3 double, whisker_lo double, "
-                    "whisker_hi double, n_fliers bigint, n bigint")
+                    "whisker_hi double, n_fliers bigint, n bigint" + "".join(
+                        f", log10_{c} double" for c in BOX if log_scale))
         joined = data.withColumns({k: F.lit(r[k]).cast("double") for k in
                                    ["q1", "median", "q3", "lo_fence", "hi_fence"]})
     x = F.col(col)
@@ -201,7 +205,7 @@ def five_number(df: DataFrame, col: str, by=(), *, whis: float = 1.5, where: Col
         F.count_if((x < F.col("lo_fence")) | (x > F.col("hi_fence"))).alias("n_fliers"),
         F.count(F.lit(1)).alias("n"))
     if log_scale:
-        for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]:
+        for c in BOX:
             agg = agg.withColumn(f"log10_{c}", F.when(F.col(c) > 0, F.log10(c)))
     return agg
 

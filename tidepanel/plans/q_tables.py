@@ -99,9 +99,9 @@ q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quan
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT {r('any_value(q1)')} AS q1, {r('any_value(median)')} AS median, {r('any_value(q3)')} AS q3,
   min(CASE WHEN x >= lo THEN x END) AS whisker_lo, max(CASE WHEN x <= hi THEN x END) AS whisker_hi,
-  count_if(x < lo OR x > hi) AS n_fliers, count(*) AS n FROM k, f""")
+  count_if(x < lo OR x > hi) AS n_fliers, count(*) AS n FROM k, f HAVING count(*) > 0""")
 def frame_positive_box(spark, sf):
-    """the box of the rows beyond a threshold."""
+    """the box of the rows beyond a threshold; no row where there are none."""
     return rounded(profile.five_number(clean_panel(spark, sf), "n_orders", where=F.col("n_orders") > 2))
 
 
