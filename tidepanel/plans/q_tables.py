@@ -145,7 +145,11 @@ FLAGS = ["A", "N", "R"]
 
 
 def _tree_sql():
-    """Exhaustive search of the split with the least Gini impurity, at the root and in both children."""
+    """Exhaustive search of the split with the least Gini impurity, at the root and in both
+    children. A split all of whose leaves predict the same class is no split of the result:
+    the fit merges such leaves."""
+    major = ["CASE WHEN {0}A >= {0}N AND {0}A >= {0}R THEN 'A' WHEN {0}N >= {0}R THEN 'N' ELSE 'R' END".format(s)
+             for s in "lr"]
     value = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(TREE_X)) + " END"
     left, right = ("+".join(f"{s}{y} * {s}{y}" for y in FLAGS) for s in "lr")
     n_left, n_right = ("(" + " + ".join(f"{s}{y}" for y in FLAGS) + ")" for s in "lr")
@@ -161,7 +165,7 @@ def _tree_sql():
   1 - ({' + '.join(f'(l{y} + r{y}) ^ 2' for y in FLAGS)}) / ({n_left} + {n_right}) ^ 2 AS impurity,
   1 - (({left}) / {n_left} + ({right}) / {n_right}) / ({n_left} + {n_right}) AS after
   FROM {name}c WHERE up IS NOT NULL),
-{name}b AS (SELECT f, (v + up) / 2 AS t, n, impurity FROM {name}g WHERE impurity - after > 1e-12
+{name}b AS (SELECT f, (v + up) / 2 AS t, n, impurity, {major[0]} <> {major[1]} AS tells FROM {name}g WHERE impurity - after > 1e-12
   ORDER BY after, f, v LIMIT 1)"""
 
     names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(TREE_X)) + " END"
@@ -174,7 +178,9 @@ hi AS (SELECT b.* FROM b, pb WHERE {value} > t),
 {search('q', 'lo')},
 {search('s', 'hi')}
 """ + S.union_all([f"""SELECT CAST({d} AS INTEGER) AS depth, {names} AS feature, {r('t')} AS threshold,
-  CAST(n AS BIGINT) AS n_samples, {r('impurity')} AS impurity FROM {t}""" for d, t in ((0, "pb"), (1, "qb"), (1, "sb"))])
+  CAST(n AS BIGINT) AS n_samples, {r('impurity')} AS impurity FROM {t} WHERE tells{also}"""
+                         for d, t, also in ((0, "pb", " OR (SELECT bool_or(tells) FROM (FROM qb UNION ALL FROM sb))"),
+                                            (1, "qb", ""), (1, "sb", ""))])
 
 
 @register("tree_depth2_splits", _tree_sql())
