@@ -22,3 +22,24 @@ def test_backward_fills_read_every_row_once(spark):
         out = fill(df, spec, ["v"])
         assert "unboundedfollowing" not in plan_of(out)
         assert [r["v"] for r in out.orderBy("t").collect()] == wanted
+
+
+def test_hashes_of_a_row_are_made_once(spark, tmpdir_path):
+    # pushed below a projection, a filter on the cleaned columns repeated their hashes
+    from tidepanel.plans import bindings as B
+    from tidepanel.plans import q_models
+    rows = [(i, i % 7, i % 5, i % 3, float(i % 50), 100.0 + i, i % 10 / 100, 0.02, i) for i in range(400)]
+    rows += [(None, 1, 1, 1, 5.0, None, 0.1, None, 1), rows[0]]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                          "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                          "day int").withColumn("l_shipdate", F.date_add(F.lit("2024-01-01").cast("date"), "day")
+                                                ).drop("day").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    data = q_models.lin_data(spark, tmpdir_path)
+    read = data.where(~F.col("is_test")).select(*q_models.X, q_models.Y)
+    assert plan_of(read).count("md5(") == 4  # three measures and the split
+    li = spark.read.parquet(f"{tmpdir_path}/lineitem.parquet")
+    plain = li.withColumns({c: B.inject_dirty(c, F.concat(B._lineitem_key(), F.lit(":" + c)), s)
+                            for c, s in B.LINEITEM_SENTINELS.items()})
+    got = B.dirty_lineitem(spark, tmpdir_path)
+    assert got.columns == plain.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))

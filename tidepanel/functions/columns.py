@@ -6,7 +6,7 @@ that it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,14 @@ def date_as_int(c) -> Column:
     return F.date_format(_c(c), "yyyyMMdd").cast("int")
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns``, each evaluated once a row. A filter on a projected column
+    is pushed below the projection and repeats its expression, several times where a
+    condition names it several times; it is not pushed below a generator."""
+    made = F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select("*", made)
+
+
 def hash_unit(key) -> Column:
     """Deterministic 32-bit integer of a text key: first 8 hex digits of md5.
 

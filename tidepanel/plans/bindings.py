@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.functions.columns import hash_bucket
+from tidepanel.functions.columns import computed_once, hash_bucket
 from tidepanel.session import bounded_broadcast
 from tidepanel.sources.tables import driver_table
 from tidepanel.spec import PanelSpec
@@ -36,7 +36,11 @@ LINEITEM_SENTINELS = {"l_quantity": SENTINEL, "l_extendedprice": SENTINEL,
 
 
 def inject_dirty(col: str, key: Column, sentinel: float = SENTINEL) -> Column:
-    b = hash_bucket(key, 100)
+    return dirty_by(col, hash_bucket(key, 100), sentinel)
+
+
+def dirty_by(col: str, b: Column, sentinel: float = SENTINEL) -> Column:
+    """The value of `col` in a row of hash bucket `b`."""
     return (F.when(b < NULL_BUCKETS, F.lit(None).cast("double"))
             .when(b < NULL_BUCKETS + SENTINEL_BUCKETS, F.lit(float(sentinel)))
             .otherwise(F.col(col).cast("double")))
@@ -75,13 +79,17 @@ def _lineitem_key() -> Column:
                               ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 
-def dirty_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row-level lineitem with NULLs and sentinels in the four measures."""
-    li = driver_table(spark, sf_dir, "lineitem")
+def dirty_lineitem(spark: SparkSession, sf_dir: str, measures=LINEITEM_MEASURES) -> DataFrame:
+    """Row-level lineitem with NULLs and sentinels in its measures; without those of the
+    four that are not among ``measures``."""
+    li = driver_table(spark, sf_dir, "lineitem").drop(
+        *[c for c in LINEITEM_MEASURES if c not in measures])
     key = _lineitem_key()
-    return li.withColumns({
-        c: inject_dirty(c, F.concat(key, F.lit(":" + c)), LINEITEM_SENTINELS[c])
-        for c in LINEITEM_MEASURES})
+    rows = computed_once(li, {f"_bucket_{c}": hash_bucket(F.concat(key, F.lit(":" + c)), 100)
+                              for c in measures})
+    return rows.withColumns({
+        c: dirty_by(c, F.col(f"_bucket_{c}"), LINEITEM_SENTINELS[c])
+        for c in measures}).drop(*[f"_bucket_{c}" for c in measures])
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ ld AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
 
 
 def lin_data(spark, sf):
-    d = clean_lineitem(spark, sf).select(*LI_KEYS, *X, Y)
+    d = clean_lineitem(spark, sf, [*X, Y]).select(*LI_KEYS, *X, Y)
     d = d.where(F.col(X[0]).isNotNull() & F.col(X[1]).isNotNull() & F.col(Y).isNotNull())
     d = split.kfold(d, _LI_SPLIT_KEYS, 5)
     return split.split_random(d, _LI_SPLIT_KEYS, 0.2)

@@ -18,8 +18,9 @@ MEAS = list(B.LINEITEM_MEASURES)
 CORR_COLS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
 
 
-def clean_lineitem(spark, sf):
-    return clean.sentinel_to_null(B.dirty_lineitem(spark, sf), B.LINEITEM_SENTINELS)
+def clean_lineitem(spark, sf, measures=B.LINEITEM_MEASURES):
+    return clean.sentinel_to_null(B.dirty_lineitem(spark, sf, measures),
+                                  {c: B.LINEITEM_SENTINELS[c] for c in measures})
 
 
 # ---- minimum slice: panel -> dirty -> C1 -> I3 -> D6 -> D7 -> P12 ----------
