@@ -43,3 +43,32 @@ def test_hashes_of_a_row_are_made_once(spark, tmpdir_path):
     got = B.dirty_lineitem(spark, tmpdir_path)
     assert got.columns == plain.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+
+
+@pytest.mark.parametrize("most", [10, 1])
+def test_holders_of_set_aside_kmers_are_counted_per_text(spark, monkeypatch, most):
+    # a join made a row for every probe of every member of a large group
+    from tidepanel.llm import near_copies
+    monkeypatch.setattr(near_copies, "MOST_ASIDE", most)
+    rows = [(1, [-5, 2, 3, 4, 9]), (2, [2, 3, 4]), (3, []), (4, [2, 3]), (4, [4, 9]), (5, [7, 8])]
+    nodes = spark.createDataFrame(rows, "id long, probes array<long>")
+    aside = spark.createDataFrame([(-5,), (2,), (3,), (4,), (9,)], "kmer long")
+    found = near_copies.holders_of(nodes, aside)
+    assert sorted(r["id"] for r in found.collect()) == [1, 4]
+    if most > 1:
+        assert "leftsemi" not in plan_of(found)
+
+
+def test_memory_of_sketches_is_bounded():
+    import tracemalloc
+    from tidepanel.llm import near_copies
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 2 ** 63, 100_000, dtype=np.uint64)
+    m = rng.integers(0, 2 ** 63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    tracemalloc.start()
+    keys = near_copies.sketch_keys(h, m, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6
+    one_by_one = [near_copies.sketch_keys(h, m[i:i + 1], 3)[0] for i in range(len(m))]
+    assert keys.tolist() == one_by_one

@@ -66,7 +66,7 @@ SIMILARITY = 0.8
 MOST_BROADCAST_IDS = 1_000_000
 MOST_ASIDE = 1_000_000   # k-mers set aside that are sent to all tasks; more are joined
 MIX = np.uint64(0x9E3779B97F4A7C15)
-CELLS = 1 << 21
+CELLS = 1 << 18          # hashes of a text held at once: a few arrays of 2 MB in a Python worker
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -279,6 +279,32 @@ def are_aside(kmers_of: DataFrame, aside: DataFrame, salts: int = 16) -> DataFra
         ["kmer", "salt"], "left_semi").drop("salt")
 
 
+def holders_of(nodes: DataFrame, kmers_: DataFrame) -> DataFrame:
+    """id of the `nodes` that have at least HELD of the k-mers `kmers_` (column kmer) among
+    their probes. Counted inside the batches: a row per node, not one per probe."""
+    if kmers_.limit(MOST_ASIDE + 1).count() <= MOST_ASIDE:
+        known = np.sort(kmers_.toArrow().column("kmer").to_numpy())
+
+        def counted(batches):
+            for batch in batches:
+                n = np.zeros(batch.num_rows, dtype=np.int64)
+                probes = batch.column("probes")
+                if len(known):
+                    at = np.repeat(np.arange(len(n)), np.diff(probes.offsets.to_numpy()))
+                    flat = probes.flatten().to_numpy(zero_copy_only=False)
+                    hit = known[np.minimum(np.searchsorted(known, flat), len(known) - 1)] == flat
+                    n += np.bincount(at[hit], minlength=len(n))
+                some = pa.array(n > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").filter(some), pa.array(n).filter(some)], names=["id", "n"])
+
+        counts = nodes.select("id", "probes").mapInArrow(counted, "id long, n long")
+    else:
+        counts = are_aside(nodes.select("id", F.explode("probes").alias("kmer")), kmers_).select(
+            "id", F.lit(1).alias("n"))
+    return counts.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= HELD).select("id")
+
+
 def keys_without(docs: DataFrame, aside: DataFrame) -> DataFrame:
     """doc_id, digest, keys of what is left of `docs` (of `only`) without the k-mers `aside`."""
     rows = docs.select("doc_id", "digest", word_hashes().alias("words"))
@@ -369,9 +395,7 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
             (more if aside is None else more.unionAll(aside)).distinct(), "aside")
         members = salted_join(found.drop("rows", "leader"), open_.select("key", "held"), "key", "id",
                               2000, "held").select("id").union(open_.select("leader"))
-        holders = (are_aside(nodes.select("id", F.explode("probes").alias("kmer")), more)
-                   .groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HELD))
-        members = members.union(holders.select("id")).distinct()
+        members = members.union(holders_of(nodes, more)).distinct()
         again = materialize(nodes.select("id", "digest").join(members, "id", "left_semi"), "again")
         over = play if play is not nodes else None
         play = materialize(keys_without(only(docs, again), aside).withColumnRenamed("doc_id", "id"),
