@@ -506,3 +506,24 @@ def test_files_keep_bytes(shipped, tmpdir_path):
     binary_files.write_files(shipped.range(1).coalesce(1), make, path, "\n")
     got = shipped.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
     assert b"".join(bytes(r.content) for r in got) == b"".join(b + b"\n" for b in blocks)
+
+
+def test_every_round_reads_the_documents_once(shipped, monkeypatch):
+    """The texts of a round served one step each: up to three scans of all documents."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{i}" for i in range(150)]
+    docs = []
+    for i in range(12):
+        own = [f"a{i}x{j}" for j in rng.permutation(45)]
+        docs.append((2 * i, " ".join([*passage, *own])))
+        docs.append((2 * i + 1, " ".join([*passage, *[f"{w}y" for w in own[:36]], *own[36:]])))
+    docs.append((2, docs[2][1].upper()))  # a row twice, one text in two spellings
+    calls = {"only": 0, "candidates": 0}
+    for name in calls:
+        def counted(*a, name=name, real=getattr(near_copies, name)):
+            calls[name] += 1
+            return real(*a)
+        monkeypatch.setattr(near_copies, name, counted)
+    rows = {r.doc_id: r.class_id for r in near_copies.near_classes(frame(shipped, docs)).collect()}
+    assert rows == {i: i - i % 2 for i, _ in docs}
+    assert calls["candidates"] > 1 and calls["only"] == calls["candidates"]

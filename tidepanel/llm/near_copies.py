@@ -269,6 +269,13 @@ def only(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             .groupBy("doc_id", "digest").agg(F.min("text").alias("text")))
 
 
+def bodies_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """doc_id, digest, words of the nodes (id, digest), written once: a round reads the texts
+    here, and `docs` is scanned once a round."""
+    return materialize(only(docs, nodes).select("doc_id", "digest", word_hashes().alias("words")),
+                       "bodies")
+
+
 def are_aside(kmers_of: DataFrame, aside: DataFrame, salts: int = 16) -> DataFrame:
     """The rows of `kmers_of` (doc_id or id, kmer) whose k-mer is one of `aside`."""
     if aside.limit(MOST_ASIDE + 1).count() <= MOST_ASIDE:
@@ -306,8 +313,11 @@ def holders_of(nodes: DataFrame, kmers_: DataFrame) -> DataFrame:
 
 
 def keys_without(docs: DataFrame, aside: DataFrame) -> DataFrame:
-    """doc_id, digest, keys of what is left of `docs` (of `only`) without the k-mers `aside`."""
-    rows = docs.select("doc_id", "digest", word_hashes().alias("words"))
+    """doc_id, digest, keys of what is left of `docs` (of `only` or `bodies_of`) without the
+    k-mers `aside`."""
+    rows = docs
+    if "words" not in docs.columns:
+        rows = docs.select("doc_id", "digest", word_hashes().alias("words"))
     if aside.limit(MOST_ASIDE + 1).count() <= MOST_ASIDE:
         known = np.sort(aside.toArrow().column("kmer").to_numpy().view(np.uint64))
         return per_text(rows, {"keys": lambda words: left_of(words, known)})
@@ -329,19 +339,18 @@ def candidates(rows: DataFrame) -> DataFrame:
         F.col("id") != F.col("leader"))
 
 
-def on_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, column: str, kind: str,
-             judge) -> DataFrame:
-    """`pairs` (id, leader) with `judge(words of id, words of leader)` as `column`."""
+def on_pairs(pairs: DataFrame, bodies: DataFrame, column: str, kind: str, judge) -> DataFrame:
+    """`pairs` (id, leader) with `judge(words of id, words of leader)` as `column`; `bodies`
+    (of `bodies_of`) holds all their texts."""
     ids = pairs.select("id").union(pairs.select("leader")).distinct()
-    bodies = materialize(
-        only(docs, nodes.select("id", "digest").join(ids, "id", "left_semi"))
-        .select("doc_id", word_hashes().alias("body")), "bodies")
+    bodies = bodies.select(F.col("doc_id").alias("id"), F.col("words").alias("body"))
+    if ids.limit(MOST_BROADCAST_IDS + 1).count() <= MOST_BROADCAST_IDS:
+        bodies = bodies.join(F.broadcast(ids), "id", "left_semi")
     counts = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"))
     leaders = materialize(
-        bodies.withColumnsRenamed({"doc_id": "leader", "body": "other"}).join(counts, "leader"),
+        bodies.withColumnsRenamed({"id": "leader", "body": "other"}).join(counts, "leader"),
         "leaders")
-    both = salted_join(pairs, leaders, "leader", "id", 500, "rows").join(
-        bodies.withColumnRenamed("doc_id", "id"), "id")
+    both = salted_join(pairs, leaders, "leader", "id", 500, "rows").join(bodies, "id")
     schema = pa.bool_() if kind == "boolean" else pa.list_(pa.int64())
 
     def judged(batches):
@@ -354,7 +363,7 @@ def on_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, column: str, k
 
     done = materialize(both.select("id", "leader", "body", "other").mapInArrow(
         judged, f"id long, leader long, {column} {kind}"), f"pairs-{column}")
-    forget(bodies, leaders)
+    forget(leaders)
     return done
 
 
@@ -368,7 +377,7 @@ def shared_kmers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(id, leader) of near copies between classes."""
-    play, tried, aside = nodes, None, None
+    play, tried, aside, bodies = nodes, None, None, None
     while True:
         found = materialize(
             candidates(play.select("id", F.explode("keys").alias("key"))), "candidates")
@@ -376,8 +385,11 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
         if tried is not None:
             pairs = pairs.join(tried.select("id", "leader"), ["id", "leader"], "left_anti")
         pairs = materialize(pairs, "pairs")
+        if bodies is None:  # of the first round; the others bring theirs along
+            ids = pairs.select("id").union(pairs.select("leader")).distinct()
+            bodies = bodies_of(docs, nodes.select("id", "digest").join(ids, "id", "left_semi"))
         if tried is None or pairs.limit(1).count():
-            new = on_pairs(pairs, docs, nodes, "linked", "boolean",
+            new = on_pairs(pairs, bodies, "linked", "boolean",
                            lambda a, b: near(a, b, similarity))
             tried = new if tried is None else tried.unionAll(new)
         # open: buckets of three or more with a comparison that failed; one stands for all
@@ -388,8 +400,9 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
                 F.max("rows").alias("held")), "open")
         one_each = materialize(open_.select("id", "leader").distinct(), "open-pairs")
         if not one_each.limit(1).count():
+            forget(bodies)
             return tried.where("linked").select("id", "leader")
-        shared = on_pairs(one_each, docs, nodes, "shared", "array<long>", shared_kmers)
+        shared = on_pairs(one_each, bodies, "shared", "array<long>", shared_kmers)
         more = materialize(shared.select(F.explode("shared").alias("kmer")).distinct(), "more")
         before, aside = aside, materialize(
             (more if aside is None else more.unionAll(aside)).distinct(), "aside")
@@ -398,8 +411,9 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
         members = members.union(holders_of(nodes, more)).distinct()
         again = materialize(nodes.select("id", "digest").join(members, "id", "left_semi"), "again")
         over = play if play is not nodes else None
-        play = materialize(keys_without(only(docs, again), aside).withColumnRenamed("doc_id", "id"),
-                           "keys-left")
+        forget(bodies)
+        bodies = bodies_of(docs, again)
+        play = materialize(keys_without(bodies, aside).withColumnRenamed("doc_id", "id"), "keys-left")
         forget(found, pairs, open_, one_each, shared, more, before, again, over)
 
 
