@@ -1,9 +1,10 @@
 """K-means, assignment, sweeps and PCA.
 
 Fits run Lloyd iterations where one pass over the cached data advances every
-(k, restart) model at once (numpy inside ``mapInArrow`` tasks, partial sums
-reduced by a group-by); seeding is k-means|| over all rows, likewise for all
-models at once. Only centres move between driver and executors.
+(k, restart) model at once (numpy inside ``mapInArrow`` tasks over rows cached
+as matrix blocks, one vector of partial sums a task); seeding is k-means|| over
+all rows, likewise for all models at once. Only centres and sums move between
+driver and executors.
 """
 
 from __future__ import annotations
@@ -123,11 +124,83 @@ def _sq_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return np.maximum((X * X).sum(1)[:, None] - 2.0 * (X @ C.T) + (C * C).sum(1)[None, :], 0.0)
 
 
+BLOCK = ["n", "x"]  # columns of a packed block: its rows, and their values as float64
+BLOCK_ROWS = 1024
+CACHE_CELLS = 200_000  # distances made at a time, so that they stay in a core's cache
+
+
+def _packed(vec: DataFrame, array_col: str) -> DataFrame:
+    """The rows of the array column as persisted matrix blocks, dealt evenly to at
+    least as many partitions, whole rounds of the cores: the passes of a fit send
+    Python whole blocks, not values."""
+    def pack(batches):
+        for batch in batches:
+            column = batch.column(0)
+            if len(column):
+                X = column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(
+                    len(column), -1)
+                parts = [X[at:at + BLOCK_ROWS] for at in range(0, len(X), BLOCK_ROWS)]
+                yield pa.RecordBatch.from_pydict({
+                    "n": pa.array([len(x) for x in parts], pa.int32()),
+                    "x": pa.array([x.tobytes() for x in parts], pa.binary())})
+
+    cores = max(1, default_parallelism(vec.sparkSession))
+    return vec.select(array_col).mapInArrow(pack, "n int, x binary").repartition(
+        -(-vec.rdd.getNumPartitions() // cores) * cores or cores).persist()
+
+
+def _matrices(batches):
+    """Packed blocks as float matrices."""
+    for batch in batches:
+        for n, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            yield np.frombuffer(x.as_buffer(), dtype="float64").reshape(n, -1)
+
+
+def _added(blocks: DataFrame, fn, tasks: int) -> np.ndarray:
+    """The float vectors that ``fn`` makes of the matrices of each task, added up; of
+    many tasks Spark adds them first, so that few vectors reach the driver."""
+    def run(batches):
+        yield pa.RecordBatch.from_pydict({"s": pa.array([fn(_matrices(batches)).tobytes()], pa.binary())})
+
+    def add(batches):
+        vectors = (np.frombuffer(x.as_buffer()) for batch in batches for x in batch.column(0))
+        total = next(vectors, None)
+        if total is not None:
+            for x in vectors:
+                total = total + x
+            yield pa.RecordBatch.from_pydict({"s": pa.array([total.tobytes()], pa.binary())})
+
+    parts = blocks.mapInArrow(run, "s binary")
+    if tasks > FEW_PARTS:
+        parts = parts.repartition(FEW_PARTS).mapInArrow(add, "s binary")
+    return sum(np.frombuffer(x.as_buffer()) for x in parts.toArrow().column("s"))
+
+
+def _cells(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Squared distances, a row for each centre, of rows and centres that are centred
+    alike: a centre's distances lie side by side, so that minima run over whole rows."""
+    d = (-2.0 * C) @ X.T
+    d += (X * X).sum(1)
+    d += (C * C).sum(1)[:, None]
+    return np.maximum(d, 0.0, out=d)
+
+
+def _mark_nearest(d: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Writes 1 into ``out`` at the nearest centre (first axis; ties: the first), else 0.
+    Returns the least distances."""
+    least = d.min(0)
+    np.copyto(out, d == least)
+    if (out.sum(0) != 1.0).any():  # ties, or no number
+        out[...] = 0.0
+        np.put_along_axis(out, d.argmin(0)[None], 1.0, 0)
+    return least
+
+
 def _uniform(X: np.ndarray, salt: int) -> np.ndarray:
     """A number in [0, 1) for each row, from its values and ``salt`` only: the same on
     a repeated task."""
     h = np.full(len(X), (salt * 2 + 1) * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
-    for column in np.ascontiguousarray(X).view(np.uint64).T:
+    for column in np.ascontiguousarray(np.ascontiguousarray(X).view(np.uint64).T):
         h = (h ^ column) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
@@ -154,9 +227,9 @@ def _weighted_plus_plus(X: np.ndarray, weight: np.ndarray, k: int, rng) -> np.nd
     return X[chosen]
 
 
-def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
+def seed_centres(blocks: DataFrame, configs, *, rounds: int = 5,
                  more_rounds: int = 20) -> dict[int, np.ndarray]:
-    """k-means|| for all (k, seed) models at once, over every row.
+    """k-means|| for all (k, seed) models at once, over every row of the packed blocks.
 
     Each round is one pass: a row joins a model's candidates with probability
     2 k d^2 / cost, cost being the model's last known one, so about 2 k rows a
@@ -166,23 +239,25 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
     distinct rows gets as many centres as there are.
     """
     models = range(len(configs))
+    seeds = sorted({seed for _, seed in configs})  # rows are drawn by seed: models of one share the numbers
 
     def first(batches):
         import pandas as pd
         best = {}
-        for X in _blocks(batches, len(configs)):
-            for m in models:
-                u = _uniform(X, 1000 * configs[m][1])
+        for X in _matrices(batches):
+            for seed in seeds:
+                u = _uniform(X, 1000 * seed)
                 i = int(u.argmin())
-                if m not in best or u[i] < best[m][0]:
-                    best[m] = (float(u[i]), X[i].tolist())
-        yield pd.DataFrame([(m, u, x) for m, (u, x) in best.items()], columns=["m", "u", "x"])
-
-    rows = (_mapped(vec, array_col, first, "m int, u double, x array<double>")
-            .groupBy("m").agg(F.min_by("x", "u").alias("x")).collect())
-    candidates = {r["m"]: np.array([r["x"]]) for r in rows}
-    if not candidates:
+                if seed not in best or u[i] < best[seed][0]:
+                    best[seed] = (float(u[i]), X[i].tolist())
+        yield pd.DataFrame([(seed, u, x) for seed, (u, x) in best.items()], columns=["seed", "u", "x"])
+
+    rows = (_mapped(blocks, BLOCK, first, "seed long, u double, x array<double>")
+            .groupBy("seed").agg(F.min_by("x", "u").alias("x")).collect())
+    start = {r["seed"]: np.array([r["x"]]) for r in rows}
+    if not start:
         return {}
+    candidates = {m: start[configs[m][1]] for m in models}
     cost = {m: float("inf") for m in candidates}
     for number in range(rounds + more_rounds + 1):
         short = [m for m in candidates if cost[m] > 0 and (
@@ -194,25 +269,27 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
             import pandas as pd
             total, picked = dict.fromkeys(short, 0.0), []
             stacked = np.concatenate([have[m] for m in short])
-            ends = np.cumsum([0] + [len(have[m]) for m in short])
-            for X in _blocks(batches, len(stacked)):
-                d = _sq_distances(X, stacked)
-                middle = stacked.mean(0)
-                noise = 16 * X.shape[1] * np.finfo("float64").eps * (
-                    ((X - middle) ** 2).sum(1) + ((stacked - middle) ** 2).sum(1).max())
-                for t, m in enumerate(short):
-                    near = d[:, ends[t]:ends[t + 1]].min(axis=1)
+            middle = stacked.mean(0)
+            farthest = ((stacked - middle) ** 2).sum(1).max()
+            for X in _matrices(batches):
+                Y = X - middle
+                noise = 16 * X.shape[1] * np.finfo("float64").eps * ((Y ** 2).sum(1) + farthest)
+                u = {seed: _uniform(X, 1000 * seed + number) for seed in {configs[m][1] for m in short}}
+                for m in short:
+                    C = have[m] - middle
+                    step = max(1, CACHE_CELLS // len(C))
+                    near = np.concatenate([_cells(Y[at:at + step], C).min(0)
+                                           for at in range(0, len(Y), step)])
                     near[near < noise] = 0.0  # rounding, not distance
                     total[m] += float(near.sum())
                     if np.isfinite(cost[m]):
                         k, seed = configs[m]
-                        u = _uniform(X, 1000 * seed + number)
-                        for i in np.flatnonzero(u < 2.0 * k * near / cost[m]):
+                        for i in np.flatnonzero(u[seed] < 2.0 * k * near / cost[m]):
                             picked.append((m, 0.0, X[i].tolist()))
             yield pd.DataFrame([(m, c, None) for m, c in total.items()] + picked,
                                columns=["m", "cost", "x"])
 
-        got = _mapped(vec, array_col, sample, "m int, cost double, x array<double>")
+        got = _mapped(blocks, BLOCK, sample, "m int, cost double, x array<double>")
         # one cost a model, and about 2 k rows of it
         for r in got.groupBy("m").agg(F.sum("cost").alias("cost"),
                                       F.collect_set("x").alias("x")).collect():
@@ -223,81 +300,101 @@ def seed_centres(vec: DataFrame, array_col: str, configs, *, rounds: int = 5,
     stacked = np.concatenate([candidates[m] for m in models])
     ends = np.cumsum([0] + [len(candidates[m]) for m in models])
 
-    def nearest(batches):
-        import pandas as pd
-        n = np.zeros(len(stacked), dtype=np.int64)
-        for X in _blocks(batches, len(stacked)):
-            d = _sq_distances(X, stacked)
+    def nearest(matrices):
+        n, middle = np.zeros(len(stacked)), stacked.mean(0)
+        for X in matrices:
+            Y = X - middle
             for m in models:
-                at = d[:, ends[m]:ends[m + 1]].argmin(axis=1)
-                n[ends[m]:ends[m + 1]] += np.bincount(at, minlength=ends[m + 1] - ends[m])
-        yield pd.DataFrame({"c": np.arange(len(n)), "n": n})
-
-    weight = np.zeros(len(stacked))
-    for r in _mapped(vec, array_col, nearest, "c int, n long").groupBy("c").agg(
-            F.sum("n").alias("n")).collect():
-        weight[r["c"]] = r["n"]
+                C = stacked[ends[m]:ends[m + 1]] - middle
+                step = max(1, CACHE_CELLS // len(C))
+                for at in range(0, len(Y), step):
+                    d = _cells(Y[at:at + step], C)
+                    mark = np.empty(d.shape)
+                    _mark_nearest(d, mark)
+                    n[ends[m]:ends[m + 1]] += mark.sum(1)
+        return n
+
+    weight = _added(blocks, nearest, blocks.rdd.getNumPartitions())
     return {m: _weighted_plus_plus(candidates[m], weight[ends[m]:ends[m + 1]] + 1e-12, configs[m][0],
                                    np.random.RandomState(configs[m][1])) for m in models}
 
 
+def _lloyd_sums(blocks: DataFrame, current: dict[int, np.ndarray], tasks: int):
+    """One pass over all rows: for every model its rows and sums per centre, and its cost.
+
+    Models of as many centres are stacked centre by centre, so that one minimum
+    serves all of them."""
+    dim = next(iter(current.values())).shape[1]
+    middle = np.concatenate(list(current.values())).mean(0)
+    groups: dict[int, list[int]] = {}
+    for m, C in current.items():
+        groups.setdefault(len(C), []).append(m)
+    stacked = np.concatenate([np.stack([current[m] for m in ms], 1).reshape(-1, dim)
+                              for ms in groups.values()])
+    sizes, all_models = [(k, len(ms)) for k, ms in groups.items()], len(current)
+
+    def partial(matrices):
+        n, sums, costs = np.zeros(len(stacked)), np.zeros_like(stacked), np.zeros(all_models)
+        C, step = stacked - middle, max(1, CACHE_CELLS // len(stacked))
+        for X in matrices:
+            for at in range(0, len(X), step):
+                rows = X[at:at + step]
+                d = _cells(rows - middle, C)
+                mark, done, models = np.empty(d.shape), 0, 0
+                for k, many in sizes:
+                    here, shape = slice(done, done + k * many), (k, many, len(rows))
+                    least = _mark_nearest(d[here].reshape(shape), mark[here].reshape(shape))
+                    costs[models:models + many] += least.sum(1)
+                    done, models = done + k * many, models + many
+                n += mark.sum(1)
+                sums += mark @ rows
+        return np.concatenate([n, sums.ravel(), costs])
+
+    got = _added(blocks, partial, tasks)
+    n, costs = got[:len(stacked)], got[-all_models:]
+    sums, done, models, out = got[len(stacked):-all_models].reshape(-1, dim), 0, 0, {}
+    for k, ms in groups.items():
+        here = slice(done, done + k * len(ms))
+        counts, totals = n[here].reshape(k, -1), sums[here].reshape(k, -1, dim)
+        for i, m in enumerate(ms):
+            out[m] = counts[:, i], totals[:, i], float(costs[models + i])
+        done, models = done + k * len(ms), models + len(ms)
+    return out
+
+
 def batched_lloyd(vec: DataFrame, array_col: str, configs, *, max_iter: int = 300,
                   tol: float = 1e-4, start: dict[int, np.ndarray] | None = None) -> list[KMeansResult]:
     """Lloyd iterations for many (k, seed) models at once.
 
-    Each iteration is one pass over the (cached) data: every task assigns its
-    rows to the nearest centre of every active model with numpy and emits
-    partial sums per (model, cluster), which are added per dimension; only the
-    new centres reach the driver. Convergence per model: squared centre shift
+    Each iteration is one pass over the rows, cached as matrix blocks: every task
+    assigns its rows to the nearest centre of every active model with numpy and
+    emits one vector of partial sums per (model, cluster), which are added; only
+    the sums reach the driver. Convergence per model: squared centre shift
     <= tol x mean feature variance over all rows; empty clusters keep their
     centre. ``start`` gives the first centres instead of ``seed_centres``. A
     result's ``k`` is the number of its centres.
     """
-    centres = dict(start) if start is not None else seed_centres(vec, array_col, configs)
-    if not centres:
-        return []
-    dim = next(iter(centres.values())).shape[1]
-    spread = vec.agg(*[F.var_pop(F.col(array_col)[i]) for i in range(dim)]).first()
-    limit = tol * float(np.mean([v or 0.0 for v in spread]))
-    active, tasks = set(centres), vec.rdd.getNumPartitions()
-    cost = {m: float("nan") for m in centres}
-    for _ in range(max_iter):
-        if not active:
-            break
-        current = {m: centres[m] for m in sorted(active)}
-
-        def partial(batches, current=current):
-            import pandas as pd
-            ids = list(current)
-            stacked = np.concatenate([current[m] for m in ids])
-            ends = np.cumsum([0] + [len(current[m]) for m in ids])
-            n, sums, costs = np.zeros(len(stacked)), np.zeros_like(stacked), np.zeros(len(stacked))
-            for X in _blocks(batches, len(stacked)):
-                d = _sq_distances(X, stacked)
-                rows = np.arange(len(X))
-                for t in range(len(ids)):
-                    part, here = d[:, ends[t]:ends[t + 1]], slice(ends[t], ends[t + 1])
-                    label = part.argmin(1)
-                    onehot = np.zeros(part.shape)
-                    onehot[rows, label] = 1.0
-                    n[here] += onehot.sum(0)
-                    sums[here] += onehot.T @ X
-                    costs[here] += np.bincount(label, weights=part[rows, label], minlength=part.shape[1])
-            model = np.repeat(ids, np.diff(ends))
-            cluster = np.concatenate([np.arange(len(current[m])) for m in ids])
-            yield pd.DataFrame({"m": model, "c": cluster, "n": n, "cost": costs, "s": list(sums)})
-
-        parts = _mapped(vec, array_col, partial, "m int, c int, n double, cost double, s array<double>")
-        new, total = {m: c.copy() for m, c in current.items()}, dict.fromkeys(current, 0.0)
-        for r in _summed(parts, ["m", "c"], ["n", "cost"], dim, tasks):
-            total[r["m"]] += r["cost"]
-            if r["n"] > 0:
-                new[r["m"]][r["c"]] = np.array(r["s"]) / r["n"]
-        for m in current:
-            cost[m] = total[m]
-            if float(((new[m] - centres[m]) ** 2).sum()) <= limit:
-                active.discard(m)
-            centres[m] = new[m]
+    blocks = _packed(vec, array_col)
+    try:
+        centres = dict(start) if start is not None else seed_centres(blocks, configs)
+        if not centres:
+            return []
+        dim = next(iter(centres.values())).shape[1]
+        spread = vec.agg(*[F.var_pop(F.col(array_col)[i]) for i in range(dim)]).first()
+        limit = tol * float(np.mean([v or 0.0 for v in spread]))
+        active, tasks = set(centres), blocks.rdd.getNumPartitions()
+        cost = {m: float("nan") for m in centres}
+        for _ in range(max_iter):
+            if not active:
+                break
+            current = {m: centres[m] for m in sorted(active)}
+            for m, (n, sums, cost[m]) in _lloyd_sums(blocks, current, tasks).items():
+                new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[m])
+                if float(((new - centres[m]) ** 2).sum()) <= limit:
+                    active.discard(m)
+                centres[m] = new
+    finally:
+        blocks.unpersist()
     order = (lambda c: [list(map(float, x)) for x in c]) if start is not None else _canonical
     return [KMeansResult(len(centres[m]), order(centres[m]), cost[m], configs[m][1])
             for m in sorted(centres)]
